@@ -152,7 +152,20 @@ def hour_label(h: Column | str) -> Column:
 def scalar(one_row: DataFrame) -> Column:
     """A one-row table as a struct-valued scalar subquery.
 
-    Global statistics reach the rows this way: no join, and nothing but the
-    one aggregated row travels.
+    For reports that use a statistic once or twice: no join, and nothing but
+    the one aggregated row travels.
     """
     return one_row.select(F.struct(*one_row.columns)).scalar()
+
+
+def fitted(one_row: DataFrame) -> dict[str, Column]:
+    """Run a one-row aggregate now and return its fields as literals.
+
+    This is the estimator step: statistics that later rows are measured
+    against are computed once, not again in every job that uses the rows.
+    The driver receives one row of fixed width.
+    """
+    row = one_row.first()
+    kinds = {f.name: f.dataType for f in one_row.schema.fields}
+    return {name: F.lit(row[name] if row is not None else None).cast(kind)
+            for name, kind in kinds.items()}

@@ -42,8 +42,9 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
         joined = src.join(F.broadcast(side) if small_groups else side, match)
         n, edges = F.col("_n"), F.col("_b")
     else:
-        joined, one = src, scalar(brackets)
-        n, edges = one["_n"], one["_b"]
+        # bound to a column once, so the subquery appears once in the plan
+        joined = src.withColumn("_one", scalar(brackets))
+        n, edges = F.col("_one._n"), F.col("_one._b")
 
     pairs = [(edges[i], edges[i + len(marks)]) for i in range(len(marks))]
     inside = reduce(lambda a, b: a | b, [F.col("_x").between(lo, hi) for lo, hi in pairs])

@@ -8,30 +8,27 @@ bucket, and only the per-bucket totals (``BUCKETS`` rows) are ordered globally.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourlens.functions.columns import col
-
 BUCKETS = 256
 
 
-def range_bucket(df: DataFrame, value: Column | str, buckets: int = BUCKETS) -> Column:
-    """A Column numbering ``value`` into order-preserving, evenly filled buckets."""
-    value = col(value)
+def range_bucket(df: DataFrame, value: str, out: str = "_b", buckets: int = BUCKETS) -> DataFrame:
+    """Number ``value`` into order-preserving, evenly filled buckets."""
     probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(value.cast("double"), probs, 4 * buckets)).first()
+    row = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, 4 * buckets)).first()
     edges = sorted(set(row[0] or []))
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(value < F.lit(edges[mid]), tree(lo, mid)).otherwise(tree(mid + 1, hi))
-
-    return tree(0, len(edges))
+    wide = df.withColumn("_bucket_x", F.col(value).cast("double"))
+    splits = [-math.inf, *edges, math.inf]
+    if len(splits) < 3:
+        return df.withColumn(out, F.lit(0))
+    cut = Bucketizer(splits=splits, inputCol="_bucket_x", outputCol=out, handleInvalid="keep")
+    return cut.transform(wide).drop("_bucket_x").withColumn(out, F.col(out).cast("int"))
 
 
 def running_before(counts: DataFrame, value: str, sums: Sequence[str],
@@ -40,7 +37,7 @@ def running_before(counts: DataFrame, value: str, sums: Sequence[str],
 
     ``counts`` has one row per distinct ``value``.
     """
-    tagged = counts.withColumn("_b", range_bucket(counts, value, buckets))
+    tagged = range_bucket(counts, value, "_b", buckets)
     # at most `buckets` rows from here on, so the global window is bounded
     order = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy("_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])

@@ -104,7 +104,7 @@ def coverage_spine(df: DataFrame, ts: str = "ts", unit: str = "month") -> DataFr
 
 def histogram(df: DataFrame, column: str, bins: int = 60) -> DataFrame:
     """Equal-width counts, last bin closed; empty bins give no row."""
-    ends = fc.scalar(df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")))
+    ends = fc.fitted(df.agg(F.min(column).alias("lo"), F.max(column).alias("hi")))
     width = (ends["hi"] - ends["lo"]).cast("double")
     spot = F.coalesce(F.try_divide(F.col(column) - ends["lo"], width), F.lit(0.0))
     return (df.where(F.col(column).isNotNull())

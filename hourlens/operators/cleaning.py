@@ -14,6 +14,8 @@ from hourlens.functions import columns as fc
 from hourlens.functions.quantiles import median
 from hourlens.operators.relational import propagate_tag
 from hourlens.operators.windows import keep_best
+from hourlens.session import work_dir
+from hourlens.sources.sinks import write_stage
 
 
 def parse_timestamp(text: Column | str) -> Column:
@@ -65,17 +67,19 @@ def impute_range(df: DataFrame, bounds: Mapping[str, tuple[float | None, float |
     """Replace out-of-range values by the median of the valid rows of the month.
 
     Null is not out of range.  A month without any valid row yields null, left
-    for ``fill_missing``.  The look-up table has twelve rows per column.
+    for ``fill_missing``.  The medians, at most twelve per column, are computed
+    once and become literals: the rows themselves are neither joined nor moved.
     """
     checks = range_check(bounds)
-    mids = valid_medians(df, checks, ts)
-    table = mids.groupBy(F.col("month").alias("_month")).agg(*[
-        F.max(F.when(F.col("column") == name, F.col("median"))).alias(f"_m_{name}")
-        for name in checks])
-    joined = df.withColumn("_month", F.month(ts)).join(F.broadcast(table), "_month", "left")
-    fixed = {name: F.when(bad, F.col(f"_m_{name}")).otherwise(F.col(name).cast("double"))
-             for name, bad in checks.items()}
-    return joined.select(*[fixed[c].alias(c) if c in fixed else F.col(c) for c in df.columns])
+    found = {(r["month"], r["column"]): r["median"] for r in valid_medians(df, checks, ts).collect()}
+
+    def lookup(name: str) -> Column:
+        by_month = [F.lit(found.get((m, name))).cast("double") for m in range(1, 13)]
+        return F.element_at(F.array(*by_month), F.month(ts))
+
+    return df.withColumns({
+        name: F.when(bad, lookup(name)).otherwise(F.col(name).cast("double"))
+        for name, bad in checks.items()})
 
 
 def column_medians(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
@@ -89,7 +93,7 @@ def column_medians(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
 def fill_missing(df: DataFrame, numeric: Sequence[str], text: Sequence[str],
                  label: str = "Unknown") -> DataFrame:
     """Numeric nulls get the column median, text nulls a label."""
-    mids = fc.scalar(column_medians(df, numeric))
+    mids = fc.fitted(column_medians(df, numeric))
     return df.withColumns({
         **{c: F.coalesce(F.col(c).cast("double"), mids[c]) for c in numeric},
         **{c: F.coalesce(F.col(c), F.lit(label)) for c in text}})
@@ -115,9 +119,15 @@ class CleanConfig:
                                "rain_1h", "snow_1h", "clouds_all")
 
 
-def clean(df: DataFrame, cfg: CleanConfig | None = None) -> DataFrame:
-    """Parse, standardise, de-duplicate, impute, fill: in that order."""
+def clean(df: DataFrame, cfg: CleanConfig | None = None, stage: str | None = None) -> DataFrame:
+    """Parse, standardise, de-duplicate, impute, fill: in that order.
+
+    The de-duplicated rows are written to a stage table (by default in the
+    shared working folder), because the medians read them four more times and
+    the shuffle behind them should run once.
+    """
     cfg = cfg or CleanConfig()
+    spark = df.sparkSession
     if cfg.tag_sentinel is not None:
         df = df.withColumn(cfg.tag, fc.sentinel_to_null(cfg.tag, cfg.tag_sentinel))
     if cfg.timestamp_text:
@@ -125,6 +135,7 @@ def clean(df: DataFrame, cfg: CleanConfig | None = None) -> DataFrame:
     df = standardise(df, cfg.text, cfg.tag, cfg.ts)
     # keep_best subsumes the exact-duplicate pass: identical rows tie and one stays
     df = keep_best(df, cfg.ts, fc.ordinal(cfg.category, cfg.severity, -1), cfg.tiebreak)
+    df = spark.read.parquet(write_stage(df, stage or work_dir(spark, "deduplicated")))
     df = impute_range(df, cfg.bounds, cfg.ts)
     return fill_missing(df, cfg.numeric, cfg.fill_text)
 

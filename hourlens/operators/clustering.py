@@ -24,7 +24,7 @@ SAMPLE_ROWS = 5000
 
 def scaled_vector(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     """Standardise with the population deviation and pack into a vector."""
-    s = fc.scalar(scaling_stats(df, features))
+    s = fc.fitted(scaling_stats(df, features))
     cells = [F.coalesce(fc.ratio(F.col(f) - s[f"{f}_mean"], s[f"{f}_std"]), F.lit(0.0))
              for f in features]
     return df.withColumn(out, array_to_vector(F.array(*cells)))

@@ -42,7 +42,7 @@ def roc_auc(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
     counts = df.groupBy(F.col(score).alias("_s")).agg(
         F.sum(F.col(y).cast("bigint")).alias("_pos"),
         F.sum((1 - F.col(y)).cast("bigint")).alias("_neg"))
-    tagged = counts.withColumn("_b", range_bucket(counts, "_s"))
+    tagged = range_bucket(counts, "_s")
     below = F.coalesce(F.sum("_neg").over(
         Window.partitionBy("_b").orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0))

@@ -85,14 +85,16 @@ def scaling_params(df: DataFrame, columns: Sequence[str]) -> DataFrame:
                    for name in ("mean", "std", "min", "max")]) for c in columns])))
 
 
-def zscore(df: DataFrame, columns: Sequence[str], stats: Column | None = None) -> DataFrame:
-    s = stats if stats is not None else fc.scalar(scaling_stats(df, columns))
+def zscore(df: DataFrame, columns: Sequence[str],
+           stats: Mapping[str, Column] | None = None) -> DataFrame:
+    s = stats if stats is not None else fc.fitted(scaling_stats(df, columns))
     return df.withColumns({f"{c}_z": fc.ratio(F.col(c) - s[f"{c}_mean"], s[f"{c}_std"])
                            for c in columns})
 
 
-def minmax(df: DataFrame, columns: Sequence[str], stats: Column | None = None) -> DataFrame:
-    s = stats if stats is not None else fc.scalar(scaling_stats(df, columns))
+def minmax(df: DataFrame, columns: Sequence[str],
+           stats: Mapping[str, Column] | None = None) -> DataFrame:
+    s = stats if stats is not None else fc.fitted(scaling_stats(df, columns))
     return df.withColumns({
         f"{c}_minmax": fc.ratio(F.col(c) - s[f"{c}_min"], s[f"{c}_max"] - s[f"{c}_min"])
         for c in columns})
@@ -101,7 +103,7 @@ def minmax(df: DataFrame, columns: Sequence[str], stats: Column | None = None) -
 def train_only_scale(df: DataFrame, columns: Sequence[str], is_train: str = "is_train",
                      eps: float = 1e-8) -> DataFrame:
     """Standardise all rows with the statistics of the training rows."""
-    s = fc.scalar(scaling_stats(df.where(F.col(is_train)), columns))
+    s = fc.fitted(scaling_stats(df.where(F.col(is_train)), columns))
     return df.withColumns({f"{c}_z": (F.col(c) - s[f"{c}_mean"]) / (s[f"{c}_std"] + F.lit(eps))
                            for c in columns})
 
@@ -113,7 +115,7 @@ def quartile_target(df: DataFrame, measure: str = "measure",
 
     A null measure has no level and code -1.
     """
-    q = fc.scalar(quantiles(df, measure, [0.25, 0.5, 0.75]).select("q"))["q"]
+    q = fc.fitted(quantiles(df, measure, [0.25, 0.5, 0.75]).select("q"))["q"]
     m = F.col(measure)
     level = (F.when(m <= q[0], labels[0]).when(m <= q[1], labels[1])
               .when(m <= q[2], labels[2]).when(m > q[2], labels[3]))
@@ -151,7 +153,7 @@ def build(df: DataFrame, *, ts: str = "ts", category: str = "category", measure:
     df = add_time(df, ts)
     df = one_hot(rare_to_other(df, category, min_n), "category_grouped", levels, prefix)
     df = add_flags(df, category, severe=severe, low_visibility=low_visibility)
-    stats = fc.scalar(scaling_stats(df, scaled))
+    stats = fc.fitted(scaling_stats(df, scaled))
     df = minmax(zscore(df, scaled, stats), scaled, stats)
     return quartile_target(df, measure, threshold)
 
@@ -216,7 +218,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Attach the balanced weight of a 0/1 label."""
-    s = fc.scalar(df.agg(F.count("*").alias("n"), F.sum(label).alias("pos")))
+    s = fc.fitted(df.agg(F.count("*").alias("n"), F.sum(label).alias("pos")))
     pos, neg = s["pos"], s["n"] - s["pos"]
     classes = (pos > 0).cast("int") + (neg > 0).cast("int")
     own = F.when(F.col(label) == 1, pos).otherwise(neg)

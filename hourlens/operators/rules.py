@@ -44,7 +44,7 @@ def itemsets(df: DataFrame, attrs: Sequence[str], min_support: float = 0.02) ->
     hundred combinations and never the table.
     """
     combos = df.groupBy(*attrs).agg(F.count("*").alias("_c"))
-    total = fc.scalar(combos.agg(F.sum("_c").alias("n")))["n"]
+    total = fc.fitted(combos.agg(F.sum("_c").alias("n")))["n"]
     # null marks both "any" and "no value": keep only cells whose grouped-in
     # attributes all have a value
     cells = combos.cube(*attrs).agg(F.sum("_c").alias("n"), F.grouping_id().alias("_gid"))
@@ -66,7 +66,7 @@ def itemsets_fpgrowth(df: DataFrame, attrs: Sequence[str],
     """The same itemsets from FP-growth, for attribute lists too long to cube."""
     baskets = df.select(items_array(attrs).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=1.0).fit(baskets)
-    total = fc.scalar(baskets.agg(F.count("*").alias("n")))["n"]
+    total = fc.fitted(baskets.agg(F.count("*").alias("n")))["n"]
     return (model.freqItemsets
             .select(F.array_sort("items").alias("items"), F.col("freq").alias("n"),
                     total.alias("n_total"))

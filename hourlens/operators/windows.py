@@ -121,7 +121,7 @@ def chrono_split(df: DataFrame, ts: str, fraction: float = 0.8) -> DataFrame:
     task has to number the whole table.
     """
     axis = df.select(fc.epoch_micros(ts).cast("double").alias("_e"))
-    cut = fc.scalar(value_at_fraction(axis, "_e", fraction))
+    cut = fc.fitted(value_at_fraction(axis, "_e", fraction))
     return df.withColumn("is_train", fc.epoch_micros(ts).cast("double") < cut["value"])
 
 

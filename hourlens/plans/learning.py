@@ -18,7 +18,9 @@ from hourlens.operators import windows as win
 from hourlens.plans.analytics import rounded
 from hourlens.plans.derived import CLEAN, predictions, scores
 from hourlens.plans.registry import query
+from hourlens.session import work_dir
 from hourlens.sources import views
+from hourlens.sources.sinks import write_stage
 
 # --- cleaning ---------------------------------------------------------------
 @query("clean_parse_drop", """SELECT event_id, TRY_CAST(date_time AS TIMESTAMP) AS ts FROM obs_raw
@@ -341,8 +343,13 @@ def forecast_naive(spark, d):
 
 
 # --- models -----------------------------------------------------------------
+def _features(spark, d):
+    """The feature stage table: fits read it many times, its shuffles run once."""
+    return spark.read.parquet(write_stage(views.feat(spark, d), work_dir(spark, "features")))
+
+
 def _split(spark, d, label):
-    df = views.feat(spark, d)
+    df = _features(spark, d)
     s = fx.split_stratified(df, "event_id", label) if label == "high_risk" \
         else fx.split_hash(df, "event_id")
     keep = s.select("event_id", "ts", "category", "high_risk", "measure", "is_test",
@@ -413,7 +420,7 @@ def pred_vs_actual(spark, d):
 
 
 def _surrogate(spark, d):
-    df = win.chrono_split(views.feat(spark, d), "ts")
+    df = win.chrono_split(_features(spark, d), "ts")
     keep = df.select("event_id", "measure", "is_train", *views.FEATURES)
     train, test = keep.where("is_train"), keep.where(~F.col("is_train"))
     return md.fit_surrogate(train, views.FEATURES, "measure"), test

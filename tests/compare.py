@@ -6,6 +6,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import signal
 import sys
 import time
 from collections import Counter
@@ -15,6 +17,8 @@ import duckdb
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
+LIMIT = int(os.environ.get("COMPARE_LIMIT", "300"))     # seconds per query
+
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()
 
@@ -75,6 +79,10 @@ def compare(df, con, sql) -> list[str]:
     return out
 
 
+def _late(*_):
+    raise TimeoutError("query took too long")
+
+
 def main(argv: list[str]) -> int:
     import __spark_entry__ as entry
     from hourlens.session import build_session
@@ -84,17 +92,21 @@ def main(argv: list[str]) -> int:
         "spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
         "spark.driver.memory": "12g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
+    signal.signal(signal.SIGALRM, _late)
     con, checks, bad = connect(sf_dir), entry.oracle_sql(), 0
     for name, fn in entry.queries().items():
         if argv[1:] and name not in argv[1:]:
             continue
         start = time.perf_counter()
+        signal.alarm(LIMIT)
         try:
             df = fn(spark, sf_dir)
             problems = compare(df, con, checks[name]) if name in checks else []
             note = "sql" if name in checks else f"rows={df.count()}"
         except Exception as e:              # report and go on with the next query
             problems, note = [f"{type(e).__name__}: {str(e)[:600]}"], "error"
+        finally:
+            signal.alarm(0)
         bad += bool(problems)
         print(f"{'FAIL' if problems else 'ok  '} {name} [{note}] "
               f"{time.perf_counter() - start:.2f}s", *problems, flush=True)
