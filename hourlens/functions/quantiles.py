@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from hourlens.functions.columns import col, scalar
 
 ACCURACY = 10_000
+SMALL = 20_000          # groups up to this size are counted in full
 
 
 def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks: Sequence[float],
@@ -30,7 +31,9 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
     """
     x = col(value).cast("double")
     src = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
-    slack = 2.0 / accuracy
+    # the sketch is off by at most n / accuracy ranks; the slack covers that and
+    # the rounding of ranks for every group above SMALL rows
+    slack = 5.0 / accuracy
     fractions = [max(0.0, m - slack) for m in marks] + [min(1.0, m + slack) for m in marks]
     brackets = src.groupBy(*by).agg(
         F.count("*").alias("_n"),
@@ -46,7 +49,10 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
         joined = src.withColumn("_one", scalar(brackets))
         n, edges = F.col("_one._n"), F.col("_one._b")
 
-    pairs = [(edges[i], edges[i + len(marks)]) for i in range(len(marks))]
+    small = n <= SMALL
+    low, high = F.lit(float("-inf")), F.lit(float("inf"))
+    pairs = [(F.when(small, low).otherwise(edges[i]),
+              F.when(small, high).otherwise(edges[i + len(marks)])) for i in range(len(marks))]
     inside = reduce(lambda a, b: a | b, [F.col("_x").between(lo, hi) for lo, hi in pairs])
     # Steps up at every bracket edge, so it orders gaps and brackets like x does.
     region = reduce(lambda a, b: a + b,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourlens import config
@@ -21,10 +21,15 @@ def _long(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> D
 
 
 def reference_edges(ref: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
-    """``feature, edges``: exact quantile edges of every feature in one job."""
+    """``feature, edges``: exact quantile edges of every feature in one job.
+
+    Fitted once: the few rows (features x edges) are fetched and become a local
+    table, so binning never repeats the quantile scans.
+    """
     probs = [i / bins for i in range(bins + 1)]
-    return quantiles(_long(ref, features), "x", probs, ["feature"]).select(
+    q = quantiles(_long(ref, features), "x", probs, ["feature"]).select(
         "feature", F.col("q").alias("edges"))
+    return ref.sparkSession.createDataFrame(q.collect(), "feature string, edges array<double>")
 
 
 def _total(parts: list[Column]) -> Column:
@@ -83,11 +88,11 @@ def feature_drift(psi_table: DataFrame, warn: float = config.PSI_WARN,
                   alert: float = config.PSI_ALERT) -> DataFrame:
     """Status per feature, with the roll-up repeated on every row."""
     banded = psi_table.withColumn("status", fc.status_band("psi", warn, alert))
-    roll = fc.scalar(banded.agg(
-        F.max(fc.status_rank("status")).alias("worst"),
-        F.count_if(F.col("status") != "PASS").alias("n_drifted")))
-    return banded.withColumn("overall_status", fc.status_name(roll["worst"])) \
-                 .withColumn("n_drifted", roll["n_drifted"])
+    # one row per feature of a fixed list, so the global window is bounded
+    every = Window.partitionBy()
+    worst = F.max(fc.status_rank("status")).over(every)
+    return banded.withColumn("overall_status", fc.status_name(worst)).withColumn(
+        "n_drifted", F.count_if(F.col("status") != "PASS").over(every))
 
 
 def top_drift(drift: DataFrame, k: int = 5) -> DataFrame:
@@ -114,13 +119,14 @@ def report(df: DataFrame, is_current: Column, drift: DataFrame, errors: DataFram
                    F.count_if(is_current).alias("current_rows"))
     per_feature = F.map_from_entries(F.sort_array(F.collect_list(F.struct(
         "feature", F.struct(F.round("psi", 4).alias("psi"), "status")))))
-    roll = fc.scalar(drift.agg(
+    roll = drift.agg(
         F.max(fc.status_rank("status")).alias("worst"),
         F.count_if(F.col("status") != "PASS").alias("n_drifted"),
-        per_feature.alias("per_feature")))
-    e = fc.scalar(errors.agg(
-        F.first("status").alias("status"), F.first("reference_mae").alias("reference_mae"),
-        F.first("current_mae").alias("current_mae"), F.first("ratio").alias("ratio")))
+        per_feature.alias("per_feature"))
+    one = errors.agg(*[F.first(c).alias(c) for c in ("status", "reference_mae", "current_mae",
+                                                     "ratio")])
+    sizes = sizes.withColumn("_f", fc.scalar(roll)).withColumn("_e", fc.scalar(one))
+    roll, e = F.col("_f"), F.col("_e")
     worst = F.greatest(roll["worst"], fc.status_rank(e["status"]))
     return sizes.select(
         F.lit(split_date).alias("split_date"), "reference_rows", "current_rows",

@@ -30,6 +30,15 @@ def assemble(features: Sequence[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give an input of too few partitions one per core; larger ones pass through.
+
+    Tree fits are CPU-bound, and a table of one small file would use one core.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
+
+
 def feature_gaps(df: DataFrame, features: Sequence[str]) -> list[str]:
     missing = [f for f in features if f not in df.columns]
     if missing:
@@ -63,7 +72,7 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str, trees: int
         assemble(features),
         RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees,
                                maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed,
-                               maxMemoryInMB=1024)]).fit(weighted)
+                               maxMemoryInMB=1024)]).fit(spread(weighted))
 
 
 def fit_linear(train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:

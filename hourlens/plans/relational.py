@@ -118,7 +118,7 @@ def dropna_subset(spark, d):
         CASE WHEN NOT coalesce(value BETWEEN 0 AND 100, false) THEN 'value' END,
         CASE WHEN NOT coalesce(k BETWEEN 5 AND 95, false) THEN 'k' END,
         CASE WHEN NOT coalesce(category IN ('click', 'error', 'signup', 'view'), false)
-             THEN 'category' END], x -> x IS NOT NULL)), 'string_agg', ',') AS reasons,
+             THEN 'category' END], lambda x: x IS NOT NULL)), 'string_agg', ',') AS reasons,
     coalesce(value BETWEEN 0 AND 100, false) AND coalesce(k BETWEEN 5 AND 95, false)
         AND coalesce(category IN ('click', 'error', 'signup', 'view'), false) AS is_valid
     FROM obs_dirty""")
@@ -376,12 +376,12 @@ def string_lower_replace_concat(spark, d):
         F.col("category").startswith("1-").alias("is_first"))
 
 
-@query("round_n", """SELECT event_id, round(value, 0) AS r0, round(value / 7, 1) AS r1,
-    round(value / 7, 2) AS r2, round(value / 7, 3) AS r3, round(value / 7, 4) AS r4 FROM obs""")
+@query("round_n", """SELECT event_id, round(value, 0) AS r0, round(value / 7.1, 1) AS r1,
+    round(value / 7.1, 2) AS r2, round(value / 7.1, 3) AS r3, round(value / 7.1, 4) AS r4 FROM obs""")
 def round_n(spark, d):
-    seventh = F.col("value") / 7
+    part = F.col("value") / 7.1
     return views.obs(spark, d).select("event_id", F.round("value", 0).alias("r0"), *[
-        F.round(seventh, i).alias(f"r{i}") for i in range(1, 5)])
+        F.round(part, i).alias(f"r{i}") for i in range(1, 5)])
 
 
 @query("nullif_coalesce_fill", """SELECT event_id, nullif(trim(category), 'view') AS category,
@@ -413,13 +413,13 @@ def band_fixed(spark, d):
 
 @query("math_basic", """SELECT event_id, round(sqrt(value), 6) AS root, round(ln(value + 1), 6)
     AS log1, abs(k - 50) AS off_centre, greatest(value, 1.0) AS clipped,
-    CASE WHEN k = 0 THEN NULL ELSE round(value / k, 6) END AS guarded FROM obs""")
+    CASE WHEN k = 0 THEN NULL ELSE value / k END AS guarded FROM obs""")
 def math_basic(spark, d):
     v = F.col("value")
     return views.obs(spark, d).select(
         "event_id", F.round(F.sqrt(v), 6).alias("root"), F.round(F.ln(v + 1), 6).alias("log1"),
         F.abs(F.col("k") - 50).alias("off_centre"), F.greatest(v, F.lit(1.0)).alias("clipped"),
-        F.round(fc.ratio("value", "k"), 6).alias("guarded"))
+        fc.ratio("value", "k").alias("guarded"))
 
 
 @query("typeof_col", """SELECT lower(typeof(value)) AS value_type, lower(typeof(event_id))
