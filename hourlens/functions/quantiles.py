@@ -18,16 +18,27 @@ from pyspark.sql import functions as F
 
 from hourlens.functions.columns import col, scalar
 
-ACCURACY = 10_000
-SMALL = 20_000          # groups up to this size are counted in full
+ACCURACY = 100_000
+SMALL = 100_000          # groups up to this size are counted in full
+
+
+def _count_edges(edges: Column, m: int, test: Callable[[Column], Column]) -> Column:
+    """How many of ``m`` edges pass: unrolled when few, a lambda when many.
+
+    Unrolling many comparisons makes a method the JIT refuses to compile.
+    """
+    if m <= 3:
+        return reduce(lambda a, b: a + b, [test(edges[i]).cast("int") for i in range(m)])
+    return F.size(F.filter(edges, test))
 
 
 def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks: Sequence[float],
-                  ranks: dict[str, Callable[[Column], Column]], accuracy: int,
+                  ranks: dict[str, str], accuracy: int,
                   small_groups: bool) -> DataFrame:
     """One row per group: ``n`` and, per named rank, the value at that 0-based rank.
 
-    ``marks`` are the fractions around which the ranks lie.
+    ``ranks`` are SQL expressions over the group size ``_n``; ``marks`` are the
+    fractions around which they lie.
     """
     x = col(value).cast("double")
     src = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
@@ -35,31 +46,35 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
     # the rounding of ranks for every group above SMALL rows
     slack = 5.0 / accuracy
     fractions = [max(0.0, m - slack) for m in marks] + [min(1.0, m + slack) for m in marks]
+    m = len(marks)
+    small = F.col("_n") <= SMALL
     brackets = src.groupBy(*by).agg(
         F.count("*").alias("_n"),
-        F.percentile_approx("_x", fractions, accuracy).alias("_b"))
+        F.percentile_approx("_x", fractions, accuracy).alias("_b")).select(
+        *by, "_n",
+        F.when(small, F.array_repeat(F.lit(float("-inf")), m))
+         .otherwise(F.slice("_b", 1, m)).alias("_low"),
+        F.when(small, F.array_repeat(F.lit(float("inf")), m))
+         .otherwise(F.slice("_b", m + 1, m)).alias("_high"))
 
     if by:
-        side = brackets.select(*[F.col(c).alias(f"_g_{c}") for c in by], "_n", "_b")
+        side = brackets.select(*[F.col(c).alias(f"_g_{c}") for c in by], "_n", "_low", "_high")
         match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by])
         joined = src.join(F.broadcast(side) if small_groups else side, match)
-        n, edges = F.col("_n"), F.col("_b")
+        n, lows, highs = F.col("_n"), F.col("_low"), F.col("_high")
     else:
         # bound to a column once, so the subquery appears once in the plan
         joined = src.withColumn("_one", scalar(brackets))
-        n, edges = F.col("_one._n"), F.col("_one._b")
-
-    small = n <= SMALL
-    low, high = F.lit(float("-inf")), F.lit(float("inf"))
-    pairs = [(F.when(small, low).otherwise(edges[i]),
-              F.when(small, high).otherwise(edges[i + len(marks)])) for i in range(len(marks))]
-    inside = reduce(lambda a, b: a | b, [F.col("_x").between(lo, hi) for lo, hi in pairs])
-    # Steps up at every bracket edge, so it orders gaps and brackets like x does.
-    region = reduce(lambda a, b: a + b,
-                    [(F.col("_x") >= lo).cast("int") + (F.col("_x") > hi).cast("int")
-                     for lo, hi in pairs])
+        n, lows, highs = F.col("_one._n"), F.col("_one._low"), F.col("_one._high")
+
+    begun = _count_edges(lows, m, lambda e: e <= F.col("_x"))
+    ended = _count_edges(highs, m, lambda e: e < F.col("_x"))
+    staged = joined.select(*by, n.alias("_n"), "_x", begun.alias("_a"), ended.alias("_e"))
+    # a bracket is open when more brackets have begun than ended; begun + ended
+    # steps up at every edge, so it orders gaps and brackets like x does
+    inside, region = F.col("_a") > F.col("_e"), F.col("_a") + F.col("_e")
     # The group size is the same for every row of a group; it rides along.
-    kept = joined.select(*by, n.alias("_n"), region.alias("_r"),
+    kept = staged.select(*by, "_n", region.alias("_r"),
                          F.when(inside, F.col("_x")).alias("_v"))
     counted = kept.groupBy(*by, "_r", "_v").agg(F.count("*").alias("_c"),
                                                 F.max("_n").alias("_n"))
@@ -68,14 +83,12 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
     cum = counted.withColumn("_hi", F.sum("_c").over(running)) \
                  .withColumn("_lo", F.col("_hi") - F.col("_c"))
 
-    def at(rank: Callable[[Column], Column]) -> Column:
-        k = rank(F.col("_n"))
-        hit = F.max(F.when((F.col("_lo") <= k) & (k < F.col("_hi")), F.col("_v")))
-        return F.coalesce(hit, F.raise_error(F.lit("order statistic outside its bracket"))
-                          .cast("double"))
+    def at(k: str) -> str:
+        return (f"coalesce(max(CASE WHEN _lo <= {k} AND {k} < _hi THEN _v END), "
+                "CAST(raise_error('order statistic outside its bracket') AS DOUBLE))")
 
     return cum.groupBy(*by).agg(F.max("_n").alias("n"),
-                                *[at(fn).alias(name) for name, fn in ranks.items()])
+                                *[F.expr(at(k)).alias(name) for name, k in ranks.items()])
 
 
 def quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], by: Sequence[str] = (),
@@ -94,18 +107,14 @@ def quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], by: Se
             F.count("*").alias("n"),
             F.percentile(x, F.array(*[F.lit(float(p)) for p in probs])).alias("q"))
 
-    ranks: dict[str, Callable[[Column], Column]] = {}
+    ranks, cells = {}, []
     for i, p in enumerate(probs):
-        ranks[f"_f{i}"] = lambda n, p=p: F.floor(F.lit(p) * (n - 1))
-        ranks[f"_t{i}"] = lambda n, p=p: F.ceil(F.lit(p) * (n - 1))
+        pos = f"({float(p)!r}D * (_n - 1))"
+        ranks[f"_f{i}"], ranks[f"_t{i}"] = f"floor({pos})", f"ceil({pos})"
+        pos = pos.replace("_n", "n")
+        cells.append(f"_f{i} + (_t{i} - _f{i}) * ({pos} - floor({pos}))")
     found = _order_values(df, value, by, probs, ranks, accuracy, small_groups)
-
-    def lerp(i: int, p: float) -> Column:
-        pos = F.lit(p) * (F.col("n") - 1)
-        low, high = F.col(f"_f{i}"), F.col(f"_t{i}")
-        return low + (high - low) * (pos - F.floor(pos))
-
-    return found.select(*by, "n", F.array(*[lerp(i, p) for i, p in enumerate(probs)]).alias("q"))
+    return found.select(*by, "n", F.expr(f"array({', '.join(cells)})").alias("q"))
 
 
 def median(df: DataFrame, value: Column | str, by: Sequence[str] = (), **kw) -> DataFrame:
@@ -118,6 +127,6 @@ def value_at_fraction(df: DataFrame, value: Column | str, fraction: float,
                       accuracy: int = ACCURACY) -> DataFrame:
     """One row ``n, value``: the value at 0-based rank ``floor(fraction * n)``."""
     found = _order_values(df, value, [], [fraction],
-                          {"_k": lambda n: F.least(F.floor(F.lit(fraction) * n), n - 1)},
+                          {"_k": f"least(floor({float(fraction)!r}D * _n), _n - 1)"},
                           accuracy, True)
     return found.select("n", F.col("_k").alias("value"))

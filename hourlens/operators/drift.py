@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,30 +31,31 @@ def reference_edges(ref: DataFrame, features: Sequence[str], bins: int = 10) ->
     return ref.sparkSession.createDataFrame(q.collect(), "feature string, edges array<double>")
 
 
-def _total(parts: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, parts)
+def _with_ids(edges: DataFrame) -> DataFrame:
+    """Add the ends of the range and the id of the last bin."""
+    last = F.element_at("edges", -1)
+    return edges.select("feature", "edges", F.col("edges")[0].alias("_lo"), last.alias("_hi"),
+                        F.size(F.filter("edges", lambda e: e < last)).alias("_last"))
 
 
-def _bin(x: Column, edges: Column, bins: int) -> Column:
+def _bin(x: Column) -> Column:
     """Left-closed bin id (number of edges at or below x), last edge closed.
 
     Repeated edges are harmless: they merge into one id.  Outside is null.
     """
-    at = [edges[i] for i in range(bins + 1)]
-    below = _total([(x >= e).cast("int") for e in at])
-    last = _total([(e < at[-1]).cast("int") for e in at])
-    return F.when(x == at[-1], last).when((x >= at[0]) & (x < at[-1]), below)
+    inside = (x >= F.col("_lo")) & (x < F.col("_hi"))
+    return F.when(x == F.col("_hi"), F.col("_last")).when(
+        inside, F.size(F.filter("edges", lambda e: e <= x)))
 
 
-def psi_bins(df: DataFrame, is_current: Column, features: Sequence[str], edges: DataFrame,
-             bins: int = 10) -> DataFrame:
+def psi_bins(df: DataFrame, is_current: Column, features: Sequence[str], edges: DataFrame) -> DataFrame:
     """``feature, bin, ref_n, cur_n, ref_total, cur_total`` with empty bins present.
 
     The edges table has one row per feature of a fixed list and is broadcast.
     """
     long = _long(df.withColumn("_cur", is_current.cast("int")), features, ["_cur"])
-    tagged = (long.join(F.broadcast(edges), "feature")
-              .select("feature", "_cur", _bin(F.col("x"), F.col("edges"), bins).alias("bin")))
+    tagged = (long.join(F.broadcast(_with_ids(edges)), "feature")
+              .select("feature", "_cur", _bin(F.col("x")).alias("bin")))
     counts = tagged.groupBy("feature", "bin").agg(
         F.count_if(F.col("_cur") == 0).alias("ref_n"),
         F.count_if(F.col("_cur") == 1).alias("cur_n"))
@@ -81,7 +81,7 @@ def psi_from_bins(binned: DataFrame) -> DataFrame:
 
 def psi(df: DataFrame, is_current: Column, features: Sequence[str], bins: int = 10) -> DataFrame:
     edges = reference_edges(df.where(~is_current), features, bins)
-    return psi_from_bins(psi_bins(df, is_current, features, edges, bins))
+    return psi_from_bins(psi_bins(df, is_current, features, edges))
 
 
 def feature_drift(psi_table: DataFrame, warn: float = config.PSI_WARN,

@@ -67,12 +67,14 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str,
 def fit_forest(train: DataFrame, features: Sequence[str], label: str, trees: int = 200,
                depth: int = 18, min_leaf: int = 5, seed: int = config.SEED) -> PipelineModel:
     feature_gaps(train, features)
+    ensure_checkpoint(train.sparkSession)
     weighted = with_class_weight(train, label)
+    # deep trees: remembering each row's node spares walking every tree per level
     return Pipeline(stages=[
         assemble(features),
         RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees,
                                maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed,
-                               maxMemoryInMB=1024)]).fit(spread(weighted))
+                               maxMemoryInMB=1024, cacheNodeIds=True)]).fit(spread(weighted))
 
 
 def fit_linear(train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:

@@ -50,14 +50,24 @@ def corr_pair(df: DataFrame, x: str, y: str, valid: Column) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Full symmetric Pearson matrix in long form, from one aggregate."""
+    """Full symmetric Pearson matrix in long form, pairwise complete, one scan.
+
+    Each row is emitted once per column pair and combined before the shuffle;
+    ten correlations side by side would compile to a method the JIT refuses.
+    """
     pairs = list(combinations(columns, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    cells = [F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"c{i}").alias("r"))
-             for i, pair in enumerate(pairs) for a, b in (pair, pair[::-1])]
-    cells += [F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), F.lit(1.0).alias("r"))
-              for c in columns]
-    return row.select(F.inline(F.array(*cells)))
+    cells = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(a).cast("double").alias("_x"),
+                               F.col(b).cast("double").alias("_y"))
+                      for i, (a, b) in enumerate(pairs)])
+    names = F.array(*[F.struct(F.lit(a).alias("x"), F.lit(b).alias("y")) for a, b in pairs])
+    r = (df.select(F.inline(cells)).groupBy("_i").agg(F.corr("_x", "_y").alias("r"))
+         .withColumn("_p", F.element_at(names, F.col("_i") + 1)))
+    both = F.array(F.struct(F.col("_p.x").alias("x"), F.col("_p.y").alias("y"), "r"),
+                   F.struct(F.col("_p.y").alias("x"), F.col("_p.x").alias("y"), "r"))
+    same = F.array(*[F.struct(F.lit(c).alias("x"), F.lit(c).alias("y"), F.lit(1.0).alias("r"))
+                     for c in columns])
+    # the first pair's row also carries the diagonal
+    return r.select(F.inline(F.when(F.col("_i") == 0, F.concat(both, same)).otherwise(both)))
 
 
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:

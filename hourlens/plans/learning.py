@@ -419,7 +419,18 @@ def pred_vs_actual(spark, d):
     return scored.orderBy("hour_ts").limit(500)
 
 
+_SURROGATES: dict[tuple[str, str], tuple] = {}
+
+
 def _surrogate(spark, d):
+    """Fitted once per session and folder; two reports read the same model."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SURROGATES:
+        _SURROGATES[key] = _fit_surrogate(spark, d)
+    return _SURROGATES[key]
+
+
+def _fit_surrogate(spark, d):
     df = win.chrono_split(_features(spark, d), "ts")
     keep = df.select("event_id", "measure", "is_train", *views.FEATURES)
     train, test = keep.where("is_train"), keep.where(~F.col("is_train"))

@@ -90,7 +90,7 @@ def outages(stream: DataFrame, gap: str = "1 hour", watermark: str = "1 hour",
 
 
 def drift_batches(stream: DataFrame, features: Sequence[str], reference: DataFrame,
-                  edges: DataFrame, out: str, bins: int = 10) -> None:
+                  edges: DataFrame, out: str) -> None:
     """PSI of every micro-batch against stored reference counts.
 
     Only the reference's binned counts (features x bins rows) are kept; a
@@ -100,12 +100,12 @@ def drift_batches(stream: DataFrame, features: Sequence[str], reference: DataFra
     base = work_dir(spark, "stream-drift-reference")
     edges.write.parquet(f"{base}/edges")
     edges = spark.read.parquet(f"{base}/edges")
-    dr.psi_bins(reference, F.lit(False), features, edges, bins).select(
+    dr.psi_bins(reference, F.lit(False), features, edges).select(
         "feature", "bin", "ref_n", "ref_total").write.parquet(f"{base}/bins")
     ref = spark.read.parquet(f"{base}/bins")
 
     def handle(batch: DataFrame, epoch: int) -> None:
-        cur = dr.psi_bins(batch, F.lit(True), features, edges, bins).select(
+        cur = dr.psi_bins(batch, F.lit(True), features, edges).select(
             "feature", "bin", "cur_n", "cur_total")
         table = dr.psi_from_bins(ref.join(cur, ["feature", "bin"], "left")
                                  .na.fill(0, ["cur_n", "cur_total"]))
