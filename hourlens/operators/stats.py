@@ -76,16 +76,14 @@ def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     Pairs are counted first, then both rank tables (one row per distinct
     value) are joined; AQE picks broadcast or a skew-split sort-merge join.
     """
-    pairs = (df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-             .groupBy(F.col(x).alias("_x"), F.col(y).alias("_y"))
-             .agg(F.count("*").alias("_w")))
     base = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         F.col(x).alias("_x"), F.col(y).alias("_y"))
+    pairs = base.groupBy("_x", "_y").agg(F.count("*").alias("_w"))
     rx = average_ranks(base, "_x").select("_x", F.col("rank").alias("_rx"))
     ry = average_ranks(base, "_y").select("_y", F.col("rank").alias("_ry"))
     j = pairs.join(rx, "_x").join(ry, "_y")
     # both rank columns have mean (n + 1) / 2; centring keeps the sums accurate
-    mid = fc.scalar(pairs.agg(((F.sum("_w") + 1) / 2.0).alias("m")))["m"]
+    mid = fc.fitted(base.agg(((F.count("*") + 1) / 2.0).alias("m")))["m"]
     dx, dy, w = F.col("_rx") - mid, F.col("_ry") - mid, F.col("_w")
     return j.agg(F.sum(w * dx * dy).alias("xy"), F.sum(w * dx * dx).alias("xx"),
                  F.sum(w * dy * dy).alias("yy"), F.sum(w).alias("n")).select(
