@@ -60,7 +60,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str,
         assemble(features, "raw"),
         StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
         LogisticRegression(labelCol=label, weightCol="weight", maxIter=max_iter,
-                           regParam=1.0 / max(n, 1), elasticNetParam=0.0,
+                           regParam=1.0 / max(n, 1), elasticNetParam=0.0, tol=1e-4,
                            standardization=False)]).fit(weighted)
 
 
