@@ -15,13 +15,14 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 256
+BUCKETS = 1024
 
 
 def range_bucket(df: DataFrame, value: str, out: str = "_b", buckets: int = BUCKETS) -> DataFrame:
     """Number ``value`` into order-preserving, evenly filled buckets."""
-    probs = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, 4 * buckets)).first()
+    probs = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
+    row = df.agg(F.expr(f"percentile_approx(CAST(`{value}` AS DOUBLE), array({probs}), "
+                        f"{4 * buckets})")).first()
     edges = sorted(set(row[0] or []))
     wide = df.withColumn("_bucket_x", F.col(value).cast("double"))
     splits = [-math.inf, *edges, math.inf]

@@ -31,7 +31,7 @@ def scaled_vector(df: DataFrame, features: Sequence[str], out: str = "features")
 
 
 def kmeans(df: DataFrame, k: int, restarts: int = 10, seed: int = config.SEED,
-           parallelism: int = 4) -> KMeansModel:
+           parallelism: int = 8) -> KMeansModel:
     """Best of several starts, by training cost.  ``df`` has a features vector."""
     return _best_models(df, [k], restarts, seed, parallelism)[k]
 
@@ -115,7 +115,7 @@ def silhouette(sample: DataFrame, features: Sequence[str], label: str,
 
 def select_k(df: DataFrame, key: str, features: Sequence[str], ks: Iterable[int] = range(2, 9),
              sample: int = SAMPLE_ROWS, restarts: int = 10, seed: int = config.SEED,
-             parallelism: int = 4) -> tuple[DataFrame, dict[int, KMeansModel]]:
+             parallelism: int = 8) -> tuple[DataFrame, dict[int, KMeansModel]]:
     """Silhouette per k on a hash sample, all fits on all rows, plus the models."""
     ks = list(ks)
     vec = scaled_vector(df, features)

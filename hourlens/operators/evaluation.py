@@ -37,7 +37,7 @@ def roc_auc(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
     """Area under the ROC curve by rank sum, ties counted half.
 
     Scores are counted by distinct value, ranked inside order-preserving
-    buckets, and the buckets are stitched with at most 256 running totals.
+    buckets, and the buckets are stitched with one short running total.
     """
     counts = df.groupBy(F.col(score).alias("_s")).agg(
         F.sum(F.col(y).cast("bigint")).alias("_pos"),
@@ -49,7 +49,7 @@ def roc_auc(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
     local = tagged.withColumn("_wins", F.col("_pos") * (below + F.col("_neg") / 2.0))
     buckets = local.groupBy("_b").agg(F.sum("_wins").alias("_wins"), F.sum("_pos").alias("_pos"),
                                       F.sum("_neg").alias("_neg"))
-    # at most 256 rows: the ordered total runs in one task by design
+    # one row per bucket: the ordered total runs in one task by design
     lower = F.coalesce(F.sum("_neg").over(
         Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return (buckets.withColumn("_wins", F.col("_wins") + F.col("_pos") * lower)

@@ -49,8 +49,7 @@ def stream_exact_dedup(spark, d):
     sinks.write_stage(views.obs_dirty(spark, d).drop("hour_ts"), stage)
     feed = jobs.file_stream(spark, stage, "*.parquet", spark.read.parquet(stage).schema)
     cols = ["event_id", "ts", "user_id", "category", "value", "k"]
-    # copies of one event carry one event time; the delay covers out-of-order files
-    return jobs.run_to_table(jobs.exact_dedup(feed, cols, "40 days"), "stream-dedup").select(*cols)
+    return jobs.run_to_table(jobs.exact_dedup(feed, cols), "stream-dedup").select(*cols)
 
 
 @query("stream_outages", """WITH g AS (SELECT hour_ts, ts, CASE WHEN ts - lag(ts) OVER (

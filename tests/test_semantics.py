@@ -162,7 +162,9 @@ def test_quartile_edge_is_inclusive_and_null_has_no_level(spark):
                    4.0: ("High", 2, 0), 5.0: ("Severe", 3, 1), None: (None, -1, 0)}
 
 
-def test_rare_threshold_is_strict(spark):
+@pytest.mark.parametrize("limit", [0, 1000])
+def test_rare_threshold_is_strict(spark, monkeypatch, limit):
+    monkeypatch.setattr(fx, "RARE_LIMIT", limit)      # 0 forces the join
     df = spark.createDataFrame([("a",)] * 3 + [("b",)] * 2 + [(None,)], "category string")
     got = fx.rare_to_other(df, "category", 3).collect()
     assert sorted(str(r["category_grouped"]) for r in got) == ["None", "Other", "Other",
