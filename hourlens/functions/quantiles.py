@@ -78,10 +78,20 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
                          F.when(inside, F.col("_x")).alias("_v"))
     counted = kept.groupBy(*by, "_r", "_v").agg(F.count("*").alias("_c"),
                                                 F.max("_n").alias("_n"))
-    running = Window.partitionBy(*by).orderBy("_r", "_v").rowsBetween(
+    # each bracket is ranked in its own task; only bracket totals (a fixed few
+    # per group) are added up across brackets
+    inner = Window.partitionBy(*by, "_r").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    cum = counted.withColumn("_hi", F.sum("_c").over(running)) \
-                 .withColumn("_lo", F.col("_hi") - F.col("_c"))
+    across = Window.partitionBy(*by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    totals = counted.groupBy(*by, "_r").agg(F.sum("_c").alias("_t"))
+    offsets = totals.select(*[F.col(c).alias(f"_g_{c}") for c in by], F.col("_r").alias("_g_r"),
+                            F.coalesce(F.sum("_t").over(across), F.lit(0)).alias("_off"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by],
+                  F.col("_r") == F.col("_g_r"))
+    cum = (counted.withColumn("_in", F.sum("_c").over(inner))
+           .join(F.broadcast(offsets) if small_groups else offsets, same)
+           .withColumn("_hi", F.col("_off") + F.col("_in"))
+           .withColumn("_lo", F.col("_hi") - F.col("_c")))
 
     def at(k: str) -> str:
         return (f"coalesce(max(CASE WHEN _lo <= {k} AND {k} < _hi THEN _v END), "

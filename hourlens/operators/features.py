@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from hourlens import config
 from hourlens.functions import columns as fc
 from hourlens.functions.quantiles import quantiles
-from hourlens.operators.relational import hash_order
 
 
 RARE_LIMIT = 1000       # longest rare-category list that becomes a literal
@@ -231,10 +230,3 @@ def with_class_weight(df: DataFrame, label: str, out: str = "weight") -> DataFra
     classes = (pos > 0).cast("int") + (neg > 0).cast("int")
     own = F.when(F.col(label) == 1, pos).otherwise(neg)
     return df.withColumn(out, s["n"] / (classes * own))
-
-
-def recode(column: str, mapping: Mapping[str, str], other: str) -> Column:
-    out = F
-    for value, label in mapping.items():
-        out = out.when(F.col(column) == value, label)
-    return out.otherwise(other)
