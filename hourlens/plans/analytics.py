@@ -139,7 +139,7 @@ def agg_cluster_profile(spark, d):
     return rounded(ag.cluster_profile(_labelled(spark, d)), 2, *_PROFILE_COLS)
 
 
-@query("cluster_interpret", f"""WITH {_LABELLED}, p AS ({_PROFILE}),
+_INTERPRET = f"""WITH {_LABELLED}, p AS ({_PROFILE}),
     m AS (SELECT median(measure) AS med FROM labelled)
     SELECT p.*, concat(CASE WHEN mean_measure > med THEN 'high-volume ' ELSE 'low-volume ' END,
         CASE WHEN mean_hour < 6 THEN 'overnight' WHEN mean_hour < 11 THEN 'morning'
@@ -149,13 +149,21 @@ def agg_cluster_profile(spark, d):
         CASE WHEN mean_severity > 2 THEN 'adverse weather' ELSE 'mild weather' END,
         ' (n=', format('{{:,}}', n), ', mean volume ',
         CAST(CAST(round_even(mean_measure, 0) AS BIGINT) AS VARCHAR), ')') AS interpretation
-    FROM p, m""")
+    FROM p, m"""
+
+
+@query("cluster_interpret", _INTERPRET)
 def cluster_interpret(spark, d):
     df = _labelled(spark, d)
     profile = rounded(ag.cluster_profile(df), 2, *_PROFILE_COLS)
     return cu.interpret(profile, cu.overall_median(df, "measure"))
 
 
+@query("cluster_text", _INTERPRET.replace("SELECT p.*,", "SELECT p.cluster,"))
+def cluster_text(spark, d):
+    return cluster_interpret(spark, d).select("cluster", "interpretation")
+
+
 @query("agg_value_counts", "SELECT category, count(*) AS n FROM obs GROUP BY 1")
 def agg_value_counts(spark, d):
     return views.obs(spark, d).groupBy("category").agg(F.count("*").alias("n"))
