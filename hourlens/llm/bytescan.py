@@ -27,18 +27,23 @@ ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True
 _rng = np.random.Generator(np.random.PCG64(20240601))
 BYTE = _rng.integers(0, 2**64, 256, np.uint64)
 _P = 0x9E3779B97F4A7C15 | 1
-_POW = np.cumprod(np.concatenate([[1], np.full(PIECE, _P, np.uint64)]).astype(np.uint64))
-_INV = np.cumprod(np.concatenate(
-    [[1], np.full(PIECE, pow(_P, -1, 2**64), np.uint64)]).astype(np.uint64))
+
+
+def _powers_of(base: int, n: int) -> np.ndarray:
+    steps = np.full(n + 1, base, np.uint64)
+    steps[0] = 1
+    return np.cumprod(steps, dtype=np.uint64)
+
+
+_INVERSE = pow(_P, -1, 2**64)
+_POW, _INV = _powers_of(_P, PIECE), _powers_of(_INVERSE, PIECE)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, modulo 2^64."""
     if n <= PIECE:
         return _POW[:n + 1], _INV[:n + 1]
-    one = np.ones(1, np.uint64)
-    return (np.cumprod(np.concatenate([one, np.full(n, _P, np.uint64)])),
-            np.cumprod(np.concatenate([one, np.full(n, pow(_P, -1, 2**64), np.uint64)])))
+    return _powers_of(_P, n), _powers_of(_INVERSE, n)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -107,20 +112,24 @@ def groups(bounds: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
 
 
 def scan_words(buf: np.ndarray, bounds: np.ndarray, member: np.ndarray, lower: bool
-               ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """For runs of documents: first and last document number, word hashes, and the places
-    where each document's words begin in them (one more than documents)."""
+               ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of documents: first and last document number, word hashes, the places where
+    each document's words begin in them (one more than documents), word starts and ends."""
     for i, j in groups(bounds):
         lo, hi = bounds[i], bounds[j]
-        if j - i > 1 or hi - lo <= PIECE:
+        if hi - lo <= PIECE:
             part = LOWER[buf[lo:hi]] if lower else buf[lo:hi]
             own = bounds[i:j + 1] - lo
             starts, ends = find_words(part, own, member)
-            yield i, j, hash_words(part, starts, ends), np.searchsorted(starts, own)
+            yield (i, j, hash_words(part, starts, ends), np.searchsorted(starts, own),
+                   starts + lo, ends + lo)
         else:                                   # one long document, cut where no word is cut
-            found = [h for *_, h in long_words(buf[lo:hi], member, lower)]
-            h = np.concatenate(found) if found else np.empty(0, np.uint64)
-            yield i, j, h, np.array([0, len(h)])
+            none = np.empty(0, np.int64)
+            found = [(none.astype(np.uint64), none, none)]
+            for at, starts, ends, h in long_words(buf[lo:hi], member, lower):
+                found.append((h, starts + (at + lo), ends + (at + lo)))
+            h, starts, ends = (np.concatenate(x) for x in zip(*found))
+            yield i, j, h, np.array([0, len(h)]), starts, ends
 
 
 def long_words(buf: np.ndarray, member: np.ndarray, lower: bool):
@@ -144,3 +153,17 @@ def long_words(buf: np.ndarray, member: np.ndarray, lower: bool):
 def segment_ids(offsets: np.ndarray) -> np.ndarray:
     """The document number of every element, from the places where documents begin."""
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+
+
+def whole_windows(offsets: np.ndarray, n: int) -> np.ndarray:
+    """For every window of ``n`` words of a run of documents: does it stay in one document?"""
+    total = max(0, int(offsets[-1]) - n + 1)
+    ok = np.ones(total, bool)
+    for cut in offsets[1:-1]:
+        ok[max(0, cut - n + 1):cut] = False
+    return ok
+
+
+def listed(offsets: np.ndarray, values: np.ndarray, kind=None) -> pa.ListArray:
+    """An Arrow list column from places and flat values."""
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))

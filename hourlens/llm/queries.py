@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourlens.llm import line_dedup, mixing, url_filters
+from hourlens.llm import (
+    decontaminate,
+    license_scan,
+    line_dedup,
+    mixing,
+    ngram_join,
+    quality_rules,
+    sharding,
+    token_store,
+    url_filters,
+)
 from hourlens.llm.registry import query
 
 
@@ -40,6 +51,105 @@ def op1_url_filters(spark, sf_dir):
     return url_filters.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+# ---- 2 n-gram Jaccard join
+
+@query("op2_ngram_jaccard", r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3
+        THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1),
+        lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g FROM d),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS g FROM s),
+-- a pair of the ratio shares at least 90 % of the smaller set
+r AS (SELECT doc_id, n, g, count(*) OVER (PARTITION BY g) AS df FROM e),
+o AS (SELECT doc_id, n, g, row_number() OVER (PARTITION BY doc_id ORDER BY df, g) AS i FROM r),
+c AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb FROM o a JOIN o b
+      ON a.g = b.g AND a.doc_id < b.doc_id WHERE a.i <= a.n - ceil(0.9 * a.n) + 1
+      AND b.i <= b.n - ceil(0.9 * b.n) + 1 AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)),
+k AS (SELECT c.a, c.b FROM c JOIN s x ON c.a = x.doc_id JOIN s y ON c.b = y.doc_id
+      WHERE 190 * len(list_intersect(x.g, y.g)) >= 90 * (na + nb)),
+l AS (SELECT a, b FROM k UNION SELECT b, a FROM k),
+t AS (SELECT doc_id AS a, doc_id AS b FROM s UNION SELECT t.a, l.b FROM t JOIN l ON t.b = l.a)
+SELECT s.doc_id, CAST(len(g) AS BIGINT) AS n_shingles, min(t.b) AS component_id
+FROM s JOIN t ON s.doc_id = t.a GROUP BY s.doc_id, g
+""")
+def op2_ngram_jaccard(spark, sf_dir):
+    return ngram_join.link_components(table(spark, sf_dir, "documents"))
+
+
+# ---- 3 sharding
+
+SHARD_BYTES = 1 << 20
+
+
+@query("op3_sharding", f"""
+WITH d AS (SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+        format('{{:064b}}', CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 16) AS UBIGINT)) AS bits
+      FROM documents),
+p AS (SELECT *, unnest(range(0, 65)) AS depth FROM d),
+b AS (SELECT doc_id, n_bytes, CAST(depth AS INTEGER) AS depth, substr(bits, 1, depth) AS shard,
+        CAST(sum(n_bytes) OVER (PARTITION BY depth, substr(bits, 1, depth)) AS BIGINT) AS shard_bytes
+      FROM p)
+SELECT * FROM b WHERE shard_bytes <= {SHARD_BYTES}
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+""")
+def op3_sharding(spark, sf_dir):
+    return sharding.shard(table(spark, sf_dir, "documents"), SHARD_BYTES)
+
+
+# ---- 4 token ids
+
+def tokenizer_json(name: str = "word_bpe_49k.json") -> str:
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
+@query("op4_token_ids")
+def op4_token_ids(spark, sf_dir):
+    return token_store.token_report(table(spark, sf_dir, "documents"), tokenizer_json())
+
+
+# ---- 5 quality rules
+
+@query("op5_quality_rules", r"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, md5(coalesce(text, '')) AS th,
+        row_number() OVER () AS r FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^ 	-
+]+') AS w FROM d),
+g AS (SELECT r, len(w) AS n, unnest(list_transform(range(1, len(w) - 1),
+        lambda i: {'i': i, 'v': w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]})) AS x FROM w),
+h AS (SELECT r, x.i AS i FROM g QUALIFY count(*) OVER (PARTITION BY r, x.v) > 1),
+rep AS (SELECT r, count(DISTINCT k) AS n_repeat_words
+        FROM (SELECT r, unnest([i, i + 1, i + 2]) AS k FROM h) z GROUP BY r),
+l AS (SELECT r, source, th, unnest(string_split(text, chr(10))) AS line FROM d),
+k AS (SELECT r, source, th, line, len(regexp_extract_all(line, '[^ 	-
+]+')) AS words,
+        translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+q AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM k WHERE words > 0 GROUP BY r),
+f AS (SELECT source, key FROM k WHERE words > 0 GROUP BY source, key
+      HAVING count(DISTINCT th) > 20 AND count(DISTINCT th) > 0.05::DOUBLE * (
+        SELECT count(DISTINCT d.th) FROM d WHERE d.source IS NOT DISTINCT FROM k.source)),
+x AS (SELECT r, sum(words) AS lost FROM k JOIN f ON k.key = f.key
+      AND k.source IS NOT DISTINCT FROM f.source GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(w, lambda v: length(v))), 0) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+    CAST(coalesce(lost, 0) AS BIGINT) AS lost_words,
+    len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed,
+    NOT (len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w))
+      AND NOT 100 * coalesce(lost, 0) > 50 * len(w) AS kept
+FROM w LEFT JOIN rep USING (r) LEFT JOIN q USING (r) LEFT JOIN x USING (r)
+""")
+def op5_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumnRenamed("source", "host")
+    return quality_rules.judge(docs)[0].select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        F.col("lost_words").cast("long").alias("lost_words"), "base_failed", "kept")
+
+
 # ---- 6 line dedup
 
 @query("op6_line_dedup", """
@@ -61,6 +171,40 @@ def op6_line_dedup(spark, sf_dir):
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+# ---- 7 benchmark decontamination
+
+@query("op7_decontaminate", r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, unnest(list_transform(
+        range(1, len(w) - least(10, len(w)) + 2),
+        lambda i: array_to_string(w[i:i + least(10, len(w)) - 1], ' '))) AS g FROM b WHERE len(w) > 0),
+dw AS (SELECT r, n, unnest(list_transform(range(1, len(w) - n + 2),
+        lambda i: {'i': i, 'g': array_to_string(w[i:i + n - 1], ' ')})) AS x
+      FROM d, (SELECT DISTINCT n FROM bw) m WHERE len(w) >= n),
+hit AS (SELECT r, x.i AS i, dw.n AS n, item_id FROM dw JOIN bw ON bw.n = dw.n AND bw.g = x.g),
+hw AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM hit) z
+       GROUP BY r),
+it AS (SELECT r, count(*) AS n_items, string_agg(v, ',' ORDER BY v) AS s
+       FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS v FROM hit) z GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+    coalesce(n_items, 0) AS n_items, sha256(coalesce(s, '')) AS items_sha256,
+    coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hw USING (r) LEFT JOIN it USING (r)
+""")
+def op7_decontaminate(spark, sf_dir):
+    hits = decontaminate.find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    names = F.array_sort(F.transform("items", lambda v: v.cast("string")))
+    return hits.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(names, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
 # ---- 8 mixing sources
 
 @query("op8_mixing", """
@@ -94,3 +238,10 @@ FROM x
 """)
 def op8_mixing(spark, sf_dir):
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
+
+
+# ---- 10 license scans
+
+@query("op10_license_scan")
+def op10_license_scan(spark, sf_dir):
+    return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
