@@ -102,11 +102,11 @@ def hash_words(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix((c[ends] - c[starts]) * inv[starts] + (ends - starts).astype(np.uint64))
 
 
-def groups(bounds: np.ndarray, limit: int = PIECE) -> Iterator[tuple[int, int]]:
-    """Runs of documents of at most ``limit`` bytes together, or one longer document."""
+def groups(bounds: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of documents of at most ``PIECE`` bytes together, or one longer document."""
     i, d = 0, len(bounds) - 1
     while i < d:
-        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + limit, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(bounds, bounds[i] + PIECE, "right")) - 1)
         yield i, min(j, d)
         i = min(j, d)
 

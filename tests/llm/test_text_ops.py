@@ -193,7 +193,7 @@ def test_measures(docs_of, documents, monkeypatch, piece):
 def test_boilerplate_and_depleted(spark, docs_of):
     rng = random.Random(4)
     body = [words(rng, 80, 10**6) for _ in range(100)]
-    menu = "Home About  Contact " + "menu " * 60
+    menu = "Home About  Contact " + words(rng, 60, 10**6)
     rows = [(i, body[i] + ("\n  " + menu.upper() if i % 2 else ""), "a") for i in range(100)]
     rows += [(200 + i, menu + f"\nfoot{i} " + "own words here " + f"z{i}", "a") for i in range(3)]
     rows += [(300 + i, menu + "\n" + words(rng, 20, 10**6), "b") for i in range(5)]
