@@ -2,8 +2,8 @@
 
 1. Equal sets are folded into one by a 128-bit digest of the set.
 2. A set of n shingles can only reach the ratio with a set that shares one of its first
-   n - ceil(ratio * n) + 1 shingles, in any order both agree on.  The order is by hash, with frequent
-   shingles (found by a counting sketch over the whole corpus) last.  Sets that share such a
+   n - ceil(ratio * n) + 1 shingles, in any order both agree on.  The order is from rare to frequent
+   by a counting sketch over the whole corpus, then by hash.  Sets that share such a
    shingle and whose sizes are within the ratio meet in a tile: (shingle, size band).
    Shingles with the same members make one tile.
 3. Each set carries a bitmap of one parity bit per hash slot, as wide as its size asks for.  The
@@ -12,7 +12,8 @@
    intersecting the sorted arrays.
 4. Links inside a group of copies are not all listed.  First every set of a tile meets its pivots,
    the smallest member of its band and the band below.  What that joins is one component; later rounds
-   list pairs only across components, a few per set and component first, then all that are still apart.
+   list pairs only across components, a few per set and component first, then, where that left some
+   out, all that are still apart.
    Every pair of a tile ends up in one component or decided by intersection, so components are exact.
 
 Large tiles are cut into blocks: sets outside the tile's main component go to every block,
@@ -37,10 +38,10 @@ from hourlens.llm import bytescan as bs
 from hourlens.llm.common import Stages, small_batches
 from hourlens.llm.components import components
 
-SKETCH_BITS = 20        # counters of the sketch; frequent means FREQUENT times the mean counter
-FREQUENT = 3
+SKETCH_BITS = 22        # counters of the sketch; more of them tell rarer shingles apart
 BLOCK = 4096            # sets of a tile's main component that one task compares at once
-QUOTAS = (3, None)      # pairs listed per set and foreign component, round by round
+QUOTA = 3               # pairs listed per set and foreign component before all are
+PAIRS = 1 << 20         # pairs looked at in one step of a task
 _A = np.uint64(0xA0761D6478BD642F)
 
 
@@ -68,7 +69,7 @@ def sketch(docs: DataFrame, n: int, bits: int = SKETCH_BITS) -> np.ndarray:
     part = 1 << 14
 
     def count(batches):
-        total = np.zeros(1 << bits, np.int64)
+        total = np.zeros(1 << bits, np.int32)
         for batch in batches:
             for _, _, h, offs, _, _ in bs.scan_words(*bs.buffers(batch["text"]), bs.NOT_SPACE, True):
                 s = bs.mix(bs.window_sums(h, n) * _A + np.uint64(n))[bs.whole_windows(offs, n)]
@@ -83,7 +84,7 @@ def sketch(docs: DataFrame, n: int, bits: int = SKETCH_BITS) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for k, c in zip(batch["part"].to_pylist(), batch["counts"].to_pylist()):
-                sums[k] = sums.get(k, 0) + np.frombuffer(c, np.int64)
+                sums[k] = sums.get(k, 0) + np.frombuffer(c, np.int32).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.int32()), pa.array([c.tobytes() for c in sums.values()], pa.binary())],
             ["part", "counts"])
@@ -206,66 +207,74 @@ def _bounded(pairs: DataFrame, ratio) -> DataFrame:
 
 
 def _across(rows: DataFrame, ratio, quota: int | None) -> DataFrame:
-    """Candidate pairs across components inside each (tile, band, block)."""
+    """Candidate pairs (a, b) across components inside each block of each tile; ``cut`` where the
+    quota left others out."""
     def compare(batches):
-        held, name = [], None
+        held, count, last = [], 0, None
         for batch in batches:
             tile = batch["tile"].to_numpy()
             cuts = np.flatnonzero(np.diff(tile)) + 1
-            for a, b in zip(np.append(0, cuts), np.append(cuts, len(tile))):
-                if a == b:
-                    continue
-                if name is not None and tile[a] != name:
-                    yield from _block(pa.Table.from_batches(held), ratio, quota)
-                    held = []
-                name = tile[a]
-                held.append(batch.slice(a, b - a))
+            # whole tiles only: what is before the last one's start may go
+            edge = int(cuts[-1]) if len(cuts) else 0
+            if len(tile) and held and tile[0] != last and edge == 0:
+                edge = -1
+            if count + len(tile) > BLOCK and edge:
+                if edge > 0:
+                    held.append(batch.slice(0, edge))
+                yield _pairs(held, ratio, quota)
+                batch = batch.slice(max(edge, 0))
+                held, count = [], 0
+            held.append(batch)
+            count += len(batch)
+            last = tile[-1] if len(tile) else last
         if held:
-            yield from _block(pa.Table.from_batches(held), ratio, quota)
+            yield _pairs(held, ratio, quota)
 
     laid = rows.withColumn("tile", F.xxhash64("token", "to_band", "block")).select(
         "tile", "sid", "size", "comp", "bitmap", "home", "free")
     return laid.repartition("tile").sortWithinPartitions("tile").mapInArrow(
-        compare, "a binary, b binary").distinct()
+        compare, "a binary, b binary, cut boolean").groupBy("a", "b").agg(F.max("cut").alias("cut"))
 
 
-def _block(rows: pa.Table, ratio, quota):
-    sid, comp, bitmap = (rows[c].to_pylist() for c in ("sid", "comp", "bitmap"))
-    size, home, free = (rows[c].to_numpy() for c in ("size", "home", "free"))
-    _, group = np.unique(np.array([c.hex() for c in comp]), return_inverse=True)
-    width = np.array([len(x) // 8 for x in bitmap])
+def _pairs(held: list[pa.RecordBatch], ratio, quota) -> pa.RecordBatch:
+    """Free rows against the home rows of their tile, over several tiles at once."""
+    rows = pa.Table.from_batches(held)
+    tile, size, home, free = (rows[c].to_numpy() for c in ("tile", "size", "home", "free"))
+    comp = rows["comp"].combine_chunks().dictionary_encode().indices.to_numpy()
+    sid, bitmaps = rows["sid"].to_pylist(), rows["bitmap"].to_pylist()
+    width = np.array([len(x) // 8 for x in bitmaps])
+    words, at = np.frombuffer(b"".join(bitmaps), np.uint64), np.cumsum(width) - width
     p, q = ratio
-    left, right = [], []
-    stacks = {}
-    for w in np.unique(width):
-        at = np.flatnonzero((width == w) & home)
-        stacks[w] = at, np.frombuffer(b"".join(bitmap[k] for k in at), np.uint64).reshape(len(at), w)
-    for x in np.flatnonzero(free):
-        mine = np.frombuffer(bitmap[x], np.uint64).reshape(1, -1)
-        found, far = [], []
-        for at, stack in stacks.values():
-            ok = (group[at] != group[x]) & (q * np.minimum(size[at], size[x]) >= p * np.maximum(size[at], size[x]))
-            ok = np.flatnonzero(ok)
-            if not len(ok):
-                continue
-            d = differing_bits(np.repeat(mine, len(ok), axis=0), stack[ok]).astype(np.int64)
-            good = within(d, size[at[ok]] + size[x], ratio)
-            found.append(at[ok[good]])
-            far.append(d[good])
-        if not found:
-            continue
-        found, far = np.concatenate(found), np.concatenate(far)
-        if quota is not None and len(found) > quota:
-            order = np.lexsort((far, group[found]))
-            g = group[found][order]
-            begin = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
-            rank = np.arange(len(g)) - np.repeat(begin, np.diff(np.append(begin, len(g))))
-            found = found[order[rank < quota]]
-        for y in found:
-            a, b = sorted((sid[x], sid[y]))
-            left.append(a)
-            right.append(b)
-    yield pa.RecordBatch.from_arrays([pa.array(left, pa.binary()), pa.array(right, pa.binary())], ["a", "b"])
+    homes, guests = np.flatnonzero(home), np.flatnonzero(free)
+    homes, guests = homes[np.argsort(tile[homes], kind="stable")], guests[np.argsort(tile[guests])]
+    low, high = (np.searchsorted(tile[homes], tile[guests], side) for side in ("left", "right"))
+    found = []
+    for part in np.array_split(np.arange(len(guests)), max(1, int((high - low).sum()) // PAIRS)):
+        n = high[part] - low[part]
+        x = np.repeat(guests[part], n)
+        y = homes[np.repeat(low[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        ok = (comp[x] != comp[y]) & (q * np.minimum(size[x], size[y]) >= p * np.maximum(size[x], size[y]))
+        x, y = x[ok], y[ok]
+        far = np.empty(len(x), np.int64)
+        kinds = width[x] * 4096 + width[y]
+        for kind in np.unique(kinds):
+            k = np.flatnonzero(kinds == kind)
+            a, b = (words[at[z[k], None] + np.arange(width[z[k[0]]])] for z in (x, y))
+            far[k] = differing_bits(a, b)
+        ok = within(far, size[x] + size[y], ratio)
+        found.append((x[ok], y[ok], far[ok]))
+    x, y, far = (np.concatenate(v) for v in zip(*found))
+    order = np.lexsort((far, comp[y], x))
+    x, y = x[order], y[order]
+    new = np.append(True, (x[1:] != x[:-1]) | (comp[y][1:] != comp[y][:-1]))[:len(x)]
+    begin = np.flatnonzero(new)
+    many = np.diff(np.append(begin, len(x)))
+    rank = np.arange(len(x)) - np.repeat(begin, many)
+    keep = np.ones(len(x), bool) if quota is None else rank < quota
+    cut = np.zeros(len(x), bool) if quota is None else np.repeat(many > quota, many)
+    a, b = zip(*(sorted((sid[i], sid[j])) for i, j in zip(x[keep], y[keep]))) if keep.any() else ((), ())
+    return pa.RecordBatch.from_arrays(
+        [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(cut[keep])], ["a", "b", "cut"])
 
 
 def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 100),
@@ -275,8 +284,8 @@ def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 1
     small_batches(spark)
     stages = Stages(spark, "ngram-join")
     counts = sketch(docs, n, sketch_bits)
-    counts[counts < FREQUENT * max(1.0, counts.mean())] = 0
-    signed = stages.write(signatures(docs, n, ratio, spark.sparkContext.broadcast(counts.astype(np.int32))))
+    signed = stages.write(signatures(docs, n, ratio, spark.sparkContext.broadcast(
+        np.minimum(counts, 2**31 - 1).astype(np.int32))))
     sets = stages.write(signed.where("size > 0 and doc_id is not null").groupBy("sid").agg(
         F.min("doc_id").alias("owner"), F.first("size").alias("size"),
         F.first("bitmap").alias("bitmap"), F.first("prefix").alias("prefix")))
@@ -307,7 +316,7 @@ def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 1
     tried = pairs
     roots = components(links, stages)
 
-    for quota in QUOTAS:
+    for quota in (QUOTA, None):
         named = rows.where("m > 2").join(
             roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn(
             "comp", F.coalesce("root", "sid")).drop("root")
@@ -326,13 +335,15 @@ def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 1
             "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("home", F.lit(False))
         homes = homes.withColumn("free", F.lit(False))
         laid = homes.unionByName(guests).join(about.select("sid", "bitmap"), "sid")
-        pairs = stages.write(_across(laid, ratio, quota).join(tried, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            continue
-        more = decide(pairs, docs, sets, n, ratio, stages)
-        tried = stages.write(tried.unionByName(pairs))
-        links = stages.write(links.unionByName(more))
-        roots = components(links, stages)
+        pairs = stages.write(_across(laid, ratio, quota))
+        whole = pairs.where("cut").isEmpty()
+        pairs = stages.write(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"))
+        if not pairs.isEmpty():
+            tried = stages.write(tried.unionByName(pairs))
+            links = stages.write(links.unionByName(decide(pairs, docs, sets, n, ratio, stages)))
+            roots = components(links, stages)
+        if whole:                            # no pair was left out
+            break
 
     owners = sets.select("sid", "owner").join(roots.withColumnRenamed("node", "sid"), "sid", "left").select(
         "sid", "owner", F.coalesce("root", "sid").alias("root"))
