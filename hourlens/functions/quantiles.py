@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from hourlens.functions.columns import col, scalar
 
 ACCURACY = 100_000
-SMALL = 100_000          # groups up to this size are counted in full
+SLACKS = (1.0, 0.05, 5e-3, 5e-4)    # half widths of a bracket, besides 5 / accuracy
 
 
 def _count_edges(edges: Column, m: int, test: Callable[[Column], Column]) -> Column:
@@ -33,8 +33,7 @@ def _count_edges(edges: Column, m: int, test: Callable[[Column], Column]) -> Col
 
 
 def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks: Sequence[float],
-                  ranks: dict[str, str], accuracy: int,
-                  small_groups: bool) -> DataFrame:
+                  ranks: dict[str, str], accuracy: int) -> DataFrame:
     """One row per group: ``n`` and, per named rank, the value at that 0-based rank.
 
     ``ranks`` are SQL expressions over the group size ``_n``; ``marks`` are the
@@ -42,25 +41,25 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
     """
     x = col(value).cast("double")
     src = df.where(x.isNotNull() & ~F.isnan(x)).select(*by, x.alias("_x"))
-    # the sketch is off by at most n / accuracy ranks; the slack covers that and
-    # the rounding of ranks for every group above SMALL rows
-    slack = 5.0 / accuracy
-    fractions = [max(0.0, m - slack) for m in marks] + [min(1.0, m + slack) for m in marks]
+    # The sketch is off by at most n / accuracy ranks, a fifth of the narrowest slack.  A bracket
+    # also has to hold the two ranks around its mark, so a group takes the narrowest slack
+    # that is worth three of its ranks or more; the widest reaches from its least to its greatest value.
+    slacks = [*(s for s in SLACKS if s > 5.0 / accuracy), 5.0 / accuracy]
     m = len(marks)
-    small = F.col("_n") <= SMALL
+    fractions = [min(1.0, max(0.0, x)) for s in slacks
+                 for x in [k - s for k in marks] + [k + s for k in marks]]
+    level = reduce(lambda a, b: a + b, [(F.col("_n") * s >= 3).cast("int") for s in slacks[1:]])
     brackets = src.groupBy(*by).agg(
         F.count("*").alias("_n"),
-        F.percentile_approx("_x", fractions, accuracy).alias("_b")).select(
-        *by, "_n",
-        F.when(small, F.array_repeat(F.lit(float("-inf")), m))
-         .otherwise(F.slice("_b", 1, m)).alias("_low"),
-        F.when(small, F.array_repeat(F.lit(float("inf")), m))
-         .otherwise(F.slice("_b", m + 1, m)).alias("_high"))
+        F.percentile_approx("_x", fractions, accuracy).alias("_b")).withColumn(
+        "_at", level * (2 * m) + 1).select(
+        *by, "_n", F.slice("_b", F.col("_at"), m).alias("_low"),
+        F.slice("_b", F.col("_at") + m, m).alias("_high"))
 
     if by:
         side = brackets.select(*[F.col(c).alias(f"_g_{c}") for c in by], "_n", "_low", "_high")
         match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by])
-        joined = src.join(F.broadcast(side) if small_groups else side, match)
+        joined = src.join(side, match)
         n, lows, highs = F.col("_n"), F.col("_low"), F.col("_high")
     else:
         # bound to a column once, so the subquery appears once in the plan
@@ -89,7 +88,7 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by],
                   F.col("_r") == F.col("_g_r"))
     cum = (counted.withColumn("_in", F.sum("_c").over(inner))
-           .join(F.broadcast(offsets) if small_groups else offsets, same)
+           .join(offsets, same)
            .withColumn("_hi", F.col("_off") + F.col("_in"))
            .withColumn("_lo", F.col("_hi") - F.col("_c")))
 
@@ -102,13 +101,11 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
 
 
 def quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], by: Sequence[str] = (),
-              *, bounded: bool = False, small_groups: bool = True,
-              accuracy: int = ACCURACY) -> DataFrame:
+              *, bounded: bool = False, accuracy: int = ACCURACY) -> DataFrame:
     """Linear-interpolation quantiles: ``by..., n, q`` with ``q`` an array.
 
     bounded       the value comes from a fixed small domain, use ``percentile``
-    small_groups  the number of groups has a fixed bound (months, features);
-                  their bracket table is then broadcast
+    Group tables are joined, never forced into a broadcast: AQE measures them.
     """
     by = list(by)
     if bounded:
@@ -123,7 +120,7 @@ def quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], by: Se
         ranks[f"_f{i}"], ranks[f"_t{i}"] = f"floor({pos})", f"ceil({pos})"
         pos = pos.replace("_n", "n")
         cells.append(f"_f{i} + (_t{i} - _f{i}) * ({pos} - floor({pos}))")
-    found = _order_values(df, value, by, probs, ranks, accuracy, small_groups)
+    found = _order_values(df, value, by, probs, ranks, accuracy)
     return found.select(*by, "n", F.expr(f"array({', '.join(cells)})").alias("q"))
 
 
@@ -138,5 +135,5 @@ def value_at_fraction(df: DataFrame, value: Column | str, fraction: float,
     """One row ``n, value``: the value at 0-based rank ``floor(fraction * n)``."""
     found = _order_values(df, value, [], [fraction],
                           {"_k": f"least(floor({float(fraction)!r}D * _n), _n - 1)"},
-                          accuracy, True)
+                          accuracy)
     return found.select("n", F.col("_k").alias("value"))

@@ -1,45 +1,38 @@
 """Running totals and ranks over a whole table without a one-task sort.
 
-Distinct values are counted first, so a hot value is one row.  A sketch gives
-at most ``BUCKETS - 1`` boundaries; they come to the driver (a fixed, tiny
-number of doubles) and become a literal decision tree.  Windows then run per
-bucket, and only the per-bucket totals (``BUCKETS`` rows) are ordered globally.
+Distinct values are counted first, so a hot value is one row.  The counted rows are cut into
+ranges of about equal row counts, as many as the session has shuffle partitions, and written with
+the number of their range.  Windows then run per range, and only one total per range is
+ordered globally: tasks grow with neither the data nor a fixed number of buckets.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 1024
+from hourlens.session import work_dir
 
 
-def range_bucket(df: DataFrame, value: str, out: str = "_b", buckets: int = BUCKETS) -> DataFrame:
-    """Number ``value`` into order-preserving, evenly filled buckets."""
-    probs = ", ".join(f"{i / buckets!r}D" for i in range(1, buckets))
-    row = df.agg(F.expr(f"percentile_approx(CAST(`{value}` AS DOUBLE), array({probs}), "
-                        f"{4 * buckets})")).first()
-    edges = sorted(set(row[0] or []))
-    wide = df.withColumn("_bucket_x", F.col(value).cast("double"))
-    splits = [-math.inf, *edges, math.inf]
-    if len(splits) < 3:
-        return df.withColumn(out, F.lit(0))
-    cut = Bucketizer(splits=splits, inputCol="_bucket_x", outputCol=out, handleInvalid="keep")
-    return cut.transform(wide).drop("_bucket_x").withColumn(out, F.col(out).cast("int"))
+def range_bucket(df: DataFrame, value: str, out: str = "_b") -> DataFrame:
+    """A written copy of ``df`` whose column ``out`` numbers order-preserving ranges of ``value``."""
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cut = df.repartitionByRange(n, value).withColumn(out, F.spark_partition_id())
+    path = work_dir(spark, "ranges")
+    cut.write.parquet(path)
+    return spark.read.schema(cut.schema).parquet(path)
 
 
-def running_before(counts: DataFrame, value: str, sums: Sequence[str],
-                   buckets: int = BUCKETS) -> DataFrame:
+def running_before(counts: DataFrame, value: str, sums: Sequence[str]) -> DataFrame:
     """Add ``before_<c>``: the total of ``c`` over all strictly smaller values.
 
     ``counts`` has one row per distinct ``value``.
     """
-    tagged = range_bucket(counts, value, "_b", buckets)
-    # at most `buckets` rows from here on, so the global window is bounded
+    tagged = range_bucket(counts, value, "_b")
+    # one row per range from here on, so the global window is bounded
     order = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (tagged.groupBy("_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
                .select("_b", *[F.coalesce(F.sum(f"_t_{c}").over(order), F.lit(0)).alias(f"_o_{c}")
@@ -52,8 +45,11 @@ def running_before(counts: DataFrame, value: str, sums: Sequence[str],
                     *[(F.col(f"_l_{c}") + F.col(f"_o_{c}")).alias(f"before_{c}") for c in sums]))
 
 
-def average_ranks(df: DataFrame, value: str) -> DataFrame:
-    """One row per distinct value: ``value, n, rank`` with ties averaged (1-based)."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
+def average_ranks(df: DataFrame, value: str, weight: str | None = None) -> DataFrame:
+    """One row per distinct value: ``value, n, rank`` with ties averaged (1-based).
+
+    ``weight`` names a column that says how often each row counts."""
+    n = F.count("*") if weight is None else F.sum(weight)
+    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(n.alias("n"))
     return running_before(counts, value, ["n"]).select(
         value, "n", (F.col("before_n") + (F.col("n") + 1) / 2.0).alias("rank"))

@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from multiprocessing.pool import ThreadPool
 
-import numpy as np
-import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -17,27 +15,30 @@ from hourlens import config
 from hourlens.functions import columns as fc
 from hourlens.functions.quantiles import median
 from hourlens.operators.features import scaling_stats
-from hourlens.operators.relational import sample_hash
 
-SAMPLE_ROWS = 5000
+MAX_ITER = 300
 
 
 def scaled_vector(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    """Standardise with the population deviation and pack into a vector."""
+    """Standardise with the population deviation and pack into a vector.
+
+    A feature that never varies is 0; a null feature is an error, not the mean.
+    """
     s = fc.fitted(scaling_stats(df, features))
-    cells = [F.coalesce(fc.ratio(F.col(f) - s[f"{f}_mean"], s[f"{f}_std"]), F.lit(0.0))
+    cells = [F.when(F.col(f).isNull(), F.raise_error(F.lit(f"null in clustering feature {f}")).cast(
+        "double")).otherwise(F.coalesce(fc.ratio(F.col(f) - s[f"{f}_mean"], s[f"{f}_std"]), F.lit(0.0)))
              for f in features]
     return df.withColumn(out, array_to_vector(F.array(*cells)))
 
 
 def kmeans(df: DataFrame, k: int, restarts: int = 10, seed: int = config.SEED,
-           parallelism: int = 8) -> KMeansModel:
+           parallelism: int = 8, max_iter: int = MAX_ITER) -> KMeansModel:
     """Best of several starts, by training cost.  ``df`` has a features vector."""
-    return _best_models(df, [k], restarts, seed, parallelism)[k]
+    return _best_models(df, [k], restarts, seed, parallelism, max_iter)[k]
 
 
 def _best_models(df: DataFrame, ks: Iterable[int], restarts: int, seed: int,
-                 parallelism: int) -> dict[int, KMeansModel]:
+                 parallelism: int, max_iter: int) -> dict[int, KMeansModel]:
     """Fit all (k, start) pairs; a few fits run at once, as in cross-validation."""
     data = df.select("features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -46,7 +47,7 @@ def _best_models(df: DataFrame, ks: Iterable[int], restarts: int, seed: int,
         def fit(job: tuple[int, int]) -> tuple[int, float, KMeansModel]:
             k, s = job
             model = KMeans(k=k, seed=s, featuresCol="features", predictionCol="cluster",
-                           maxIter=50).fit(data)
+                           maxIter=max_iter).fit(data)
             return k, model.summary.trainingCost, model
 
         with ThreadPool(parallelism) as pool:
@@ -60,78 +61,70 @@ def _best_models(df: DataFrame, ks: Iterable[int], restarts: int, seed: int,
     return {k: m for k, (_, m) in best.items()}
 
 
-def silhouette_points(sample: DataFrame, features: Sequence[str], label: str,
-                      limit: int = SAMPLE_ROWS) -> DataFrame:
-    """Euclidean silhouette of every sampled row.
+def _cluster_sums(points: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Per cluster: rows, sum of each coordinate, sum of squared lengths.  One small row each."""
+    square = sum((F.col(c) * F.col(c) for c in names), F.lit(0.0))
+    return points.groupBy("_label").agg(
+        F.count("*").alias("n"), F.array(*[F.sum(c) for c in names]).alias("total"),
+        F.sum(square).alias("square"))
+
 
-    The sample is capped, so shipping it to the tasks is a fixed cost; each
-    task measures its own rows against it in numpy.
+def silhouette_points(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """Silhouette of every row under squared Euclidean distance: ``label, silhouette``.
+
+    The mean squared distance to a cluster follows from its row count, coordinate sums and
+    sum of squares, so two passes over the rows suffice, whatever their number.
+    Coordinates are taken from the overall mean, which keeps the sums small.
     """
-    points = sample.select(*[F.col(f).cast("double") for f in features],
-                           F.col(label).alias("_label"))
-    pdf = points.limit(limit + 1).toPandas()
-    if len(pdf) > limit:
-        raise ValueError(f"silhouette needs a sample of at most {limit} rows")
-    spark = sample.sparkSession
-    names = sorted(pdf["_label"].unique().tolist())
-    shared = spark.sparkContext.broadcast((
-        pdf[list(features)].to_numpy(float),
-        pdf["_label"].map({v: i for i, v in enumerate(names)}).to_numpy(),
-        names))
-
-    def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
-        pts, lab, levels = shared.value
-        sizes = np.bincount(lab, minlength=len(levels)).astype(float)
-        onehot = np.eye(len(levels))[lab]
-        index = {v: i for i, v in enumerate(levels)}
-        for pdf in batches:
-            out = np.zeros(len(pdf))
-            mine = pdf["_label"].map(index).to_numpy()
-            x = pdf[list(features)].to_numpy(float)
-            for lo in range(0, len(pdf), 256):
-                block = x[lo:lo + 256]
-                dist = np.sqrt(((block[:, None, :] - pts[None, :, :]) ** 2).sum(-1))
-                total = dist @ onehot
-                own = mine[lo:lo + 256]
-                rows = np.arange(len(block))
-                n_own = sizes[own]
-                a = total[rows, own] / np.maximum(n_own - 1, 1)
-                mean = total / np.maximum(sizes, 1)
-                mean[rows, own] = np.inf
-                b = mean.min(axis=1)
-                s = (b - a) / np.maximum(np.maximum(a, b), 1e-300)
-                out[lo:lo + 256] = np.where((n_own > 1) & np.isfinite(b), s, 0.0)
-            yield pd.DataFrame({"label": pdf["_label"], "silhouette": out})
-
-    kind = dict(points.dtypes)["_label"]
-    return points.mapInPandas(run, f"label {kind}, silhouette double")
-
-
-def silhouette(sample: DataFrame, features: Sequence[str], label: str,
-               limit: int = SAMPLE_ROWS) -> DataFrame:
-    return silhouette_points(sample, features, label, limit).agg(
+    names = [f"_x{i}" for i in range(len(features))]
+    mean = fc.fitted(df.agg(*[F.avg(F.col(f).cast("double")).alias(f"m{i}")
+                              for i, f in enumerate(features)]))
+    points = df.select(F.col(label).alias("_label"), *[
+        (F.col(f).cast("double") - mean[f"m{i}"]).alias(n)
+        for i, (f, n) in enumerate(zip(features, names))])
+    sums = _cluster_sums(points, names).agg(
+        F.collect_list(F.struct("_label", "n", "total", "square")).alias("clusters"))
+    own_square = sum((F.col(c) * F.col(c) for c in names), F.lit(0.0))
+
+    def away(c: Column) -> Column:
+        dot = sum((F.col(n) * c["total"][i] for i, n in enumerate(names)), F.lit(0.0))
+        return F.greatest(F.lit(0.0), F.col("_sq") - 2 * dot / c["n"] + c["square"] / c["n"])
+
+    far = points.withColumn("_sq", own_square).withColumn("_all", fc.scalar(sums)["clusters"])
+    far = far.withColumn("_far", F.transform("_all", lambda c: F.struct(
+        c["_label"].alias("label"), c["n"].alias("n"), away(c).alias("d"))))
+    mine = F.filter("_far", lambda c: c["label"] == F.col("_label"))[0]
+    other = F.array_min(F.transform(F.filter(
+        "_far", lambda c: c["label"] != F.col("_label")), lambda c: c["d"]))
+    near = mine["d"] * mine["n"] / (mine["n"] - 1)
+    value = F.when((mine["n"] > 1) & other.isNotNull() & (F.greatest(near, other) > 0),
+                   (other - near) / F.greatest(near, other)).otherwise(F.lit(0.0))
+    return far.select(F.col("_label").alias("label"), value.alias("silhouette"))
+
+
+def silhouette(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    return silhouette_points(df, features, label).agg(
         F.avg("silhouette").alias("silhouette"), F.count("*").alias("n"))
 
 
-def select_k(df: DataFrame, key: str, features: Sequence[str], ks: Iterable[int] = range(2, 9),
-             sample: int = SAMPLE_ROWS, restarts: int = 10, seed: int = config.SEED,
-             parallelism: int = 8) -> tuple[DataFrame, dict[int, KMeansModel]]:
-    """Silhouette per k on a hash sample, all fits on all rows, plus the models."""
+def select_k(df: DataFrame, features: Sequence[str], ks: Iterable[int] = range(2, 9),
+             restarts: int = 10, seed: int = config.SEED, parallelism: int = 8,
+             max_iter: int = MAX_ITER) -> tuple[DataFrame, dict[int, KMeansModel]]:
+    """Silhouette per k and the fitted models, both over all rows."""
     ks = list(ks)
     vec = scaled_vector(df, features)
-    models = _best_models(vec, ks, restarts, seed, parallelism)
+    models = _best_models(vec, ks, restarts, seed, parallelism, max_iter)
     names = [f"_x{i}" for i in range(len(features))]
-    picked = sample_hash(vec.select(key, "features"), key, sample, seed).persist()
-    try:
-        rows = []
-        for k in ks:
-            labelled = models[k].transform(picked).withColumn("_a", vector_to_array("features"))
-            pts = labelled.select(*[F.col("_a")[i].alias(n) for i, n in enumerate(names)],
-                                  "cluster")
-            row = silhouette(pts, names, "cluster", sample).first()
-            rows.append((k, float(row["silhouette"]), int(row["n"])))
-    finally:
-        picked.unpersist()
+
+    def score(k: int) -> tuple[int, float, int]:
+        labelled = models[k].transform(vec.select("features")).withColumn(
+            "_a", vector_to_array("features"))
+        row = silhouette(labelled.select(*[F.col("_a")[i].alias(n) for i, n in enumerate(names)],
+                                         "cluster"), names, "cluster").first()
+        return k, float(row["silhouette"]), int(row["n"])
+
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(inheritable_thread_target(df.sparkSession)(score), ks)
     best = max(rows, key=lambda r: (r[1], -r[0]))[0]
     table = df.sparkSession.createDataFrame(
         [(k, s, n, k == best) for k, s, n in rows],

@@ -37,9 +37,10 @@ def roc_auc(df: DataFrame, y: str = "y", score: str = "score") -> DataFrame:
     """Area under the ROC curve by rank sum, ties counted half.
 
     Scores are counted by distinct value, ranked inside order-preserving
-    buckets, and the buckets are stitched with one short running total.
+    ranges, and the ranges are stitched with one short running total.  Rows
+    without a score or a label are left out.
     """
-    counts = df.groupBy(F.col(score).alias("_s")).agg(
+    counts = df.where(F.col(score).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(score).alias("_s")).agg(
         F.sum(F.col(y).cast("bigint")).alias("_pos"),
         F.sum((1 - F.col(y)).cast("bigint")).alias("_neg"))
     tagged = range_bucket(counts, "_s")

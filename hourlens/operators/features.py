@@ -12,9 +12,6 @@ from hourlens.functions import columns as fc
 from hourlens.functions.quantiles import quantiles
 
 
-RARE_LIMIT = 1000       # longest rare-category list that becomes a literal
-
-
 def add_time(df: DataFrame, ts: str = "ts") -> DataFrame:
     """Calendar parts and their positions on the daily and weekly circle."""
     df = df.withColumns({
@@ -35,18 +32,11 @@ def rare_to_other(df: DataFrame, column: str, min_n: int = config.RARE_CATEGORY_
                   out: str = "category_grouped", other: str = "Other") -> DataFrame:
     """Fold categories with fewer than ``min_n`` rows into one.
 
-    The rare list is fitted once.  Up to ``RARE_LIMIT`` names become a literal
-    list, so the rows stay where they are; a longer list (high-cardinality
-    text) is joined, and AQE picks the strategy from measured sizes.
+    One plan for any number of rare names: the counted rare side is joined.  AQE broadcasts it when
+    its measured size allows, and splits the rows of a common category otherwise.
     """
-    rare = rare_categories(df, column, min_n)
-    found = rare.select(column).limit(RARE_LIMIT + 1).collect()
-    if len(found) <= RARE_LIMIT:
-        names = [r[0] for r in found]
-        hit = F.col(column).isin(names) if names else F.lit(False)
-        return df.withColumn(out, F.when(hit, F.lit(other)).otherwise(F.col(column)))
-    side = rare.select(F.col(column).alias("_rare"))
-    return (df.join(side, df[column] == side["_rare"], "left")
+    rare = rare_categories(df, column, min_n).select(F.col(column).alias("_rare"))
+    return (df.join(rare, df[column] == rare["_rare"], "left")
             .withColumn(out, F.when(F.col("_rare").isNotNull(), F.lit(other))
                         .otherwise(F.col(column)))
             .drop("_rare"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from hourlens import config
 from hourlens.functions import columns as fc
 from hourlens.operators.features import with_class_weight
-from hourlens.operators.relational import hash_order, sample_hash
+from hourlens.operators.relational import hash_order
 from hourlens.session import work_dir
 
 
@@ -30,15 +31,6 @@ def assemble(features: Sequence[str], out: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="error")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give an input of too few partitions one per core; larger ones pass through.
-
-    Tree fits are CPU-bound, and a table of one small file would use one core.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores // 2 else df
-
-
 def feature_gaps(df: DataFrame, features: Sequence[str]) -> list[str]:
     missing = [f for f in features if f not in df.columns]
     if missing:
@@ -55,7 +47,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str,
     """
     feature_gaps(train, features)
     weighted = with_class_weight(train, label)
-    n = train.count()
+    n = train.count()           # a footer count where ``train`` is a written table
     return Pipeline(stages=[
         assemble(features, "raw"),
         StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
@@ -74,7 +66,7 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str, trees: int
         assemble(features),
         RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees,
                                maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed,
-                               maxMemoryInMB=1024, cacheNodeIds=True)]).fit(spread(weighted))
+                               maxMemoryInMB=1024, cacheNodeIds=True)]).fit(weighted)
 
 
 def fit_linear(train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:
@@ -151,23 +143,24 @@ def error_history(model: PipelineModel, test: DataFrame, metric: str = "absolute
 
 # --- attribution ------------------------------------------------------------
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str],
-                           label: str, key: str, rows: int = 2000,
+                           label: str, key: str, bucket_rows: int = 20_000,
                            seed: int = config.SEED) -> DataFrame:
-    """Mean increase of the absolute error when one feature is permuted.
+    """Mean increase of the absolute error when one feature is permuted, over all rows of ``df``.
 
-    All features in one scoring job over a sample of ``rows`` rows.  A feature
-    is permuted by handing each row the value of the next row in an order
-    drawn by hash for that feature; the windows see the sample only.
+    Rows are dealt by hash into buckets of about ``bucket_rows``.  Inside a bucket, a feature is
+    permuted by handing each row the value of the next row in an order drawn by hash for
+    that feature; all features are scored in one job.
     """
-    sample = sample_hash(df.select(key, label, *features), key, rows, seed)
+    rows = df.select(key, label, *features)
+    buckets = max(1, math.ceil(rows.count() / bucket_rows))
+    dealt = rows.withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(buckets)))
     shifted = {}
     for i, f in enumerate(features):
-        order = [hash_order(key, seed + 1 + i), F.col(key)]
-        w = Window.orderBy(*order)
+        w = Window.partitionBy("_bucket").orderBy(hash_order(key, seed + 1 + i), F.col(key))
         wrap = F.first(f).over(w.rowsBetween(Window.unboundedPreceding,
                                              Window.unboundedFollowing))
         shifted[f"_p_{f}"] = F.coalesce(F.lead(f).over(w), wrap)
-    wide = sample.withColumns(shifted)
+    wide = dealt.withColumns(shifted)
     variants = [F.struct(F.lit("").alias("feature"), *[F.col(f).alias(f) for f in features])]
     for g in features:
         variants.append(F.struct(F.lit(g).alias("feature"), *[

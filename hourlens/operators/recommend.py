@@ -7,6 +7,7 @@ that works on at most 24 rows per key.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -189,7 +190,12 @@ def recommend_all(df: DataFrame, earliest: int = 6, latest: int = 20, top: int =
     every = sums.groupBy(*group, "hour").agg(
         (F.sum("_sum") / F.sum("_cnt")).alias("mean"), F.sum("_cnt").alias("n"))
     size = own.groupBy(*group, "category").agg((F.sum("_r") < min_n).alias("is_fallback"))
-    filled = (own.join(size.where(~F.col("is_fallback")), [*group, "category"])
+    # a null category is a category: the join must not lose it
+    full = size.where(~F.col("is_fallback")).select(
+        *[F.col(c).alias(f"_g_{c}") for c in [*group, "category"]], "is_fallback")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+                                       for c in [*group, "category"]])
+    filled = (own.join(full, same)
               .select(*group, "category", "is_fallback", "hour",
                       (F.col("_s") / F.col("_c")).alias("mean")))
     thin = (size.where("is_fallback").join(every, group)

@@ -71,10 +71,10 @@ def join_dim_back(df: DataFrame, dim: DataFrame, on_date: str = "tag_date",
                   ts: str = "ts") -> DataFrame:
     """All rows that fall on a date of the dimension.
 
-    The dimension has one row per tag and calendar day, a size set by the
-    calendar and not by the data, hence the broadcast.
+    The dimension has one row per tag and day, and the number of tags is data: a plain join,
+    which AQE turns into a broadcast where the measured size allows it.
     """
-    return df.join(F.broadcast(dim), F.to_date(df[ts]) == dim[on_date], "inner")
+    return df.join(dim, F.to_date(df[ts]) == dim[on_date], "inner")
 
 
 def propagate_tag(df: DataFrame, tag: str = "tag", ts: str = "ts",

@@ -14,6 +14,8 @@ from pyspark.sql import types as T
 from hourlens.functions import columns as fc
 from hourlens.functions.quantiles import quantiles
 from hourlens.functions.ranks import average_ranks
+from hourlens.session import work_dir
+from hourlens.sources.sinks import write_stage
 
 
 def describe(df: DataFrame, measure: str) -> DataFrame:
@@ -73,17 +75,20 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def spearman(df: DataFrame, x: str, y: str) -> DataFrame:
     """Rank correlation with tied ranks averaged.
 
-    Pairs are counted first, then both rank tables (one row per distinct
-    value) are joined; AQE picks broadcast or a skew-split sort-merge join.
+    The rows are read once: their counted pairs are written, and both rank tables (one row per
+    distinct value) and the size come from that.  AQE picks broadcast or a skew-split join.
     """
     base = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).select(
         F.col(x).alias("_x"), F.col(y).alias("_y"))
-    pairs = base.groupBy("_x", "_y").agg(F.count("*").alias("_w"))
-    rx = average_ranks(base, "_x").select("_x", F.col("rank").alias("_rx"))
-    ry = average_ranks(base, "_y").select("_y", F.col("rank").alias("_ry"))
+    spark = df.sparkSession
+    counted = base.groupBy("_x", "_y").agg(F.count("*").alias("_w"))
+    pairs = spark.read.schema(counted.schema).parquet(
+        write_stage(counted, work_dir(spark, "pairs")))
+    rx = average_ranks(pairs, "_x", "_w").select("_x", F.col("rank").alias("_rx"))
+    ry = average_ranks(pairs, "_y", "_w").select("_y", F.col("rank").alias("_ry"))
     j = pairs.join(rx, "_x").join(ry, "_y")
     # both rank columns have mean (n + 1) / 2; centring keeps the sums accurate
-    mid = fc.fitted(base.agg(((F.count("*") + 1) / 2.0).alias("m")))["m"]
+    mid = fc.fitted(pairs.agg(((F.sum("_w") + 1) / 2.0).alias("m")))["m"]
     dx, dy, w = F.col("_rx") - mid, F.col("_ry") - mid, F.col("_w")
     return j.agg(F.sum(w * dx * dy).alias("xy"), F.sum(w * dx * dx).alias("xx"),
                  F.sum(w * dy * dy).alias("yy"), F.sum(w).alias("n")).select(

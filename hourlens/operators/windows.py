@@ -32,9 +32,29 @@ def lag_change(df: DataFrame, order: str, measures: Sequence[str],
 def keep_best(df: DataFrame, ts: str, severity: Column, tiebreak: Sequence[str]) -> DataFrame:
     """One row per timestamp: highest severity, then the smallest tie-break.
 
-    An aggregate rather than a row_number window: candidates are reduced before
-    the shuffle, so an hour holding a third of the rows costs one row per task.
+    The winner of a timestamp is found by a hash aggregate over one fixed-width number, severity
+    first, tie-break second, so rows are reduced before the shuffle without being sorted; an hour
+    holding a third of the rows costs one number per task.  The winners' rows are then fetched
+    by (timestamp, key).  Other tie-breaks than one whole-number column need a sort aggregate.
     """
+    kind = dict(df.dtypes).get(tiebreak[0]) if len(tiebreak) == 1 else None
+    if kind not in ("tinyint", "smallint", "int", "bigint"):
+        return _keep_best_by_rank(df, ts, severity, tiebreak)
+    key = F.coalesce(F.col(tiebreak[0]).cast("decimal(20,0)"), F.lit(str(2**63)).cast("decimal(20,0)"))
+    unit = F.lit("1" + "0" * 20).cast("decimal(21,0)")
+    level = F.coalesce(severity, F.lit(-2**31)).cast("decimal(12,0)")
+    packed = (level * unit - key).cast("decimal(38,0)")
+    ranked = df.withColumn("_rank", packed)
+    top = ranked.groupBy(F.col(ts).alias("_ts")).agg(F.max("_rank").alias("_top"))
+    won = ranked.join(top, ranked[ts].eqNullSafe(top["_ts"]) & (F.col("_rank") == F.col("_top")))
+    # equal keys in one timestamp: one of the rows, which windows over winners only decide
+    rest = [c for c in df.columns if c != ts]
+    first = F.row_number().over(Window.partitionBy(ts).orderBy(*rest)) == 1
+    return won.withColumn("_one", first).where("_one").select(*df.columns)
+
+
+def _keep_best_by_rank(df: DataFrame, ts: str, severity: Column,
+                       tiebreak: Sequence[str]) -> DataFrame:
     rest = [c for c in df.columns if c != ts]
     best = F.min_by(F.struct(*rest), F.struct((-severity).alias("_s"), *tiebreak))
     return (df.groupBy(ts).agg(best.alias("_row"))

@@ -614,15 +614,18 @@ def rule_text(spark, d):
     return ru.sentence(_rules(spark, d)).select("consequent", "plain_language")
 
 
-@query("silhouette_euclid", f"""WITH {_LABELLED}, s AS (SELECT * FROM labelled
-        ORDER BY md5(concat(CAST(event_id AS VARCHAR), ':42')), event_id LIMIT 5000),
-    d AS (SELECT a.event_id AS id, a.cluster AS own, b.cluster AS other,
-        sum(sqrt(pow(a.measure - b.measure, 2) + pow(a.temp - b.temp, 2)
-            + pow(a.hour - b.hour, 2))) AS total, count(*) AS n FROM s a, s b GROUP BY 1, 2, 3),
-    m AS (SELECT id, max(total / (n - 1)) FILTER (WHERE own = other AND n > 1) AS a,
-        min(total / n) FILTER (WHERE own <> other) AS b FROM d GROUP BY 1)
+# squared distances over all rows: mean of |x - y|^2 is |x|^2 - 2 x.mean(y) + mean |y|^2
+@query("silhouette_euclid", f"""WITH {_LABELLED}, o AS (SELECT avg(measure) AS a, avg(temp) AS b,
+        avg(hour) AS c FROM labelled),
+    p AS (SELECT event_id AS id, cluster, measure - a AS x, temp - b AS y, hour - c AS z FROM labelled, o),
+    g AS (SELECT cluster, count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(z) AS mz,
+        avg(x * x + y * y + z * z) AS q FROM p GROUP BY 1),
+    d AS (SELECT id, p.cluster AS own, g.cluster AS other, n, greatest(0, x * x + y * y + z * z
+        - 2 * (x * mx + y * my + z * mz) + q) AS d FROM p, g),
+    m AS (SELECT id, max(d * n / nullif(n - 1, 0)) FILTER (WHERE own = other) AS a,
+        min(d) FILTER (WHERE own <> other) AS b FROM d GROUP BY 1)
     SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6)
         AS silhouette, count(*) AS n FROM m""")
 def silhouette_euclid(spark, d):
-    sample = rel.sample_hash(_labelled(spark, d), "event_id", cu.SAMPLE_ROWS)
-    return rounded(cu.silhouette(sample, ["measure", "temp", "hour"], "cluster"), 6, "silhouette")
+    return rounded(cu.silhouette(_labelled(spark, d), ["measure", "temp", "hour"], "cluster"), 6,
+                   "silhouette")

@@ -345,7 +345,8 @@ def forecast_naive(spark, d):
 # --- models -----------------------------------------------------------------
 def _features(spark, d):
     """The feature stage table: fits read it many times, its shuffles run once."""
-    return spark.read.parquet(write_stage(views.feat(spark, d), work_dir(spark, "features")))
+    rows = views.feat(spark, d).repartition(spark.sparkContext.defaultParallelism, "event_id")
+    return spark.read.parquet(write_stage(rows, work_dir(spark, "features")))
 
 
 def _split(spark, d, label):
@@ -415,22 +416,11 @@ def error_history(spark, d):
 
 @query("pred_vs_actual")
 def pred_vs_actual(spark, d):
-    scored = forecast_next_step(spark, d)
-    return scored.orderBy("hour_ts").limit(500)
-
-
-_SURROGATES: dict[tuple[str, str], tuple] = {}
+    """Every test hour in order."""
+    return forecast_next_step(spark, d).orderBy("hour_ts")
 
 
 def _surrogate(spark, d):
-    """Fitted once per session and folder; two reports read the same model."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _SURROGATES:
-        _SURROGATES[key] = _fit_surrogate(spark, d)
-    return _SURROGATES[key]
-
-
-def _fit_surrogate(spark, d):
     df = win.chrono_split(_features(spark, d), "ts")
     keep = df.select("event_id", "measure", "is_train", *views.FEATURES)
     train, test = keep.where("is_train"), keep.where(~F.col("is_train"))
@@ -468,7 +458,7 @@ def cluster_kmeans(spark, d):
 
 @query("cluster_select_k")
 def cluster_select_k(spark, d):
-    table, _ = cu.select_k(_cluster_input(spark, d), "event_id", _CLUSTER)
+    table, _ = cu.select_k(_cluster_input(spark, d), _CLUSTER)
     return table
 
 

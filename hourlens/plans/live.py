@@ -23,23 +23,30 @@ def _feed(spark, d):
                     F.get_json_object("props", "$.k").cast("int").alias("k"))
 
 
-# A window closes once the watermark (latest time minus one hour) has passed it.
-_CLOSED = "hour_ts + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"
+def _closed_feed(spark, d):
+    """The feed and the marker that ends it, so the last windows are emitted as well."""
+    feed = _feed(spark, d)
+    closing = jobs.Closing(feed)
+    return closing.attach(feed), closing
 
 
-@query("stream_hourly", f"""SELECT hour_ts, count(*) AS n, round(avg(value), 6) AS mean FROM obs
-    WHERE {_CLOSED} GROUP BY 1""")
+_REAL = "hour_ts < TIMESTAMP_NTZ '2900-01-01'"       # not the end marker
+
+
+@query("stream_hourly", """SELECT hour_ts, count(*) AS n, round(avg(value), 6) AS mean FROM obs
+    GROUP BY 1""")
 def stream_hourly(spark, d):
-    out = jobs.run_to_table(jobs.hourly_stats(_feed(spark, d)), "stream-hourly")
-    return out.withColumn("mean", F.round("mean", 6))
+    feed, closing = _closed_feed(spark, d)
+    out = jobs.run_to_table(jobs.hourly_stats(feed), "stream-hourly", closing=closing)
+    return out.where(_REAL).withColumn("mean", F.round("mean", 6))
 
 
-@query("stream_dedup_best", f"SELECT hour_ts, event_id, category, value, k FROM hourly "
-                            f"WHERE {_CLOSED}")
+@query("stream_dedup_best", "SELECT hour_ts, event_id, category, value, k FROM hourly")
 def stream_dedup_best(spark, d):
-    best = jobs.dedup_best(_feed(spark, d), fc.ordinal("category", views.SEVERITY, -1),
+    feed, closing = _closed_feed(spark, d)
+    best = jobs.dedup_best(feed, fc.ordinal("category", views.SEVERITY, -1),
                            ["event_id"], ["event_id", "category", "value", "k"])
-    return jobs.run_to_table(best, "stream-best")
+    return jobs.run_to_table(best, "stream-best", closing=closing).where(_REAL)
 
 
 @query("stream_exact_dedup", """SELECT DISTINCT event_id, ts, user_id, category, value, k
@@ -52,18 +59,19 @@ def stream_exact_dedup(spark, d):
     return jobs.run_to_table(jobs.exact_dedup(feed, cols), "stream-dedup").select(*cols)
 
 
-@query("stream_outages", """WITH g AS (SELECT hour_ts, ts, CASE WHEN ts - lag(ts) OVER (
-        ORDER BY ts) < INTERVAL 1 HOUR THEN 0 ELSE 1 END AS new_run FROM kept),
-    r AS (SELECT ts, sum(new_run) OVER (ORDER BY ts) AS run FROM g),
-    s AS (SELECT min(ts) AS run_start, max(ts) AS run_last, count(*) AS n FROM r GROUP BY run)
-    SELECT 'all' AS series, run_start, run_last, n FROM s
-    WHERE run_last + INTERVAL 1 HOUR <= (SELECT max(ts) FROM kept) - INTERVAL 1 HOUR""".replace(
-    "WITH g AS", """WITH kept AS (SELECT hour_ts, ts FROM obs WHERE NOT (day(ts) = 11
-        OR (hour(ts) = 3 AND day(ts) IN (5, 17)))), g AS"""))
+@query("stream_outages", """WITH kept AS (SELECT ts FROM obs WHERE NOT (day(ts) = 11
+        OR (hour(ts) = 3 AND day(ts) IN (5, 17)))),
+    g AS (SELECT ts, CASE WHEN ts - lag(ts) OVER (ORDER BY ts) < INTERVAL 1 HOUR THEN 0 ELSE 1 END
+        AS new_run FROM kept),
+    r AS (SELECT ts, sum(new_run) OVER (ORDER BY ts) AS run FROM g)
+    SELECT 'all' AS series, min(ts) AS run_start, max(ts) AS run_last, count(*) AS n
+    FROM r GROUP BY run""")
 def stream_outages(spark, d):
-    feed = _feed(spark, d).where(~((F.dayofmonth("ts") == 11)
-                                   | ((F.hour("ts") == 3) & F.dayofmonth("ts").isin(5, 17))))
-    return jobs.run_to_table(jobs.outages(feed), "stream-outages")
+    feed, closing = _closed_feed(spark, d)
+    feed = feed.where(~((F.dayofmonth("ts") == 11)
+                        | ((F.hour("ts") == 3) & F.dayofmonth("ts").isin(5, 17))))
+    out = jobs.run_to_table(jobs.outages(feed), "stream-outages", closing=closing)
+    return out.where(_REAL.replace("hour_ts", "run_start"))
 
 
 @query("stream_drift")

@@ -35,14 +35,52 @@ def event_time(df: DataFrame, ts: str = "ts", out: str = "event_ts") -> DataFram
     return df.withColumn(out, F.col(ts).cast("timestamp"))
 
 
-def run_to_table(df: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """Drain the source into a Parquet table and read it back."""
+class Closing:
+    """A second file source for the marker that ends a feed.
+
+    A window stays open until a later event moves the watermark past it.  ``attach`` adds a
+    marker stream to the feed, empty at first; ``close`` writes one row far in the future.  Drained
+    again, the query then emits every window and session still open.
+    """
+
+    FAR = "2999-12-31 00:00:00"
+
+    def __init__(self, feed: DataFrame, ts: str = "ts"):
+        self.spark, self.ts, self.schema = feed.sparkSession, ts, feed.schema
+        self.folder = work_dir(self.spark, "feed-end")
+        self._marker().where("false").write.parquet(self.folder)
+
+    def _marker(self) -> DataFrame:
+        row = self.spark.range(1)
+        return row.select(*[
+            (F.lit(self.FAR) if f.name == self.ts else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in self.schema.fields])
+
+    def attach(self, feed: DataFrame) -> DataFrame:
+        return feed.unionByName(self.spark.readStream.schema(self.schema).parquet(self.folder))
+
+    def close(self) -> None:
+        self._marker().write.mode("append").parquet(self.folder)
+
+
+def run_to_table(df: DataFrame, name: str, mode: str = "append",
+                 closing: Closing | None = None) -> DataFrame:
+    """Drain the source into a Parquet table and read it back.
+
+    With ``closing`` the query is resumed from its checkpoint once the feed is drained and its
+    end is marked, so the tail is emitted, too."""
     spark = df.sparkSession
     base = work_dir(spark, name)
-    query = (df.writeStream.format("parquet").outputMode(mode)
-             .option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+
+    def drain() -> None:
+        (df.writeStream.format("parquet").outputMode(mode)
+         .option("path", f"{base}/out").option("checkpointLocation", f"{base}/state")
+         .trigger(availableNow=True).start()).awaitTermination()
+
+    drain()
+    if closing is not None:
+        closing.close()
+        drain()
     return spark.read.schema(df.schema).parquet(f"{base}/out")
 
 
@@ -80,7 +118,13 @@ def exact_dedup(stream: DataFrame, columns: Sequence[str], watermark: str = "1 h
 
 def outages(stream: DataFrame, gap: str = "1 hour", watermark: str = "1 hour",
             key: Column | None = None) -> DataFrame:
-    """Unbroken coverage runs: a silence longer than the gap starts a new run."""
+    """Unbroken coverage runs: a silence longer than the gap starts a new run.
+
+    Events are merged into sessions inside each task before they are dealt out by series, so a
+    series that is the whole feed sends a few sessions per task, not its events.
+    """
+    stream.sparkSession.conf.set(
+        "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     key = F.lit("all") if key is None else key
     agg = (event_time(stream).withColumn("series", key).withWatermark("event_ts", watermark)
            .groupBy("series", F.session_window("event_ts", gap).alias("s"))

@@ -51,7 +51,7 @@ def test_saved_model_scores_the_same(spark, data):
 def test_permutation_finds_the_signal(data):
     model = md.fit_gbt(data, X, "y", trees=10)
     imp = {r["feature"]: r["importance"] for r in md.permutation_importance(
-        model, data, X, "y", "id", rows=300).collect()}
+        model, data, X, "y", "id", bucket_rows=300).collect()}
     assert set(imp) == set(X) and imp["a"] > imp["b"] > abs(imp["c"])
 
 
@@ -64,7 +64,7 @@ def test_select_k_finds_separated_groups(spark):
     rng = np.random.default_rng(2)
     pts = np.concatenate([rng.normal(c, 0.1, (40, 2)) for c in ((0, 0), (5, 5), (0, 5))])
     df = spark.createDataFrame(pd.DataFrame({"id": range(120), "p": pts[:, 0], "q": pts[:, 1]}))
-    table, models = cu.select_k(df, "id", ["p", "q"], ks=(2, 3, 4), restarts=2)
+    table, models = cu.select_k(df, ["p", "q"], ks=(2, 3, 4), restarts=2)
     assert table.where("is_best").first()["k"] == 3 and set(models) == {2, 3, 4}
 
 
