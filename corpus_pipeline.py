@@ -66,7 +66,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix draws it."""
     drawn = mixing.draw(docs.select("doc_id", "source", F.xxhash64("text").alias("text_hash"),
                                     mixing.word_count(F.col("text")).alias("size")),
-                        ["doc_id", "text_hash", "source", "copies"])
+                        ["doc_id", "text_hash", "source"])
     drawn = Stages(spark, "mixed").write(
         drawn.groupBy("doc_id", "text_hash", "source").agg(
             F.sum("copies").alias("copies"), F.count("*").alias("alike")).where("copies > 0").select(

@@ -99,12 +99,24 @@ def model():
     return tokenizer_json()
 
 
-@given(st.lists(st.text(max_size=60), max_size=5))
-@settings(deadline=None, max_examples=150)
+def encoded(encoder, texts):
+    raw = [t.encode("utf-8", "ignore") for t in texts]
+    bounds = np.concatenate([[0], np.cumsum([len(r) for r in raw])]).astype(np.int64)
+    return encoder.encode(np.frombuffer(b"".join(raw), np.uint8), bounds, 1)
+
+
+TRICKY = st.lists(st.sampled_from(
+    ["a", "H", "\u0331", "\u0301", "É", "é", ".", ",", "!?", "'s", "'", "\u2019", "9", "<", "|", "\u0338", " ",
+     "\n", "\x1c", "\x85", "\u3000", "İ", "ß", "ſ", "Σ", "ς", "中", "\u0130", "K", "<|ENDOFTEXT|>", "x.Y,", "×", "÷", "à.", "€", "ŉ"]),
+    max_size=12).map("".join)
+
+
+@given(st.lists(st.one_of(TRICKY, st.text(max_size=60)), max_size=5))
+@settings(deadline=None, max_examples=600)
 def test_chunks_encode_like_whole_texts(texts):
     model = _cached_model()
     texts += ["á ̸x Ǻ", "It's <|endoftext|> x<|startoftext|>", "\x0b\x1c\x85  a b"]
-    ids, offs = model[1].encode([t.encode("utf-8", "ignore") for t in texts], 1)
+    ids, offs = encoded(model[1], texts)
     for k, t in enumerate(texts):
         t = t.encode("utf-8", "ignore").decode()
         assert ids[offs[k]:offs[k + 1]].tolist() == model[0].encode(t, add_special_tokens=False).ids + [1]
@@ -124,7 +136,7 @@ def test_encoder_forgets_and_goes_on(monkeypatch, model):
     monkeypatch.setattr(token_store, "CACHE", 3)
     enc, plain = token_store.Encoder(model), Tokenizer.from_str(model)
     for k in range(5):
-        ids, _ = enc.encode([f"one{k} two{k} three{k} four".encode()], 1)
+        ids, _ = encoded(enc, [f"one{k} two{k} three{k} four"])
         assert ids.tolist() == plain.encode(f"one{k} two{k} three{k} four", add_special_tokens=False).ids + [1]
 
 
