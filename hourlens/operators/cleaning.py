@@ -113,6 +113,8 @@ class CleanConfig:
     tag_sentinel: str | None = "None"
     bounds: Mapping[str, tuple[float | None, float | None]] = field(default_factory=lambda: {
         "temp": config.TEMP_BOUNDS_K, "rain_1h": (None, config.RAIN_MAX_MM)})
+    # a zero here is implausible but kept, as the true value is unknown; the audit counts it
+    zero_kept: Sequence[str] = ("traffic_volume",)
     severity: Mapping[str, int] = field(default_factory=lambda: dict(config.DEDUP_SEVERITY))
     # ties on severity: the engine has no row order, so a full tie-break is named
     tiebreak: Sequence[str] = ("weather_main", "weather_description", "traffic_volume", "temp",
@@ -173,6 +175,7 @@ def audit(raw: DataFrame, cfg: CleanConfig | None = None) -> DataFrame:
     checks = range_check(cfg.bounds)
     after = best.agg(
         *[fc.count_rows(bad).alias(f"range_{c}") for c, bad in checks.items()],
+        *[fc.count_rows(F.col(c) == 0).alias(f"zero_{c}") for c in cfg.zero_kept],
         *[fc.count_rows(F.col(c).isNull()).alias(f"null_{c}")
           for c in [*cfg.numeric, *cfg.fill_text]],
         F.count("*").alias("rows_out"))
@@ -184,6 +187,7 @@ def audit(raw: DataFrame, cfg: CleanConfig | None = None) -> DataFrame:
               ("dedup", "identical rows", d["exact"]),
               ("dedup", "repeated timestamps", d["repeated"])]
     lines += [("impute", f"{c} out of range", a[f"range_{c}"]) for c in checks]
+    lines += [("impute", f"{c} of zero retained", a[f"zero_{c}"]) for c in cfg.zero_kept]
     lines += [("fill", f"{c} missing", a[f"null_{c}"]) for c in [*cfg.numeric, *cfg.fill_text]]
     lines += [("output", "rows kept", a["rows_out"])]
     spark = raw.sparkSession

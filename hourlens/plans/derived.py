@@ -12,7 +12,8 @@ from hourlens.sources import views
 CLEAN = CleanConfig(
     timestamp_text="date_time", ts="ts", category="category", text=("category", "tag"),
     fill_text=("category",), numeric=("value", "k"), tag="tag", tag_sentinel="None",
-    bounds={"value": (None, 1000.0)}, severity=views.SEVERITY, tiebreak=("event_id",))
+    bounds={"value": (None, 1000.0)}, severity=views.SEVERITY, zero_kept=("value", "k"),
+    tiebreak=("event_id",))
 
 
 def predictions(spark: SparkSession, d: str) -> DataFrame:

@@ -16,17 +16,29 @@ from hourlens.session import work_dir
 from hourlens.sources import readers, sinks, views
 
 
-def _events_csv(spark, d) -> str:
+def _events_csv(spark, d, broken_every: int | None = None) -> str:
+    """Events as headered CSV; with ``broken_every``, a line that does not fit the types for every
+    so many events."""
     path = work_dir(spark, "events-csv")
-    return sinks.write_stage(views.table(spark, d, "events").select(
-        "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"), "user_id",
-        "event_type", "value"), path, fmt="csv")
-
-
-@query("scan_csv_typed", "SELECT event_id, ts, user_id, event_type, value FROM events")
+    names = ["event_id", "ts", "user_id", "event_type", "value"]
+    rows = views.table(spark, d, "events").withColumn(
+        "ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")).select(
+        *[F.col(c).cast("string") for c in names])
+    if broken_every:
+        bad = rows.where(F.col("event_id").cast("long") % broken_every == 0).select(
+            F.concat(F.lit("broken "), "event_id").alias("event_id"),
+            *[F.lit(None).cast("string").alias(c) for c in names[1:]])
+        rows = rows.unionByName(bad)
+    return sinks.write_stage(rows, path, fmt="csv")
+
+
+@query("scan_csv_typed", f"""SELECT event_id, ts, user_id, event_type, value,
+        CAST(NULL AS VARCHAR) AS {readers.CORRUPT} FROM events
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, concat('broken ', event_id, ',,,,') FROM events
+    WHERE event_id % 500 = 0""")
 def scan_csv_typed(spark, d):
     schema = T.StructType(views.table(spark, d, "events").schema.fields[:5])
-    return readers.scan_csv(spark, _events_csv(spark, d), schema, keep_corrupt=False)
+    return readers.scan_csv(spark, _events_csv(spark, d, 500), schema)
 
 
 @query("scan_text_then_cast", """SELECT event_id, ts, user_id,
@@ -178,6 +190,9 @@ def ledger_best_run(spark, d):
     UNION ALL SELECT 'dedup', 'repeated timestamps', count(*) - count(DISTINCT ts) FROM uniq
     UNION ALL SELECT 'impute', 'value out of range', count(*) FILTER (WHERE value > 1000)
         FROM obs_best
+    UNION ALL SELECT 'impute', 'value of zero retained', count(*) FILTER (WHERE value = 0)
+        FROM obs_best
+    UNION ALL SELECT 'impute', 'k of zero retained', count(*) FILTER (WHERE k = 0) FROM obs_best
     UNION ALL SELECT 'fill', 'value missing', count(*) - count(value) FROM obs_best
     UNION ALL SELECT 'fill', 'k missing', count(*) - count(k) FROM obs_best
     UNION ALL SELECT 'fill', 'category missing', count(*) - count(category) FROM obs_best
