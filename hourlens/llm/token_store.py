@@ -7,9 +7,10 @@ one file, so files in name order are the corpus in document order.  A row holds
 ascending and delta coded.  Row groups and pages are small enough for the page index to skip most of a
 file: metadata reads touch no id page, reads by doc_id touch the pages of those documents.
 
-White space never takes part in a token of the tokenizers this store is meant for, so a text's ids are
-those of its chunks between ASCII white space, one after the other.  A worker keeps the ids of chunks
-it has met, up to ``CACHE`` of them.  Texts that hold the string of a special token go to the library whole.
+The tokenizers this store is meant for lower-case, drop white space and split letters from other signs, so
+a text's ids are those of its chunks between ASCII white space, one after the other.  A worker
+keeps the ids of chunks it has met, up to ``CACHE`` of them, from task to task.  Texts that may
+hold the string of a special token go to the library whole.
 
 Defined results: a null or empty text has only the end id; repeated rows are each written, side by
 side; null ids come first; an empty table gives an empty store; extra columns are not written.
@@ -30,7 +31,7 @@ from hourlens.llm import bytescan as bs
 from hourlens.llm.common import block_offsets, partitions, small_batches
 from hourlens.session import work_dir
 
-CACHE = 400_000
+CACHE = 800_000
 SCHEMA = "doc_id {id}, block int, start long, n_tokens int, ids array<int>"
 LAYOUT = {
     "compression": "zstd",
@@ -44,6 +45,36 @@ LAYOUT = {
 }
 
 
+ASCII_WORD = np.zeros(256, bool)
+ASCII_WORD[48:58] = ASCII_WORD[65:91] = ASCII_WORD[97:123] = True
+SIGN = np.zeros(256, bool)              # ASCII signs; an apostrophe can belong to what follows it
+SIGN[33:127] = ~ASCII_WORD[33:127]
+SIGN[39] = False
+
+
+def set_apart(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A space between each word of Latin-1 letters or digits and the ASCII signs that close it.
+
+    A token always ends there, so the ids stay the same while the chunks to remember become
+    fewer.  White space or the text's end has to follow the signs: then nothing joins them."""
+    n = len(buf)
+    if n < 2:
+        return buf, bounds
+    sign, letter = SIGN[buf], ASCII_WORD[buf]
+    # U+00C0 to U+00FF are letters but for the signs of multiplication and division
+    letter[1:] |= (buf[:-1] == 0xC3) & (buf[1:] != 0x97) & (buf[1:] != 0xB7)
+    turn = sign[1:] & letter[:-1]
+    inner = bounds[(bounds > 0) & (bounds < n)]
+    turn[inner - 1] = False                     # a text's first character closes no word
+    at = np.flatnonzero(turn) + 1
+    other = np.append(np.flatnonzero(~sign), n)             # where a run of signs may end
+    after = other[np.searchsorted(other, at)]
+    limit = bounds[np.searchsorted(bounds, at, "right")]    # the end of the text it is in
+    closed = (after >= limit) | bs.SPACE[buf[np.minimum(after, n - 1)]]
+    at = at[closed]
+    return np.insert(buf, at, 32), bounds + np.searchsorted(at, bounds)
+
+
 class Encoder:
     """Ids of many texts at once; chunks met before are looked up."""
 
@@ -52,54 +83,89 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(model)
-        self.special = [t["content"].encode() for t in json.loads(model).get("added_tokens", [])]
+        # what every special token starts with; texts that hold it go to the library as they are
+        special = [t["content"].encode() for t in json.loads(model).get("added_tokens", [])]
+        self.special = os.path.commonprefix(special)[:2] if special else b""
+        if special and not self.special:
+            raise ValueError("special tokens must share their first character")
         self._forget()
 
     def _forget(self):
         self.slots: dict[bytes, int] = _Slots()
-        self.ids, self.at, self.size = np.empty(1 << 20, np.int32), [], []
-        self.used = 0
+        self.ids, self.used = np.empty(1 << 20, np.int32), 0
+        self.at = self.size = np.empty(0, np.int64)
 
     def _learn(self):
         """Encode the chunks seen for the first time."""
-        new = self.slots.new
-        for enc in self.model.encode_batch_fast([c.decode() for c in new], add_special_tokens=False):
-            got = enc.ids
-            if self.used + len(got) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty(max(len(self.ids), len(got)), np.int32)])
-            self.ids[self.used:self.used + len(got)] = got
-            self.at.append(self.used)
-            self.size.append(len(got))
-            self.used += len(got)
-        new.clear()
-
-    def encode(self, texts: list[bytes], end: int) -> tuple[np.ndarray, np.ndarray]:
+        new = [c.decode() for c in self.slots.new]
+        self.slots.new.clear()
+        if not new:
+            return
+        # words of letters, joined by spaces, are one pre-token each: one call encodes them all
+        letters = np.fromiter(map(str.isalpha, new), bool, len(new))
+        plain, rest = np.flatnonzero(letters), np.flatnonzero(~letters)
+        joined = self.model.encode(" ".join([new[k] for k in plain]), add_special_tokens=False)
+        words = np.array(joined.word_ids, np.int64)
+        counts = np.bincount(words, minlength=len(plain)) if len(words) else np.zeros(len(plain), np.int64)
+        ids = np.array(joined.ids, np.int32)
+        if len(counts) != len(plain) or not (counts > 0).all():   # some letter is none to the library
+            plain, rest = np.empty(0, np.int64), np.arange(len(new))
+            counts, ids = np.empty(0, np.int64), np.empty(0, np.int32)
+        others = [e.ids for e in self.model.encode_batch_fast(
+            [new[k] for k in rest], add_special_tokens=False)]
+        order = np.concatenate([plain, rest])
+        laid = np.concatenate([counts, np.array([len(o) for o in others], np.int64)])
+        flat = np.concatenate([ids, np.array([i for o in others for i in o], np.int32)])
+        size, at = np.empty(len(new), np.int64), np.empty(len(new), np.int64)
+        size[order], at[order] = laid, self.used + np.cumsum(laid) - laid
+        end = self.used + int(size.sum())
+        if end > len(self.ids):
+            self.ids = np.concatenate([self.ids[:self.used], np.empty(2 * end - self.used, np.int32)])
+        self.ids[self.used:end] = flat
+        self.at = np.concatenate([self.at, at])
+        self.size = np.concatenate([self.size, size])
+        self.used = end
+
+    def encode(self, buf: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and where each text begins (one more than texts); ``end`` closes every text."""
         if len(self.slots) > CACHE:
             self._forget()
+        spaced, cut = set_apart(buf, bounds)
         chunks: list[bytes] = []
-        counts, whole = [], {}
-        for k, text in enumerate(texts):
-            if b"<" in text and any(s in text for s in self.special):
-                whole[k] = self.model.encode(text.decode(), add_special_tokens=False).ids
-                counts.append(0)
-            else:
-                parts = text.split()                    # ASCII white space
-                chunks += parts
-                counts.append(len(parts))
+        counts, whole = np.zeros(len(bounds) - 1, np.int64), {}
+        for k in range(len(bounds) - 1):
+            text = spaced[cut[k]:cut[k + 1]].tobytes()
+            if self.special and self.special in text:
+                raw = buf[bounds[k]:bounds[k + 1]].tobytes().decode()
+                whole[k] = np.array(self.model.encode(raw, add_special_tokens=False).ids, np.int32)
+                continue
+            # the model lower-cases anyway; only before a combining mark does the order matter
+            if b"\xcc" not in text and b"\xcd" not in text:
+                text = text.lower()
+            parts = text.split()                        # ASCII white space
+            chunks += parts
+            counts[k] = len(parts)
         slots = np.fromiter(map(self.slots.__getitem__, chunks), np.int64, len(chunks))
         self._learn()
-        at, size = np.array(self.at, np.int64)[slots], np.array(self.size, np.int64)[slots]
+        at, size = self.at[slots], self.size[slots]
         places = np.concatenate([[0], np.cumsum(size)])
         flat = self.ids[np.repeat(at - places[:-1], size) + np.arange(places[-1])]
-        cut = places[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
+        cut = places[np.concatenate([[0], np.cumsum(counts)])]
         if whole:
-            pieces = [np.array(whole[k], np.int32) if k in whole else flat[cut[k]:cut[k + 1]]
-                      for k in range(len(texts))]
+            pieces = [whole.get(k, flat[cut[k]:cut[k + 1]]) for k in range(len(counts))]
             cut = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
             flat = np.concatenate(pieces)
-        return (np.insert(flat, cut[1:], end).astype(np.int32),
-                cut + np.arange(len(cut)))
+        return np.insert(flat, cut[1:], end).astype(np.int32), cut + np.arange(len(cut))
+
+
+_ENCODERS: dict[str, Encoder] = {}      # one per model: a worker's later tasks know its words
+
+
+def encoder_for(model: str) -> Encoder:
+    if model not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[model] = Encoder(model)
+    return _ENCODERS[model]
 
 
 class _Slots(dict):
@@ -123,12 +189,11 @@ def write_tokens(docs: DataFrame, path: str, model: str, end: int = 1, layout=LA
     kind = dict(docs.dtypes)["doc_id"]
 
     def encode(batches):
-        encoder, before = Encoder(shared.value), 0
+        encoder, before = encoder_for(shared.value), 0
         for batch in batches:
             buf, bounds = bs.buffers(batch["text"])
             for i, j in bs.groups(bounds):
-                texts = [buf[a:b].tobytes() for a, b in zip(bounds[i:j], bounds[i + 1:j + 1])]
-                ids, offs = encoder.encode(texts, end)
+                ids, offs = encoder.encode(buf[bounds[i]:bounds[j]], bounds[i:j + 1] - bounds[i], end)
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].slice(i, j - i), pa.array(before + offs[:-1], pa.int64()),
                      pa.array(np.diff(offs), pa.int32()), bs.listed(offs, ids, pa.int32())],
