@@ -59,15 +59,26 @@ def psi_bins(df: DataFrame, is_current: Column, features: Sequence[str], edges:
     counts = tagged.groupBy("feature", "bin").agg(
         F.count_if(F.col("_cur") == 0).alias("ref_n"),
         F.count_if(F.col("_cur") == 1).alias("cur_n"))
-    totals = counts.groupBy("feature").agg(F.sum("ref_n").alias("ref_total"),
-                                           F.sum("cur_n").alias("cur_total"))
+    # a feature has a dozen counted rows; rows outside the range (no bin) belong to the totals
+    own = Window.partitionBy("feature")
+    counts = counts.withColumns({"ref_total": F.sum("ref_n").over(own),
+                                 "cur_total": F.sum("cur_n").over(own)})
     ids = F.transform(F.array_distinct("edges"),
                       lambda e: F.size(F.filter("edges", lambda g: g <= e)))
     spine = (edges.withColumn("_ids", ids)
              .select("feature", F.explode_outer(F.slice(
                  "_ids", F.lit(1), F.size("_ids") - 1)).alias("bin")))
-    return (spine.join(counts, ["feature", "bin"], "left").join(totals, "feature", "left")
-            .na.fill(0, ["ref_n", "cur_n"]))
+    spine = spine.withColumn("_spine", F.lit(True))
+    return (spine.join(counts, (spine["feature"] == counts["feature"])
+                       & spine["bin"].eqNullSafe(counts["bin"]), "full")
+            .select(F.coalesce(spine["feature"], counts["feature"]).alias("feature"),
+                    F.coalesce(spine["bin"], counts["bin"]).alias("bin"), "ref_n", "cur_n",
+                    F.max("ref_total").over(Window.partitionBy(
+                        F.coalesce(spine["feature"], counts["feature"]))).alias("ref_total"),
+                    F.max("cur_total").over(Window.partitionBy(
+                        F.coalesce(spine["feature"], counts["feature"]))).alias("cur_total"),
+                    "_spine")
+            .where("_spine").drop("_spine").na.fill(0, ["ref_n", "cur_n"]))
 
 
 def psi_from_bins(binned: DataFrame) -> DataFrame:

@@ -75,6 +75,8 @@ def _with_halo(df: DataFrame, ts: str, steps: int, key: Sequence[str],
     Windows can then be partitioned by block: no task sees more than
     ``block_hours + steps`` hours of a series.
     """
+    if steps > block_hours:
+        raise ValueError(f"a history of {steps} hours does not fit blocks of {block_hours}")
     h = fc.epoch_hours(ts)
     home = F.floor(F.col("_h") / block_hours)
     lend = (F.col("_h") % block_hours) >= block_hours - steps

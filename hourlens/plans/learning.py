@@ -463,25 +463,27 @@ def cluster_select_k(spark, d):
 
 
 # --- monitoring -------------------------------------------------------------
-_DRIFT = ["value", "k", "hour", "is_error", "day"]
+_DRIFT = [*views.FEATURES, "day"]       # all model features, and one that has to alert
 _CUT = datetime(2024, 1, 20)
 
 
+# Two hours with one sine are one value: without the last bits, which no two libraries share.
+_CYCLIC = {"hour_sin", "hour_cos", "dow_sin", "dow_cos"}
+
+
 def _drift_input(spark, d):
-    return views.obs(spark, d).select(
-        "event_id", "ts", "value", "k", F.hour("ts").alias("hour"),
-        (F.col("category") == "error").cast("int").alias("is_error"),
-        F.dayofmonth("ts").alias("day"))
+    return views.feat(spark, d).withColumns(
+        {"day": F.dayofmonth("ts"), **{c: F.round(c, 9) for c in _CYCLIC}})
 
 
 def _is_current():
     return F.col("ts") >= F.lit(_CUT).cast("timestamp_ntz")
 
 
-_PSI = """dlong AS (UNPIVOT (SELECT ts >= TIMESTAMP '2024-01-20' AS cur, value,
-        CAST(k AS DOUBLE) AS k, CAST(hour(ts) AS DOUBLE) AS hour,
-        CAST(category = 'error' AS INTEGER)::DOUBLE AS is_error, CAST(day(ts) AS DOUBLE) AS day
-        FROM obs) ON value, k, hour, is_error, day INTO NAME feature VALUE x),
+_PSI = f"""dlong AS (UNPIVOT (SELECT ts >= TIMESTAMP '2024-01-20' AS cur, {", ".join(
+    f'CAST({f"round({c}, 9)" if c in _CYCLIC else f"{chr(34)}{c}{chr(34)}"} AS DOUBLE) AS "{c}"'
+    for c in views.FEATURES)}, CAST(day(ts) AS DOUBLE) AS day
+        FROM feat) ON {", ".join(f'"{c}"' for c in _DRIFT)} INTO NAME feature VALUE x),
 edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(x,
         [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e
     FROM dlong WHERE NOT cur GROUP BY 1),
@@ -489,7 +491,7 @@ bins AS (SELECT feature, i, e[i] AS lo, e[i + 1] AS hi, i = len(e) - 1 AS is_las
     FROM (SELECT feature, e, unnest(generate_series(1, len(e) - 1)) AS i FROM edges
           WHERE len(e) >= 3) z),
 tot AS (SELECT count(*) FILTER (WHERE NOT cur) AS rn, count(*) FILTER (WHERE cur) AS cn
-    FROM dlong WHERE feature = 'value'),
+    FROM dlong WHERE feature = 'day'),
 share AS (SELECT b.feature, b.i, greatest(count(x) FILTER (WHERE NOT cur) / max(rn), 1e-6) AS r,
     greatest(count(x) FILTER (WHERE cur) / max(cn), 1e-6) AS c FROM tot, bins b LEFT JOIN dlong d
     ON b.feature = d.feature AND x >= lo AND (x < hi OR (is_last AND x = hi)) GROUP BY 1, 2),
