@@ -11,7 +11,8 @@ A byte goes if a string of ``size`` bytes that covers it also starts earlier in
    fragments, brought together by anchor, and a suffix array of the fragments is built column-wise:
    each round puts one more symbol of every fragment, last to first, before the suffixes sorted so far; a
    stable counting sort by that symbol (the collection's Burrows-Wheeler transform, read in
-   order) gives their order.  Neighbours in the array with a common prefix of ``size`` bytes are one class, and
+   order) gives their order.  Fragments none of whose windows has a rolling hash that occurs again
+   are left out beforehand.  Neighbours in the array with a common prefix of ``size`` bytes are one class, and
    all but its earliest window are repeats.
 
 The construction is column-wise over fragments, not over whole documents: rounds then number at most a
@@ -152,13 +153,32 @@ def column_sort(text: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
     return sorted_[len(ends):]
 
 
+def _joined(fragments: list[bytes]):
+    """Fragments one after the other, a separator after each; where they start and end."""
+    text = np.frombuffer(b"\0".join(fragments) + b"\0", np.uint8)
+    length = np.array([len(f) for f in fragments])
+    first = np.cumsum(length + 1) - length - 1
+    return text, first, first + length
+
+
+def with_like_windows(fragments: list[bytes], size: int) -> np.ndarray:
+    """Which fragments hold a window whose rolling hash occurs again; the others repeat nothing."""
+    text, first, last = _joined(fragments)
+    h = bs.window_sums(bs.BYTE[text], size)
+    owner = np.repeat(np.arange(len(fragments)), last - first + 1)
+    at = np.arange(len(h))
+    at = at[last[owner[at]] - at >= size]
+    order = np.argsort(h[at], kind="stable")
+    same = h[at][order][1:] == h[at][order][:-1]
+    twice = np.append(same, False) | np.append(False, same)
+    return np.unique(owner[at[order[twice]]])
+
+
 def repeated_windows(fragments: list[bytes], place: np.ndarray, size: int):
     """(fragment, window) of every window that also starts earlier; ``place`` orders the fragments'
     first windows, and a window's place is that plus its number."""
-    text = np.frombuffer(b"\0".join(fragments) + b"\0", np.uint8)
-    length = np.array([len(f) for f in fragments])
-    first = np.concatenate([[0], np.cumsum(length + 1)])[:-1]
-    last = first + length
+    text, first, last = _joined(fragments)
+    length = last - first
     owner = np.repeat(np.arange(len(fragments)), length + 1)
     array = column_sort(text, first, last)
     array = array[last[owner[array]] - array >= size]               # suffixes that hold a window
@@ -192,7 +212,12 @@ def _fragment_blocks(frags: DataFrame, kind: str, size: int) -> DataFrame:
         no_id, doc_id, text_hash = _ids(rows)
         start = rows["start"].to_numpy().astype(np.int64)
         rank = _order(no_id, doc_id, text_hash)
-        owner, window = repeated_windows(rows["bytes"].to_pylist(), (rank << 40) | start, size)
+        pieces = rows["bytes"].to_pylist()
+        like = with_like_windows(pieces, size)
+        owner = window = np.empty(0, np.int64)
+        if len(like):
+            owner, window = repeated_windows([pieces[k] for k in like], ((rank << 40) | start)[like], size)
+            owner = like[owner]
         which, a, b = _spans(rank[owner], start[owner] + window, size)
         take = pa.array(owner[which], pa.int64())
         return pa.RecordBatch.from_arrays(
@@ -306,6 +331,8 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM, crowd: i
 
 def _cut_runs(spans: np.ndarray) -> np.ndarray:
     """Maximal runs of (start, end) rows."""
+    if not len(spans):
+        return spans
     spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
     reach = np.maximum.accumulate(spans[:, 1])
     begin = np.flatnonzero(np.append(True, spans[1:, 0] > reach[:-1]))
@@ -324,20 +351,24 @@ def dedup_bytes(docs: DataFrame, size: int = SIZE, gram: int = GRAM, crowd: int
     def remove(batches):
         for batch in batches:
             buf, bounds = bs.buffers(batch["text"])
-            runs, kept = [], []
-            for k, spans in enumerate(batch["spans"].to_pylist()):
+            spans = batch["spans"]
+            flat, offs = spans.flatten(), np.append(0, np.cumsum(
+                pa.compute.fill_null(pa.compute.list_value_length(spans), 0).to_numpy()))
+            pairs = np.stack([flat.field(c).to_numpy() for c in ("start", "end")], axis=1).astype(np.int64)
+            runs, counts, kept = [np.empty((0, 2), np.int64)], [], []
+            for k in range(len(bounds) - 1):
                 raw = buf[bounds[k]:bounds[k + 1]]
-                if not spans:
-                    runs.append([])
-                    kept.append(raw.tobytes())
-                    continue
-                cut = _cut_runs(np.array([(s["start"], s["end"]) for s in spans], np.int64))
+                cut = _cut_runs(pairs[offs[k]:offs[k + 1]])
+                runs.append(cut)
+                counts.append(len(cut))
                 keep = np.concatenate([[0], cut.ravel(), [len(raw)]]).reshape(-1, 2)
-                runs.append([{"start": int(a), "end": int(b)} for a, b in cut])
-                kept.append(b"".join(raw[a:b].tobytes() for a, b in keep))
+                kept.append(b"".join([raw[a:b].tobytes() for a, b in keep]))
+            runs = np.concatenate(runs)
+            places = pa.array(np.append(0, np.cumsum(np.array(counts, np.int64))), pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], pa.array(np.diff(bounds)),
-                 pa.array(runs, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                 pa.ListArray.from_arrays(places, pa.StructArray.from_arrays(
+                     [pa.array(runs[:, 0], pa.int32()), pa.array(runs[:, 1], pa.int32())], ["start", "end"])),
                  pa.array(kept, pa.binary())], ["doc_id", "n_bytes", "runs", "kept"])
 
     return laid.mapInArrow(remove, f"doc_id {kind}, n_bytes long, "
