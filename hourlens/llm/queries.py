@@ -244,10 +244,9 @@ def op8_mixing(spark, sf_dir):
 # ---- 9 suffix-array dedup
 
 @query("op9_suffix_dedup", r"""
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
-        regexp_extract_all(hex(encode(coalesce(text, ''))), '..') AS b FROM documents),
-p AS (SELECT doc_id, b, unnest(range(0, greatest(len(b) - 99, 0))) AS k FROM d),
-s AS (SELECT doc_id, k, md5(array_to_string(b[k + 1:k + 100], '')) AS h FROM p),
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, hex(encode(coalesce(text, ''))) AS h FROM documents),
+p AS (SELECT doc_id, h, unnest(range(0, greatest(length(h) // 2 - 99, 0))) AS k FROM d),
+s AS (SELECT doc_id, k, md5(substr(h, 2 * k + 1, 200)) AS h FROM p),
 r AS (SELECT doc_id, k FROM s QUALIFY row_number() OVER (PARTITION BY h ORDER BY doc_id, k) > 1),
 g AS (SELECT doc_id, k, CASE WHEN k <= lag(k) OVER (PARTITION BY doc_id ORDER BY k) + 100 THEN 0 ELSE 1 END
         AS head FROM r),
@@ -255,12 +254,12 @@ n AS (SELECT doc_id, k, sum(head) OVER (PARTITION BY doc_id ORDER BY k) AS run F
 c AS (SELECT doc_id, run, min(k) AS lo, max(k) + 100 AS hi FROM n GROUP BY 1, 2),
 e AS (SELECT doc_id, count(*) AS n_spans, sum(hi - lo) AS n_removed,
         list(lo ORDER BY lo) AS lo, list(hi ORDER BY lo) AS hi FROM c GROUP BY 1)
-SELECT d.doc_id, CAST(len(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
     coalesce(n_spans, 0) AS n_spans,
     sha256(CASE WHEN n_spans IS NULL THEN encode(text) ELSE unhex(array_to_string(list_transform(
-        range(0, n_spans + 1), lambda i: array_to_string(
-          b[CASE WHEN i = 0 THEN 1 ELSE hi[i] + 1 END:CASE WHEN i = n_spans THEN len(b) ELSE lo[i + 1] END],
-          '')), '')) END) AS kept_sha256
+        range(0, n_spans + 1), lambda i: substr(h, CASE WHEN i = 0 THEN 1 ELSE 2 * hi[i] + 1 END,
+          2 * (CASE WHEN i = n_spans THEN length(h) // 2 ELSE lo[i + 1] END
+               - CASE WHEN i = 0 THEN 0 ELSE hi[i] END))), '')) END) AS kept_sha256
 FROM d LEFT JOIN e ON d.doc_id = e.doc_id
 """)
 def op9_suffix_dedup(spark, sf_dir):
