@@ -33,7 +33,7 @@ def _count_edges(edges: Column, m: int, test: Callable[[Column], Column]) -> Col
 
 
 def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks: Sequence[float],
-                  ranks: dict[str, str], accuracy: int) -> DataFrame:
+                  ranks: dict[str, str], accuracy: int, few_groups: bool = False) -> DataFrame:
     """One row per group: ``n`` and, per named rank, the value at that 0-based rank.
 
     ``ranks`` are SQL expressions over the group size ``_n``; ``marks`` are the
@@ -59,7 +59,7 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
     if by:
         side = brackets.select(*[F.col(c).alias(f"_g_{c}") for c in by], "_n", "_low", "_high")
         match = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by])
-        joined = src.join(side, match)
+        joined = src.join(F.broadcast(side) if few_groups else side, match)
         n, lows, highs = F.col("_n"), F.col("_low"), F.col("_high")
     else:
         # bound to a column once, so the subquery appears once in the plan
@@ -82,13 +82,14 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
     inner = Window.partitionBy(*by, "_r").orderBy("_v").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     across = Window.partitionBy(*by).orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    totals = counted.groupBy(*by, "_r").agg(F.sum("_c").alias("_t"))
+    # both readers of the counts use all of their columns, so one exchange serves both
+    totals = counted.groupBy(*by, "_r").agg(F.sum("_c").alias("_t"), F.max("_n").alias("_tn"))
     offsets = totals.select(*[F.col(c).alias(f"_g_{c}") for c in by], F.col("_r").alias("_g_r"),
-                            F.coalesce(F.sum("_t").over(across), F.lit(0)).alias("_off"))
+                            "_tn", F.coalesce(F.sum("_t").over(across), F.lit(0)).alias("_off"))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in by],
                   F.col("_r") == F.col("_g_r"))
     cum = (counted.withColumn("_in", F.sum("_c").over(inner))
-           .join(offsets, same)
+           .join(F.broadcast(offsets) if few_groups else offsets, same)
            .withColumn("_hi", F.col("_off") + F.col("_in"))
            .withColumn("_lo", F.col("_hi") - F.col("_c")))
 
@@ -96,16 +97,18 @@ def _order_values(df: DataFrame, value: Column | str, by: Sequence[str], marks:
         return (f"coalesce(max(CASE WHEN _lo <= {k} AND {k} < _hi THEN _v END), "
                 "CAST(raise_error('order statistic outside its bracket') AS DOUBLE))")
 
-    return cum.groupBy(*by).agg(F.max("_n").alias("n"),
+    return cum.groupBy(*by).agg(F.max("_tn").alias("n"),
                                 *[F.expr(at(k)).alias(name) for name, k in ranks.items()])
 
 
 def quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], by: Sequence[str] = (),
-              *, bounded: bool = False, accuracy: int = ACCURACY) -> DataFrame:
+              *, bounded: bool = False, few_groups: bool = False,
+              accuracy: int = ACCURACY) -> DataFrame:
     """Linear-interpolation quantiles: ``by..., n, q`` with ``q`` an array.
 
     bounded       the value comes from a fixed small domain, use ``percentile``
-    Group tables are joined, never forced into a broadcast: AQE measures them.
+    few_groups    the groups are fixed by the caller (months, named columns), not by the
+                  data: their bracket table may then be broadcast
     """
     by = list(by)
     if bounded:
@@ -120,7 +123,7 @@ def quantiles(df: DataFrame, value: Column | str, probs: Sequence[float], by: Se
         ranks[f"_f{i}"], ranks[f"_t{i}"] = f"floor({pos})", f"ceil({pos})"
         pos = pos.replace("_n", "n")
         cells.append(f"_f{i} + (_t{i} - _f{i}) * ({pos} - floor({pos}))")
-    found = _order_values(df, value, by, probs, ranks, accuracy)
+    found = _order_values(df, value, by, probs, ranks, accuracy, few_groups)
     return found.select(*by, "n", F.expr(f"array({', '.join(cells)})").alias("q"))
 
 

@@ -57,7 +57,7 @@ def weekday_weekend(df: DataFrame, measure: str = "measure", ts: str = "ts") ->
     """One row: mean, exact median and rows of both day types, and their difference."""
     flagged = df.select(fc.weekend_flag(ts).alias("is_weekend"), F.col(measure).alias("_m"))
     base = flagged.groupBy("is_weekend").agg(F.avg("_m").alias("mean"), F.count("*").alias("n"))
-    mids = median(flagged, "_m", ["is_weekend"]).select("is_weekend", "median")
+    mids = median(flagged, "_m", ["is_weekend"], few_groups=True).select("is_weekend", "median")
     both = base.join(F.broadcast(mids), "is_weekend", "left")       # two rows each
 
     def pick(flag: int, name: str) -> Column:

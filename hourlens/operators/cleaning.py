@@ -59,7 +59,7 @@ def valid_medians(df: DataFrame, checks: Mapping[str, Column], ts: str = "ts") -
     wide = df.select(F.month(ts).alias("month"), *[
         F.when(~bad, F.col(name).cast("double")).alias(name) for name, bad in checks.items()])
     return median(wide.unpivot(["month"], list(checks), "column", "value"),
-                  "value", ["month", "column"]).select("month", "column", "median")
+                  "value", ["month", "column"], few_groups=True).select("month", "column", "median")
 
 
 def impute_range(df: DataFrame, bounds: Mapping[str, tuple[float | None, float | None]],
@@ -86,7 +86,7 @@ def column_medians(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
     """One row with the exact median of every column (null if all null)."""
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in numeric])
     long = wide.unpivot([], list(numeric), "column", "value")
-    return median(long, "value", ["column"]).agg(*[
+    return median(long, "value", ["column"], few_groups=True).agg(*[
         F.max(F.when(F.col("column") == c, F.col("median"))).alias(c) for c in numeric])
 
 

@@ -26,7 +26,7 @@ def reference_edges(ref: DataFrame, features: Sequence[str], bins: int = 10) ->
     table, so binning never repeats the quantile scans.
     """
     probs = [i / bins for i in range(bins + 1)]
-    q = quantiles(_long(ref, features), "x", probs, ["feature"]).select(
+    q = quantiles(_long(ref, features), "x", probs, ["feature"], few_groups=True).select(
         "feature", F.col("q").alias("edges"))
     return ref.sparkSession.createDataFrame(q.collect(), "feature string, edges array<double>")
 
