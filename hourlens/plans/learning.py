@@ -226,13 +226,19 @@ def split_stratified(spark, d):
         "event_id", "category", "is_test")
 
 
-@query("assemble_xy")
+@query("assemble_xy", f"""WITH wide AS (SELECT event_id, measure, {", ".join(
+    f'CAST("{c}" AS DOUBLE) AS x{i}' for i, c in enumerate(views.FEATURES))} FROM feat)
+    SELECT event_id, CAST(substr(name, 2) AS INTEGER) AS position, round(x, 6) AS x, measure AS y
+    FROM (UNPIVOT wide ON {", ".join(f"x{i}" for i in range(len(views.FEATURES)))}
+          INTO NAME name VALUE x) z""")
 def assemble_xy(spark, d):
+    """The feature vector, one row per position, beside the target."""
     from pyspark.ml.functions import vector_to_array
 
     out = md.assemble(views.FEATURES).transform(views.feat(spark, d))
-    return out.select("event_id", vector_to_array("features").alias("x"),
-                      F.col("measure").alias("y"))
+    return out.select("event_id", F.col("measure").alias("y"), F.posexplode(
+        vector_to_array("features")).alias("position", "x")).select(
+        "event_id", "position", (F.round("x", 6) + F.lit(0.0)).alias("x"), "y")
 
 
 @query("class_weights", """SELECT high_risk, count(*) AS n, round((SELECT count(*) FROM feat)

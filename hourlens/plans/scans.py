@@ -135,14 +135,19 @@ def table_head(spark, d):
     return readers.head(views.table(spark, d, "events").drop("props"), ["ts", "event_id"])
 
 
-@query("model_store")
+@query("model_store", "SELECT event_id, TRUE AS same_after_reload FROM events")
 def model_store(spark, d):
+    """Does a stored and reloaded model score every row as the fitted one does?"""
     from pyspark.ml import PipelineModel
 
     feat = views.feat(spark, d)
     path = work_dir(spark, "model")
-    md.fit_linear(feat, views.FEATURES, "measure").write().overwrite().save(path)
-    return md.score_regression(PipelineModel.load(path), feat, ["event_id"])
+    fitted = md.fit_linear(feat, views.FEATURES, "measure")
+    fitted.write().overwrite().save(path)
+    once = md.score_regression(fitted, feat, ["event_id", *views.FEATURES])
+    again = md.score_regression(PipelineModel.load(path), once.withColumnRenamed("prediction", "first"),
+                                ["event_id", "first"])
+    return again.select("event_id", (F.col("first") == F.col("prediction")).alias("same_after_reload"))
 
 
 _RUNS = """SELECT 'risk' AS experiment, 'run_1' AS run, 'k_shifted' AS model, 'metric' AS kind,
