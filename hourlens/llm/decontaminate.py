@@ -139,7 +139,8 @@ def find_hits(docs: DataFrame, items: DataFrame, n: int = 10, max_windows: int =
     own = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
 
     def part(p: int):
-        rows = windows.where(F.pmod("hash", F.lit(parts)) == p).toArrow()
+        # by item, too: a window that every item holds is dealt over all parts
+        rows = windows.where(F.pmod(F.xxhash64("hash", "item_id"), F.lit(parts)) == p).toArrow()
         return _scan(own, spark.sparkContext.broadcast(Lookup(rows)), *kinds)
 
     if parts == 1:
