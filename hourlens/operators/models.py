@@ -131,14 +131,19 @@ def fit_forecast(train: DataFrame, label: str = "target", booster: bool = False,
     return Pipeline(stages=[scaler, learner]).fit(train)
 
 
-def error_history(model: PipelineModel, test: DataFrame, metric: str = "absolute") -> DataFrame:
-    """Mean test loss after each boosting iteration."""
+def error_history(model: PipelineModel, train: DataFrame, test: DataFrame,
+                  metric: str = "absolute") -> DataFrame:
+    """Mean train and test loss after each boosting iteration."""
     gbt = next(s for s in model.stages if isinstance(s, GBTRegressionModel))
-    prepared = reduce(lambda d, s: s.transform(d), [s for s in model.stages if s is not gbt], test)
-    losses = gbt.evaluateEachIteration(prepared, metric)
-    spark = test.sparkSession
-    return spark.createDataFrame([(i + 1, float(v)) for i, v in enumerate(losses)],
-                                 "iteration int, test_mae double")
+
+    def losses(rows: DataFrame) -> list[float]:
+        prepared = reduce(lambda d, s: s.transform(d), [s for s in model.stages if s is not gbt], rows)
+        return [float(v) for v in gbt.evaluateEachIteration(prepared, metric)]
+
+    pairs = zip(losses(train), losses(test))
+    return test.sparkSession.createDataFrame(
+        [(i + 1, a, b) for i, (a, b) in enumerate(pairs)],
+        "iteration int, train_mae double, test_mae double")
 
 
 # --- attribution ------------------------------------------------------------

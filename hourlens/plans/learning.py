@@ -402,8 +402,14 @@ def score_batch(spark, d):
 
 
 def _sequences(spark, d):
-    h = win.history(views.hourly(spark, d), "hour_ts", ["value", "k"], "value")
-    return win.chrono_split(md.lag_features(h, ["value", "k"]), "hour_ts")
+    """24 hours of the measure and all model features before each hour of the series."""
+    best = views.hourly(spark, d).select("event_id")
+    rows = views.feat(spark, d).join(best, "event_id", "left_semi")
+    columns = ["measure", *views.FEATURES]
+    h = win.history(rows, "hour_ts", columns, "measure")
+    lagged = md.lag_features(h, columns).select("hour_ts", "target", "lags")
+    stage = spark.read.parquet(write_stage(lagged, work_dir(spark, "sequences")))
+    return win.chrono_split(stage, "hour_ts")
 
 
 @query("forecast_next_step")
@@ -417,7 +423,7 @@ def forecast_next_step(spark, d):
 def error_history(spark, d):
     seq = _sequences(spark, d)
     model = md.fit_forecast(seq.where("is_train"), booster=True, trees=15)
-    return md.error_history(model, seq.where(~F.col("is_train")))
+    return md.error_history(model, seq.where("is_train"), seq.where(~F.col("is_train")))
 
 
 @query("pred_vs_actual")
