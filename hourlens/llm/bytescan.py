@@ -8,6 +8,7 @@ word if a word is longer, whatever the length of a document.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +37,18 @@ def _powers_of(base: int, n: int) -> np.ndarray:
 
 
 _INVERSE = pow(_P, -1, 2**64)
-_POW, _INV = _powers_of(_P, PIECE), _powers_of(_INVERSE, PIECE)
+
+
+@cache
+def _usual_powers() -> tuple[np.ndarray, np.ndarray]:
+    return _powers_of(_P, 1 << 20), _powers_of(_INVERSE, 1 << 20)
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, modulo 2^64."""
-    if n <= PIECE:
-        return _POW[:n + 1], _INV[:n + 1]
+    if n <= 1 << 20:                    # the driver never asks, so it never holds them
+        pw, inv = _usual_powers()
+        return pw[:n + 1], inv[:n + 1]
     return _powers_of(_P, n), _powers_of(_INVERSE, n)
 
 
