@@ -86,14 +86,15 @@ def sketch(docs: DataFrame, n: int, bits: int = SKETCH_BITS) -> np.ndarray:
             for k, c in zip(batch["part"].to_pylist(), batch["counts"].to_pylist()):
                 sums[k] = sums.get(k, 0) + np.frombuffer(c, np.int32).astype(np.int64)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(sums), pa.int32()), pa.array([c.tobytes() for c in sums.values()], pa.binary())],
+            [pa.array(list(sums), pa.int32()), pa.array(
+                [np.minimum(c, 2**31 - 1).astype(np.int32).tobytes() for c in sums.values()], pa.binary())],
             ["part", "counts"])
 
     kind = "part int, counts binary"
-    out = np.zeros(((1 << bits) // part, part), np.int64)
+    out = np.zeros(((1 << bits) // part, part), np.int32)
     for row in docs.select("text").mapInArrow(count, kind).repartition("part").mapInArrow(
             add, kind).collect():                               # 2^bits counters in all
-        out[row["part"]] = np.frombuffer(row["counts"], np.int64)
+        out[row["part"]] = np.frombuffer(row["counts"], np.int32)
     return out.reshape(-1)
 
 
@@ -283,9 +284,9 @@ def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 1
     spark = docs.sparkSession
     small_batches(spark)
     stages = Stages(spark, "ngram-join")
-    counts = sketch(docs, n, sketch_bits)
-    signed = stages.write(signatures(docs, n, ratio, spark.sparkContext.broadcast(
-        np.minimum(counts, 2**31 - 1).astype(np.int32))))
+    heat = spark.sparkContext.broadcast(sketch(docs, n, sketch_bits))
+    signed = stages.write(signatures(docs, n, ratio, heat))
+    heat.unpersist()
     sets = stages.write(signed.where("size > 0 and doc_id is not null").groupBy("sid").agg(
         F.min("doc_id").alias("owner"), F.first("size").alias("size"),
         F.first("bitmap").alias("bitmap"), F.first("prefix").alias("prefix")))
@@ -294,7 +295,10 @@ def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 1
     entries = stages.write(sets.select("sid", "size", F.explode("prefix").alias("token")))
     members = entries.groupBy("token").agg(
         F.count("*").alias("m"), F.sum(F.shiftright(F.xxhash64("sid"), 32)).alias("m1"),
-        F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("m2")).where("m > 1")
+        F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("m2"),
+        F.min("size").alias("least"), F.max("size").alias("most")).where("m > 1")
+    # two sets whose sizes are too far apart make no tile
+    members = members.where((F.col("m") > 2) | (F.col("least") * ratio[1] >= F.col("most") * ratio[0]))
     tiles = members.groupBy("m", "m1", "m2").agg(F.min("token").alias("token"))
     # a little wider than the ratio, so rounding never puts a fitting pair two bands apart
     band = F.floor(F.log("size") / (1.0001 * math.log(ratio[1] / ratio[0]))).cast("int")
@@ -303,8 +307,10 @@ def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 1
 
     # pivots: every set against the smallest member of its own band and of the one below
     pivots = rows.groupBy("token", "band").agg(F.min("sid").alias("pivot"))
-    near = rows.select("token", "sid", F.explode(F.array("band", F.col("band") - 1)).alias("band"))
-    pairs = near.join(pivots, ["token", "band"]).where("sid <> pivot").select(
+    near = rows.select("token", "sid", "band")
+    below = rows.select("token", "sid", (F.col("band") - 1).alias("band"))
+    pairs = near.join(pivots, ["token", "band"]).unionByName(
+        below.join(pivots, ["token", "band"])).where("sid <> pivot").select(
         F.least("sid", "pivot").alias("a"), F.greatest("sid", "pivot").alias("b")).distinct()
     about = sets.select("sid", "size", "bitmap")
     first, second = (about.toDF(f"_{s}", f"n{s}", f"b{s}") for s in "ab")
