@@ -49,9 +49,9 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 10) -> DataFrame:
     ends = blocks.groupBy("block").agg(F.min(F.struct(*HASH)).alias("lo"),
                                        F.max(F.struct(*HASH)).alias("hi"))
     edge = ends.select(F.explode(F.array("lo", "hi")).alias("e")).select("e.*").distinct()
-    edge = edge.join(blocks.select(*HASH, "no_id", "doc_id"), HASH).groupBy(*HASH).agg(
+    # two hashes per range at most: the bound of both broadcasts
+    edge = blocks.select(*HASH, "no_id", "doc_id").join(F.broadcast(edge), HASH).groupBy(*HASH).agg(
         F.min(F.struct("no_id", "doc_id")).alias("edge_first"))
-    # two hashes per range at most: the bound of the broadcast
     owner = F.coalesce("edge_first", "first")
     lost = (first.join(F.broadcast(edge), HASH, "left")
             .where(~F.col("doc_id").eqNullSafe(owner["doc_id"]))
