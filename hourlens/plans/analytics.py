@@ -519,7 +519,7 @@ def _attrs(spark, d):
     return ru.attributes(df.withColumn("temp_celsius", F.col("k") - 30), fair=views.FAIR)
 
 
-_ATTR_SQL = """attrs AS (SELECT CASE WHEN hour <= 5 THEN 'night' WHEN hour <= 9
+_ATTR_SQL = """attrs AS MATERIALIZED (SELECT CASE WHEN hour <= 5 THEN 'night' WHEN hour <= 9
         THEN 'morning_peak' WHEN hour <= 15 THEN 'midday' WHEN hour <= 19 THEN 'evening_peak'
         ELSE 'late_evening' END AS time_band,
     CASE WHEN is_weekend = 1 THEN 'weekend' ELSE 'weekday' END AS day_type,
@@ -530,11 +530,11 @@ _ATTR_SQL = """attrs AS (SELECT CASE WHEN hour <= 5 THEN 'night' WHEN hour <= 9
     CASE WHEN measure <= q1 THEN 'Low' WHEN measure <= q2 THEN 'Moderate'
          WHEN measure <= q3 THEN 'High' ELSE 'Severe' END AS congestion_level
     FROM ftime, fstat),
-cells AS (SELECT time_band, day_type, weather_band, temp_band, congestion_level,
+cells AS MATERIALIZED (SELECT time_band, day_type, weather_band, temp_band, congestion_level,
     grouping(time_band) AS g1, grouping(day_type) AS g2, grouping(weather_band) AS g3,
     grouping(temp_band) AS g4, grouping(congestion_level) AS g5, count(*) AS n
     FROM attrs GROUP BY CUBE (time_band, day_type, weather_band, temp_band, congestion_level)),
-sets AS (SELECT concat_ws('|', 'congestion_level=' || congestion_level, 'day_type=' || day_type,
+sets AS MATERIALIZED (SELECT concat_ws('|', 'congestion_level=' || congestion_level, 'day_type=' || day_type,
         'temp_band=' || temp_band, 'time_band=' || time_band, 'weather_band=' || weather_band)
         AS items,
     concat_ws('|', 'day_type=' || day_type, 'temp_band=' || temp_band,
