@@ -2,7 +2,7 @@
 
 A text is brought to its words, lower-cased, with one space before each.  Only texts that
 hold one of the few gate words are looked at further, and a rule's regex runs only where the
-rule's own keyword occurs.  Detections become word intervals; one that lies inside the interval of a
+rule's own keyword, or a form that stands for it (gplv3 for gpl), occurs.  Detections become word intervals; one that lies inside the interval of a
 detection of equal or better priority is suppressed.  That is a sweep per document: sorted by start
 (longest first), a detection is covered if an earlier one of its class or better reaches as far.
 
@@ -95,6 +95,8 @@ NOTICES = [
     ("no-warranty", "warranty", "without warranty of any kind"),
     ("no-warranty", "warranties", "without warranties or conditions of any kind"),
 ]
+# Words that open a name in place of its keyword.
+FORMS = {"gpl": ["gplv2", "gplv3"], "lgpl": ["lgplv2", "lgplv3"], "agpl": ["agplv3"]}
 # Every rule needs one of these, so a text without them needs no closer look.
 GATE = (r"(?i)licen[cs]e|\bunder\b|spdx|cc[^0-9a-z]+by|creative[^0-9a-z]+commons|"
         + "|".join(sorted({w for _, w, _ in NOTICES})))
@@ -151,13 +153,14 @@ def _places(words: Column, phrase: str) -> Column:
 def detections(texts: DataFrame) -> DataFrame:
     """Surviving detections of (doc_id, hash, spaced): label, start, end (words), score."""
     table = rules()
-    words = sorted({r[2] for r in table})
+    words = sorted({(form, r[2]) for r in table for form in (r[2], *FORMS.get(r[2], []))})
     own = F.array(*[F.struct(F.lit(i).alias("rule"), F.lit(lab).alias("label"),
                              F.lit(key).alias("keyword"), F.lit(rx).alias("regex"),
                              F.lit(p).alias("priority"), F.lit(s).alias("score"))
                     for i, lab, key, rx, p, s in table])
-    present = F.filter(F.array(*[F.lit(w) for w in words]),
-                       lambda w: F.contains("spaced", F.concat(F.lit(" "), w, F.lit(" "))))
+    forms = F.array(*[F.struct(F.lit(w).alias("form"), F.lit(key).alias("keyword")) for w, key in words])
+    present = F.filter(forms, lambda w: F.contains("spaced", F.concat(F.lit(" "), w["form"], F.lit(" "))))
+    present = F.array_distinct(F.transform(present, lambda w: w["keyword"]))
     gated = texts.withColumn("present", present).where(F.size("present") > 0).select(
         "doc_id", "hash", "spaced", F.explode(F.filter(
             own, lambda r: F.array_contains("present", r["keyword"]))).alias("r"))

@@ -186,3 +186,19 @@ def test_license_scan_whole_table(documents):
     want = {r["doc_id"]: licenses(r["text"]) for r in documents.collect()}
     assert got == want
     assert len(license_scan.rules()) >= 200
+
+
+def scanned(docs_of, texts):
+    """labels and score by text, after comparing every column with the rules run without gates."""
+    rows = list(enumerate(texts))
+    got = {r["doc_id"]: tuple(r) for r in license_scan.scan_licenses(docs_of(rows)).collect()}
+    assert got == {d: (d, *licenses(t)) for d, t in rows}
+    return [got[d][-2:] for d, _ in rows]
+
+
+def test_license_names_with_joined_versions(docs_of):
+    texts = ["Licensed under the GPLv3", "GPLv2 license", "under the terms of the LGPLv3: licensed under LGPLv3",
+             "SPDX-License-Identifier: AGPLv3", "released under the terms of the GNU LGPLv2 license or later",
+             "license is GPLv3, the gpl license", "gplv4 license"]
+    assert scanned(docs_of, texts) == [("gpl", 0.8), ("gpl", 0.6), ("lgpl", 0.8), ("agpl", 0.9), ("lgpl", 0.8),
+                                       ("gpl", 0.6), ("", 0.0)]
