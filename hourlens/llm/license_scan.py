@@ -98,7 +98,7 @@ NOTICES = [
 # Words that open a name in place of its keyword.
 FORMS = {"gpl": ["gplv2", "gplv3"], "lgpl": ["lgplv2", "lgplv3"], "agpl": ["agplv3"]}
 # Every rule needs one of these, so a text without them needs no closer look.
-GATE = (r"(?i)licen[cs]e|\bunder\b|spdx|cc[^0-9a-z]+by|creative[^0-9a-z]+commons|"
+GATE = (r"(?i)licen[cs]e|(?<![0-9a-z])under(?![0-9a-z])|spdx|cc[^0-9a-z]+by|creative[^0-9a-z]+commons|"
         + "|".join(sorted({w for _, w, _ in NOTICES})))
 GRANT = "(?:licensed|released|distributed|published|available|provided|covered|governed)"
 LICENSE = "licen[cs]e"

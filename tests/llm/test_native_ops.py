@@ -202,3 +202,8 @@ def test_license_names_with_joined_versions(docs_of):
              "license is GPLv3, the gpl license", "gplv4 license"]
     assert scanned(docs_of, texts) == [("gpl", 0.8), ("gpl", 0.6), ("lgpl", 0.8), ("agpl", 0.9), ("lgpl", 0.8),
                                        ("gpl", 0.6), ("", 0.0)]
+
+
+def test_license_gate_takes_underscores_for_gaps(docs_of):
+    texts = ["Released _under_ the BSD", "distributed_under_vim", "funder_the BSD", "x_under9 the BSD"]
+    assert scanned(docs_of, texts) == [("bsd", 0.8), ("vim", 0.8), ("", 0.0), ("", 0.0)]
