@@ -5,7 +5,11 @@
    n - ceil(ratio * n) + 1 shingles, in any order both agree on.  The order is from rare to frequent
    by a counting sketch over the whole corpus, then by hash.  Sets that share such a
    shingle and whose sizes are within the ratio meet in a tile: (shingle, size band).
-   Shingles with the same members make one tile.
+   Shingles with the same members make one tile, that of the first of them.
+   Sets that link share no more than what each has from their first common shingle on, so the
+   place of a shingle in a set limits the partners' sizes in its tile (reach).  A set whose reach is below
+   the sizes of all that could be its smaller partner leaves the tile: template pages that differ
+   too much to link never meet.
 3. Each set carries a bitmap of one parity bit per hash slot, as wide as its size asks for.  The
    bits in which two bitmaps differ are a lower bound of the shingles in which the sets differ, hence
    an upper bound of their overlap; pairs beyond it are dropped, the rest is decided by
@@ -16,8 +20,8 @@
    out, all that are still apart.
    Every pair of a tile ends up in one component or decided by intersection, so components are exact.
 
-Large tiles are cut into blocks: sets outside the tile's main component go to every block,
-sets of the main component to one, so no task holds a whole group.
+Large tiles are cut into blocks twice: all sets into home blocks, those outside the tile's main component
+also into guest blocks.  A task takes one home and one guest block, so none holds a whole group.
 
 Defined results: a null or empty text, or one of white space, has an empty set, links with nothing and is its own
 component; fewer words than the shingle size make one shingle of all; a null doc_id links with nothing and
@@ -39,7 +43,7 @@ from hourlens.llm.common import Stages, small_batches
 from hourlens.llm.components import components
 
 SKETCH_BITS = 22        # counters of the sketch; more of them tell rarer shingles apart
-BLOCK = 4096            # sets of a tile's main component that one task compares at once
+BLOCK = 4096            # sets of a tile's home block, and of its guest block, that one task compares
 QUOTA = 3               # pairs listed per set and foreign component before all are
 PAIRS = 1 << 20         # pairs looked at in one step of a task
 _A = np.uint64(0xA0761D6478BD642F)
@@ -232,7 +236,7 @@ def _across(rows: DataFrame, ratio, quota: int | None) -> DataFrame:
             yield _pairs(held, ratio, quota)
 
     laid = rows.withColumn("tile", F.xxhash64("token", "to_band", "block")).select(
-        "tile", "sid", "size", "comp", "bitmap", "home", "free")
+        "tile", "sid", "size", "reach", "comp", "bitmap", "home", "free")
     return laid.repartition("tile").sortWithinPartitions("tile").mapInArrow(
         compare, "a binary, b binary, cut boolean").groupBy("a", "b").agg(F.max("cut").alias("cut"))
 
@@ -240,7 +244,7 @@ def _across(rows: DataFrame, ratio, quota: int | None) -> DataFrame:
 def _pairs(held: list[pa.RecordBatch], ratio, quota) -> pa.RecordBatch:
     """Free rows against the home rows of their tile, over several tiles at once."""
     rows = pa.Table.from_batches(held)
-    tile, size, home, free = (rows[c].to_numpy() for c in ("tile", "size", "home", "free"))
+    tile, size, reach, home, free = (rows[c].to_numpy() for c in ("tile", "size", "reach", "home", "free"))
     comp = rows["comp"].combine_chunks().dictionary_encode().indices.to_numpy()
     sid, bitmaps = rows["sid"].to_pylist(), rows["bitmap"].to_pylist()
     width = np.array([len(x) // 8 for x in bitmaps])
@@ -255,6 +259,7 @@ def _pairs(held: list[pa.RecordBatch], ratio, quota) -> pa.RecordBatch:
         x = np.repeat(guests[part], n)
         y = homes[np.repeat(low[part] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
         ok = (comp[x] != comp[y]) & (q * np.minimum(size[x], size[y]) >= p * np.maximum(size[x], size[y]))
+        ok &= (size[x] <= reach[y]) & (size[y] <= reach[x])
         x, y = x[ok], y[ok]
         far = np.empty(len(x), np.int64)
         kinds = width[x] * 4096 + width[y]
@@ -278,6 +283,25 @@ def _pairs(held: list[pa.RecordBatch], ratio, quota) -> pa.RecordBatch:
         [pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(cut[keep])], ["a", "b", "cut"])
 
 
+def _dealt(mixed: DataFrame) -> DataFrame:
+    """Home rows in one block of their band and free rows, as guests, in one guest block of each
+    band around theirs; a row for every pair of blocks (``block``) it belongs to."""
+    def blocks(rows, name):
+        return rows.groupBy("token", "to_band").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
+
+    homes = mixed.withColumn("to_band", F.col("band"))
+    guests = mixed.where("free").withColumn("to_band", F.explode(F.array(
+        F.col("band") - 1, F.col("band"), F.col("band") + 1)))
+    cuts = blocks(homes, "hb").join(blocks(guests, "gb"), ["token", "to_band"])
+    own = lambda n, seed: F.pmod(F.xxhash64("sid", F.lit(seed)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    homes = homes.join(cuts, ["token", "to_band"]).withColumn("h", own("hb", 0)).withColumn("g", every("gb"))
+    guests = guests.join(cuts, ["token", "to_band"]).withColumn("g", own("gb", 1)).withColumn("h", every("hb"))
+    homes = homes.withColumn("home", F.lit(True)).withColumn("free", F.lit(False))
+    return homes.unionByName(guests.withColumn("home", F.lit(False))).withColumn(
+        "block", F.col("h").cast("long") * F.col("gb") + F.col("g")).drop("h", "g", "hb", "gb")
+
+
 def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 100),
                     sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id a chain of links reaches."""
@@ -292,17 +316,24 @@ def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 1
         F.first("bitmap").alias("bitmap"), F.first("prefix").alias("prefix")))
 
     # tiles: shingles of two sets or more, once for each distinct list of members
-    entries = stages.write(sets.select("sid", "size", F.explode("prefix").alias("token")))
+    # reach: the largest set with which it can share enough if the token is the first they share
+    entries = stages.write(sets.select("sid", "size", F.posexplode("prefix").alias("place", "token")).withColumn(
+        "reach", F.expr(f"(size - place) * {sum(ratio)} div {ratio[0]} - size")))
     members = entries.groupBy("token").agg(
         F.count("*").alias("m"), F.sum(F.shiftright(F.xxhash64("sid"), 32)).alias("m1"),
         F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("m2"),
-        F.min("size").alias("least"), F.max("size").alias("most")).where("m > 1")
+        F.min("size").alias("least"), F.max("size").alias("most"), F.min("place").alias("place"),
+        F.min(F.when(F.col("reach") >= F.col("size"), F.col("size"))).alias("short")).where("m > 1")
     # two sets whose sizes are too far apart make no tile
     members = members.where((F.col("m") > 2) | (F.col("least") * ratio[1] >= F.col("most") * ratio[0]))
-    tiles = members.groupBy("m", "m1", "m2").agg(F.min("token").alias("token"))
+    # the first shingle of equal members: what pairs share before it would have the same members
+    first = F.min(F.struct("place", "token", "short"))
+    tiles = members.groupBy("m", "m1", "m2").agg(first.alias("t")).select("m", "t.token", "t.short")
     # a little wider than the ratio, so rounding never puts a fitting pair two bands apart
     band = F.floor(F.log("size") / (1.0001 * math.log(ratio[1] / ratio[0]))).cast("int")
-    rows = stages.write(entries.join(tiles.select("token", "m"), "token").withColumn("band", band))
+    # of a pair the smaller set reaches its own size; without one in reach a set has no partner here
+    rows = stages.write(entries.join(tiles, "token").where(F.col("reach") >= F.col("short")).select(
+        "token", "sid", "size", "reach", "m", band.alias("band")))
     stages.drop(entries)
 
     # pivots: every set against the smallest member of its own band and of the one below
@@ -330,17 +361,7 @@ def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 1
         main = per.groupBy("token").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"),
                                         F.count("*").alias("kinds")).where("kinds > 1")
         mixed = named.join(main, "token").withColumn("free", F.col("comp") != F.col("main"))
-        sizes = mixed.groupBy("token", "band").agg(F.count("*").alias("here")).select(
-            "token", F.col("band").alias("to_band"),
-            F.ceil(F.col("here") / BLOCK).cast("int").alias("blocks"))
-        # home rows go to one block of their band, free rows also to all blocks around it
-        homes = mixed.withColumn("to_band", F.col("band")).join(sizes, ["token", "to_band"]).withColumn(
-            "block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int")).withColumn("home", F.lit(True))
-        guests = mixed.where("free").withColumn("to_band", F.explode(F.array(
-            F.col("band") - 1, F.col("band"), F.col("band") + 1))).join(sizes, ["token", "to_band"]).withColumn(
-            "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("home", F.lit(False))
-        homes = homes.withColumn("free", F.lit(False))
-        laid = homes.unionByName(guests).join(about.select("sid", "bitmap"), "sid")
+        laid = _dealt(mixed).join(about.select("sid", "bitmap"), "sid")
         pairs = stages.write(_across(laid, ratio, quota))
         whole = pairs.where("cut").isEmpty()
         pairs = stages.write(pairs.select("a", "b").join(tried, ["a", "b"], "left_anti"))

@@ -83,6 +83,39 @@ def test_jaccard_nulls_and_repeats(docs_of):
     assert ngram_join.link_components(docs_of([]), sketch_bits=16).count() == 0
 
 
+def dealt_rows(monkeypatch):
+    """Collects (all rows, rows of the largest task) of every comparison inside tiles."""
+    seen, across = [], ngram_join._across
+
+    def spy(laid, *rest):
+        held = [r["count"] for r in laid.groupBy("token", "to_band", "block").count().collect()]
+        seen.append((sum(held), max(held, default=0)))
+        return across(laid, *rest)
+
+    monkeypatch.setattr(ngram_join, "_across", spy)
+    return seen
+
+
+@pytest.mark.parametrize("ratio,own", [((90, 100), 15), ((80, 100), 30)])
+def test_template_pages_that_do_not_link_never_meet(docs_of, monkeypatch, ratio, own):
+    rng, seen = random.Random(17), dealt_rows(monkeypatch)
+    page = words(rng, 200, 10**6)
+    rows = [(i, page + " " + words(rng, own, 10**6)) for i in range(60)]
+    got = ngram_join.link_components(docs_of(rows), 3, ratio).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == brute.jaccard_components(rows, 3, *ratio)
+    assert len({r[2] for r in got}) == len(rows) and not any(n for n, _ in seen)
+
+
+def test_unlinked_guests_are_cut_into_blocks(docs_of, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BLOCK", 8)
+    rng, seen = random.Random(18), dealt_rows(monkeypatch)
+    menu = [words(rng, 10, 10**6) for _ in range(40)]
+    rows = [(i, " ".join(p for p in menu if rng.random() < 0.5)) for i in range(160)]
+    got = ngram_join.link_components(docs_of(rows), 3, (80, 100)).collect()
+    assert {r[0]: (r[1], r[2]) for r in got} == brute.jaccard_components(rows, 3, 80, 100)
+    assert any(n for n, _ in seen) and max(m for _, m in seen) <= 6 * 8
+
+
 def test_bitmaps_never_rule_out_a_link():
     rng = np.random.default_rng(2)
     for _ in range(300):
