@@ -6,7 +6,8 @@ Every stage takes (spark, docs, sf_dir), where ``docs`` is what the stage before
 last return the columns of ``documents``.  ``run`` applies them in turn, writing each stage's rows
 under the shared folder.
 
-Copies: of the documents one component of the Jaccard join holds, the one with the smallest doc_id stays.
+Copies: of the documents one component of the Jaccard join holds, the one with the smallest doc_id stays;
+documents without an id are compared, too, and rows that repeat a doc_id and its text stay together.
 Mixing emits a document once per copy it draws, so a doc_id may come twice after it.
 """
 
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourlens.llm import decontaminate, mixing, ngram_join, quality_rules, token_store
-from hourlens.llm.common import Stages
+from hourlens.llm.common import Stages, hash_pair
 from hourlens.llm.queries import table, tokenizer_json
 from hourlens.llm.registry import query
 from hourlens.session import tune
@@ -46,12 +47,18 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays; documents without words or without an id all stay."""
-    linked = ngram_join.link_components(docs, NGRAM, RATIO)
-    lead = linked.where("doc_id = component_id").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.select(*COLUMNS).join(
-        lead.hint("shuffle_hash"), F.col("doc_id") == F.col("_id"), "left_semi").unionByName(
-        docs.select(*COLUMNS).where("doc_id is null"))
+    """One document of each component stays; documents without words all stay.
+
+    A document is a doc_id and a text: the smallest id leads, then the smallest text hash, documents without
+    an id come last.  Rows that repeat a doc_id and its text share their fate; without an id one row stays."""
+    key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"),
+                   *[h.alias(f"h{k}") for k, h in enumerate(hash_pair(F.col("text")))])
+    linked = ngram_join.link_components(docs.select(key.alias("doc_id"), "text"), NGRAM, RATIO)
+    lead = Stages(spark, "copies").write(linked.where("doc_id = component_id").select(
+        F.col("doc_id").alias("_key"), (F.col("n_shingles") > 0).alias("_words")).distinct())
+    rows = docs.select(*COLUMNS).join(lead.hint("shuffle_hash"), key == F.col("_key"))
+    alike = rows.where("doc_id is null and _words").groupBy("_key").agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return rows.where("doc_id is not null or not _words").select(*COLUMNS).unionByName(alike.select("row.*"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -102,6 +102,20 @@ def test_stages(spark, sf_dir, monkeypatch):
     assert Counter(map(tuple, corpus_pipeline.run(spark, sf_dir).collect())) == Counter(expect)
 
 
+def test_copies_under_repeated_and_null_ids(spark):
+    rng = random.Random(21)
+    a, b, c, d, e = (words(rng, 60, 10**6) for _ in range(5))
+    rows = [(1, a, "s"), (5, a, "s"), (5, b, "s"), (7, b, "s"), (None, a + " x", "s"), (None, c, "t"), (None, c, "s"),
+            (None, "", "s"), (None, "", "s"), (None, None, "s"), (9, d, "s"), (9, d, "s"), (8, e, "s"), (8, e + " y", "s")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], FIELDS).repartition(3)
+    got = Counter((r["doc_id"], r["text"], r["source"]) for r in corpus_pipeline.near_duplicates(spark, docs, "").collect())
+    eight = [k for k in got if k[0] == 8]
+    assert len(eight) == 1 and got[eight[0]] == 1       # the text hash decides which
+    want = [(1, a, "s"), (5, b, "s"), (None, c, "s"), (None, "", "s"), (None, "", "s"), (None, None, "s"),
+            (9, d, "s"), (9, d, "s"), eight[0]]
+    assert got == Counter(want)
+
+
 def test_pipeline_on_nothing(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
