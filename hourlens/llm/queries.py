@@ -12,6 +12,7 @@ from hourlens.llm import (
     line_dedup,
     mixing,
     ngram_join,
+    periodic_runs,
     quality_rules,
     sharding,
     suffix_dedup,
@@ -275,3 +276,65 @@ def op9_suffix_dedup(spark, sf_dir):
 @query("op10_license_scan")
 def op10_license_scan(spark, sf_dir):
     return license_scan.scan_licenses(table(spark, sf_dir, "documents"))
+
+
+# ---- 11 periodic runs
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` in which one text in ten repeats its own words from some place on, by its doc_id's checksum."""
+    place, period = "({g} % size(w))", "(1 + (size(w) - {g} % size(w)) div (3 + {g} % 8))"
+    g = "(crc32(cast(doc_id as string)) div 10)"
+    place, period = place.format(g=g), period.format(g=g)
+    words = r"filter(array(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]++', 0)), w -> size(w) > 0)"
+    text = (f"get(transform({words}, w -> array_join(transform(sequence(0, size(w) - 1), i -> w[cast("
+            f"if(i < {place}, i, {place} + (i - {place}) % {period}) as int)]), ' ')), 0)")
+    return docs.withColumn("text", F.when(
+        F.expr("crc32(cast(doc_id as string)) % 10 = 0"), F.coalesce(F.expr(text), "text")).otherwise(
+        F.col("text")))
+
+
+@query("op11_periodic_runs", r"""
+WITH b AS (SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+        flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+          lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1])) AS steps FROM documents),
+h AS (SELECT r, doc_id, w, CAST(len(w) AS BIGINT) AS n, xor(list_reduce(steps, lambda c, x:
+          CASE WHEN x >= 0 THEN xor(c, x) WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END,
+          CAST(4294967295 AS BIGINT)), 4294967295) AS h FROM b),
+a AS (SELECT *, (h // 10) % n AS a, 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) AS p FROM h),
+d AS (SELECT r, doc_id, n, CASE WHEN n > 0 AND h % 10 = 0 THEN list_transform(range(n),
+        lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) ELSE w END AS w FROM a),
+g AS (SELECT r, n, unnest(range(1, n - 3)) AS i, unnest(list_transform(range(1, n - 3),
+        lambda i: array_to_string(w[i:i + 4], ' '))) AS g FROM d WHERE n > 5),
+-- equal stretches of five words; places that follow each other at one distance make one stretch
+e AS (SELECT x.r, x.i, y.i - x.i AS p FROM g x JOIN g y
+      ON x.r = y.r AND x.g = y.g AND x.i < y.i AND 4 * (y.i - x.i) <= x.n),
+f AS (SELECT *, i - row_number() OVER (PARTITION BY r, p ORDER BY i) AS k FROM e),
+m AS (SELECT r, min(i) - 1 AS s, count(*) + 4 + p AS l, p FROM f GROUP BY r, p, k
+      HAVING count(*) + 4 + p >= greatest(6, 4 * p)),
+u AS (SELECT r, s, l, min(p) AS p FROM m GROUP BY r, s, l),
+c AS (SELECT r, count(*) AS n_runs, arg_max({'s': s, 'l': l, 'p': p}, (l, -s, -p)) AS top,
+        string_agg(s || ',' || l || ',' || p || chr(10), '' ORDER BY s, p) AS runs FROM u GROUP BY r),
+x AS (SELECT DISTINCT r, unnest(range(s + p, s + l)) AS i FROM u),
+o AS (SELECT d.r, list(i) AS gone FROM x JOIN d USING (r) GROUP BY d.r)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, CAST(top.s AS BIGINT) AS start, CAST(top.l AS BIGINT) AS length,
+    CAST(top.p AS BIGINT) AS period, CAST(1000 * top.l // top.p AS BIGINT) AS exponent_milli,
+    sha256(coalesce(runs, '')) AS runs_sha256,
+    sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(
+        list_transform(list_filter(list_zip(w, range(n)), lambda z: NOT list_contains(gone, z[2])),
+          lambda z: z[1]), ' ') END) AS collapsed_sha256
+FROM d LEFT JOIN c USING (r) LEFT JOIN o USING (r)
+""")
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs.find_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(
+        ",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(
+        r["length"].alias("length"), (-r["start"]).alias("a"), (-r["period"]).alias("p"))))
+    top = found.withColumn("_top", longest)
+    return top.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("_top.a")).alias("start"),
+        F.col("_top.length").alias("length"), (-F.col("_top.p")).alias("period"),
+        F.expr("1000 * _top.length div -_top.p").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256)
+        .alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
