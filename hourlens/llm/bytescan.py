@@ -156,6 +156,23 @@ def long_words(buf: np.ndarray, member: np.ndarray, lower: bool):
         at = end
 
 
+def word_numbers(column: pa.Array, spelling: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct words of some texts, the number of every word (from 0), and where each text's words begin.
+
+    ``spelling``: what each byte is read as; what becomes white space ends words."""
+    buf, bounds = buffers(column)
+    if spelling is not None:
+        buf = spelling[buf]
+    texts = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(buf))
+    lists = pc.ascii_split_whitespace(texts)
+    words, ends = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
+    ends -= ends[0]
+    full = pc.greater(pc.binary_length(words), 0)       # a text that begins or ends with space has an empty one
+    real = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))
+    coded = words.filter(full).dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), real[ends]
+
+
 def segment_ids(offsets: np.ndarray) -> np.ndarray:
     """The document number of every element, from the places where documents begin."""
     return np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))

@@ -38,19 +38,6 @@ LEAST_LENGTH, LEAST_EXPONENT = 6, 4
 SHARED = 4              # words: what the first two rankings look at
 
 
-def word_numbers(column: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
-    """Distinct words of some texts, the number of every word (from 0), and where each text's words begin."""
-    buf, bounds = bs.buffers(column)
-    texts = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(buf))
-    lists = pc.ascii_split_whitespace(texts)
-    words, ends = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
-    ends -= ends[0]
-    full = pc.greater(pc.binary_length(words), 0)       # a text that begins or ends with space has an empty one
-    real = np.append(0, np.cumsum(full.to_numpy(zero_copy_only=False)))
-    coded = words.filter(full).dictionary_encode()
-    return coded.dictionary, coded.indices.to_numpy().astype(np.int64), real[ends]
-
-
 def _ranked(order: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For keys sorted by ``order``: the place of each one's group in it, and is it alone there?"""
     new = np.append(True, key[order][1:] != key[order][:-1])[:len(order)]
@@ -185,7 +172,7 @@ def find_runs(docs: DataFrame) -> DataFrame:
             _, bounds = bs.buffers(batch["text"])
             for i, j in bs.groups(bounds):
                 part = batch.slice(i, j - i)
-                names, words, offs = word_numbers(part["text"])
+                names, words, offs = bs.word_numbers(part["text"])
                 runs = maximal_runs(words, offs)
                 start, length, period = np.array(runs, np.int64).reshape(-1, 3).T
                 edge = np.zeros(len(words) + 1, np.int64)

@@ -15,9 +15,11 @@ from hourlens.llm import (
     periodic_runs,
     quality_rules,
     sharding,
+    source_audit,
     suffix_dedup,
     token_store,
     url_filters,
+    vector_search,
 )
 from hourlens.llm.registry import query
 
@@ -338,3 +340,44 @@ def op11_periodic_runs(spark, sf_dir):
         F.expr("1000 * _top.length div -_top.p").alias("exponent_milli"),
         F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256)
         .alias("runs_sha256"), F.sha2("kept", 256).alias("collapsed_sha256"))
+
+
+# ---- 12 nearest neighbours
+
+@query("op12_nearest_vectors")
+def op12_nearest_vectors(spark, sf_dir):
+    found = vector_search.search(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, 20)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+# ---- 13 source divergence audit
+
+@query("op13_source_audit", r"""
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+w AS (SELECT r, lang, source, unnest(w) AS t FROM d),
+k AS (SELECT lang, t FROM w GROUP BY lang, t HAVING count(DISTINCT r) >= 3),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+n AS (SELECT lang, source, t, count(*) AS c FROM w JOIN k USING (lang, t) GROUP BY ALL),
+g AS (SELECT s.lang, s.source, coalesce(v, 0) AS v, coalesce(sum(c), 0) AS n
+      FROM (SELECT DISTINCT lang, source FROM d) s LEFT JOIN v ON v.lang = s.lang
+      LEFT JOIN n ON n.lang = s.lang AND n.source = s.source GROUP BY ALL),
+l AS (SELECT lang, t, CAST(1 + (1000000000 * (sum(c) + 1)) // (
+        (SELECT sum(n) FROM g WHERE g.lang = n.lang) + (SELECT v FROM v WHERE v.lang = n.lang)) AS BIGINT) AS q
+      FROM n GROUP BY lang, t),
+f AS (SELECT g.lang, g.source, k.t, coalesce(c, 0) AS c,
+        CAST(1 + (1000000000 * (coalesce(c, 0) + 1)) // (g.n + v) AS BIGINT) AS p
+      FROM g JOIN k ON k.lang = g.lang LEFT JOIN n ON n.lang = g.lang AND n.source = g.source AND n.t = k.t),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS s
+      FROM f a JOIN f b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+p AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, CAST(coalesce(s, 0) AS BIGINT) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+      LEFT JOIN x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+t AS (SELECT f.lang, f.source, 'term' AS part, f.t AS item, ((p - q) * (p - q)) // q AS value
+      FROM f JOIN l ON l.lang = f.lang AND l.t = f.t WHERE c > 0 AND p > q)
+SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+FROM (FROM p UNION ALL FROM t) QUALIFY part = 'pair' OR rank <= 200
+""")
+def op13_source_audit(spark, sf_dir):
+    return source_audit.audit(table(spark, sf_dir, "documents"))

@@ -38,7 +38,7 @@ texts = st.lists(st.lists(piece, max_size=6).map(lambda ps: [x for w, k in ps fo
 @settings(deadline=None, max_examples=300)
 def test_runs_of_many_texts(docs):
     column = pa.array([" " * (i % 2) + "\n".join(f"w{x}" for x in d) + "\t" * (i % 3) for i, d in enumerate(docs)])
-    names, words, offs = periodic_runs.word_numbers(column)
+    names, words, offs = bytescan.word_numbers(column)
     assert names.take(pa.array(words)).to_pylist() == [f"w{x}" for d in docs for x in d]
     want = [(s + o, n, p) for d, o in zip(docs, offs.tolist()) for s, n, p in runs_of(d)]
     assert periodic_runs.maximal_runs(words, offs) == want
