@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,8 +11,11 @@ from pyspark.sql import functions as F
 from hourlens import config
 from hourlens.functions import columns as fc
 from hourlens.functions.quantiles import quantiles
+from hourlens.session import work_dir
+from hourlens.sources.sinks import write_stage
 
 FLOOR = 1e-6        # fixed value: smallest share used in the index
+FEW = 100_000       # values of a feature that one task ranks
 
 
 def _long(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -19,16 +23,52 @@ def _long(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> D
     return wide.unpivot(list(keep), list(features), "feature", "x")
 
 
-def reference_edges(ref: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
-    """``feature, edges``: exact quantile edges of every feature in one job.
+def value_counts(df: DataFrame, is_current: Column, features: Sequence[str]) -> DataFrame:
+    """``feature, x, ref_n, cur_n``: rows of both periods per value, null included.
 
-    Fitted once: the few rows (features x edges) are fetched and become a local
-    table, so binning never repeats the quantile scans.
-    """
+    Counted before the shuffle, so what travels is distinct values, of most features a few dozen."""
+    long = _long(df.withColumn("_cur", is_current), features, ["_cur"])
+    return long.groupBy("feature", "x").agg(F.count_if(~F.col("_cur")).alias("ref_n"),
+                                            F.count_if(F.col("_cur")).alias("cur_n"))
+
+
+def edges_from_counts(counted: DataFrame, ref: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
+    """``feature, edges``: exact quantile edges of every feature's reference rows.
+
+    Features of at most ``FEW`` values are ranked on their counts, the others from ``ref`` by brackets.
+    Fitted once: the few rows (features x edges) become a local table."""
     probs = [i / bins for i in range(bins + 1)]
-    q = quantiles(_long(ref, features), "x", probs, ["feature"], few_groups=True).select(
-        "feature", F.col("q").alias("edges"))
-    return ref.sparkSession.createDataFrame(q.collect(), "feature string, edges array<double>")
+    counted = counted.where((F.col("ref_n") > 0) & F.col("x").isNotNull() & ~F.isnan("x"))
+    sizes = {r["feature"]: (r["n"], r["kinds"]) for r in counted.groupBy("feature").agg(
+        F.sum("ref_n").alias("n"), F.count("*").alias("kinds")).collect()}          # one row per feature
+    few = [f for f, (_, kinds) in sizes.items() if kinds <= FEW]
+    edges = {}
+    if few:
+        upto = Window.partitionBy("feature").orderBy("x").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        position = [F.lit(p) * (F.col("_n") - 1) for p in probs]
+        wanted = F.array(*[f(k).cast("long") for k in position for f in (F.floor, F.ceil)])
+        total = F.sum("ref_n").over(Window.partitionBy("feature"))
+        ranked = counted.where(F.col("feature").isin(few)).withColumn("_end", F.sum("ref_n").over(upto)) \
+            .withColumn("_n", total).withColumn("_at", F.explode(F.array_distinct(F.filter(
+                wanted, lambda k: (k >= F.col("_end") - F.col("ref_n")) & (k < F.col("_end"))))))
+        value = {(r["feature"], r["_at"]): r["x"] for r in ranked.select("feature", "_at", "x").collect()}
+        for f in few:
+            found = []
+            for p in probs:
+                at = p * (sizes[f][0] - 1)
+                low, high = value[f, math.floor(at)], value[f, math.ceil(at)]
+                found.append(low + (high - low) * (at - math.floor(at)))
+            edges[f] = found
+    many = [f for f in features if f in sizes and f not in edges]
+    if many:
+        q = quantiles(_long(ref, many), "x", probs, ["feature"], few_groups=True)
+        edges |= {r["feature"]: r["q"] for r in q.collect()}
+    return ref.sparkSession.createDataFrame(list(edges.items()), "feature string, edges array<double>")
+
+
+def reference_edges(ref: DataFrame, features: Sequence[str], bins: int = 10) -> DataFrame:
+    return edges_from_counts(value_counts(ref, F.lit(False), features), ref, features, bins)
 
 
 def _with_ids(edges: DataFrame) -> DataFrame:
@@ -48,37 +88,22 @@ def _bin(x: Column) -> Column:
         inside, F.size(F.filter("edges", lambda e: e <= x)))
 
 
-def psi_bins(df: DataFrame, is_current: Column, features: Sequence[str], edges: DataFrame) -> DataFrame:
-    """``feature, bin, ref_n, cur_n, ref_total, cur_total`` with empty bins present.
+def binned(counted: DataFrame, edges: DataFrame) -> DataFrame:
+    """``feature, bin, ref_n, cur_n`` from value counts; bin null holds what is outside the range.
 
-    The edges table has one row per feature of a fixed list and is broadcast.
-    """
-    long = _long(df.withColumn("_cur", is_current.cast("int")), features, ["_cur"])
-    tagged = (long.join(F.broadcast(_with_ids(edges)), "feature")
-              .select("feature", "_cur", _bin(F.col("x")).alias("bin")))
-    counts = tagged.groupBy("feature", "bin").agg(
-        F.count_if(F.col("_cur") == 0).alias("ref_n"),
-        F.count_if(F.col("_cur") == 1).alias("cur_n"))
-    # a feature has a dozen counted rows; rows outside the range (no bin) belong to the totals
-    own = Window.partitionBy("feature")
-    counts = counts.withColumns({"ref_total": F.sum("ref_n").over(own),
-                                 "cur_total": F.sum("cur_n").over(own)})
-    ids = F.transform(F.array_distinct("edges"),
-                      lambda e: F.size(F.filter("edges", lambda g: g <= e)))
-    spine = (edges.withColumn("_ids", ids)
-             .select("feature", F.explode_outer(F.slice(
-                 "_ids", F.lit(1), F.size("_ids") - 1)).alias("bin")))
-    spine = spine.withColumn("_spine", F.lit(True))
-    return (spine.join(counts, (spine["feature"] == counts["feature"])
-                       & spine["bin"].eqNullSafe(counts["bin"]), "full")
-            .select(F.coalesce(spine["feature"], counts["feature"]).alias("feature"),
-                    F.coalesce(spine["bin"], counts["bin"]).alias("bin"), "ref_n", "cur_n",
-                    F.max("ref_total").over(Window.partitionBy(
-                        F.coalesce(spine["feature"], counts["feature"]))).alias("ref_total"),
-                    F.max("cur_total").over(Window.partitionBy(
-                        F.coalesce(spine["feature"], counts["feature"]))).alias("cur_total"),
-                    "_spine")
-            .where("_spine").drop("_spine").na.fill(0, ["ref_n", "cur_n"]))
+    The edges table has one row per feature of a fixed list and is broadcast."""
+    tagged = counted.join(F.broadcast(_with_ids(edges)), "feature").withColumn("bin", _bin(F.col("x")))
+    return tagged.groupBy("feature", "bin").agg(F.sum("ref_n").alias("ref_n"), F.sum("cur_n").alias("cur_n"))
+
+
+def with_empty_bins(counts: DataFrame, edges: DataFrame) -> DataFrame:
+    """``feature, bin, ref_n, cur_n, ref_total, cur_total`` with empty bins present."""
+    ids = F.transform(F.array_distinct("edges"), lambda e: F.size(F.filter("edges", lambda g: g <= e)))
+    spine = edges.select("feature", F.explode_outer(F.slice(ids, F.lit(1), F.size(ids) - 1)).alias("bin"))
+    totals = counts.groupBy("feature").agg(F.sum("ref_n").alias("ref_total"), F.sum("cur_n").alias("cur_total"))
+    named = counts.select(F.col("feature").alias("_f"), F.col("bin").alias("_b"), "ref_n", "cur_n")
+    return (spine.join(named, (F.col("feature") == F.col("_f")) & F.col("bin").eqNullSafe(F.col("_b")), "left")
+            .drop("_f", "_b").join(totals, "feature", "left").na.fill(0, ["ref_n", "cur_n"]))
 
 
 def psi_from_bins(binned: DataFrame) -> DataFrame:
@@ -91,8 +116,11 @@ def psi_from_bins(binned: DataFrame) -> DataFrame:
 
 
 def psi(df: DataFrame, is_current: Column, features: Sequence[str], bins: int = 10) -> DataFrame:
-    edges = reference_edges(df.where(~is_current), features, bins)
-    return psi_from_bins(psi_bins(df, is_current, features, edges))
+    """``feature, psi``.  One scan counts the values of all features; edges and bins come from the counts."""
+    counted = df.sparkSession.read.parquet(write_stage(
+        value_counts(df, is_current, features), work_dir(df.sparkSession, "value-counts")))
+    edges = edges_from_counts(counted, df.where(~is_current), features, bins)
+    return psi_from_bins(with_empty_bins(binned(counted, edges), edges))
 
 
 def feature_drift(psi_table: DataFrame, warn: float = config.PSI_WARN,

@@ -11,6 +11,7 @@ from hourlens.operators import cleaning as cl
 from hourlens.operators import features as fx
 from hourlens.operators import relational as rel
 from hourlens.operators import rules as ru
+from hourlens.operators import silhouettes as sil
 from hourlens.operators import stats as st
 from hourlens.operators import windows as win
 from hourlens.plans.registry import query
@@ -614,18 +615,25 @@ def rule_text(spark, d):
     return ru.sentence(_rules(spark, d)).select("consequent", "plain_language")
 
 
-# squared distances over all rows: mean of |x - y|^2 is |x|^2 - 2 x.mean(y) + mean |y|^2
-@query("silhouette_euclid", f"""WITH {_LABELLED}, o AS (SELECT avg(measure) AS a, avg(temp) AS b,
-        avg(hour) AS c FROM labelled),
-    p AS (SELECT event_id AS id, cluster, measure - a AS x, temp - b AS y, hour - c AS z FROM labelled, o),
-    g AS (SELECT cluster, count(*) AS n, avg(x) AS mx, avg(y) AS my, avg(z) AS mz,
-        avg(x * x + y * y + z * z) AS q FROM p GROUP BY 1),
-    d AS (SELECT id, p.cluster AS own, g.cluster AS other, n, greatest(0, x * x + y * y + z * z
-        - 2 * (x * mx + y * my + z * mz) + q) AS d FROM p, g),
-    m AS (SELECT id, max(d * n / nullif(n - 1, 0)) FILTER (WHERE own = other) AS a,
-        min(d) FILTER (WHERE own <> other) AS b FROM d GROUP BY 1)
-    SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6)
-        AS silhouette, count(*) AS n FROM m""")
-def silhouette_euclid(spark, d):
+_ALL_PAIRS = """d AS (SELECT a.event_id AS id, a.cluster AS own, b.cluster AS other, sum({distance}) AS s,
+        count(*) AS n FROM labelled a, labelled b GROUP BY 1, 2, 3),
+    m AS (SELECT id, max(s / nullif(n - 1, 0)) FILTER (WHERE own = other) AS a,
+        min(s / n) FILTER (WHERE own <> other) AS b FROM d GROUP BY 1)
+    SELECT round(avg(CASE WHEN a IS NULL OR b IS NULL OR greatest(a, b) = 0 THEN 0
+        ELSE (b - a) / greatest(a, b) END), {digits}) AS silhouette, count(*) AS n FROM m"""
+_SQUARE = """(a.measure - b.measure) * (a.measure - b.measure) + (a.temp - b.temp) * (a.temp - b.temp)
+        + CAST((a.hour - b.hour) * (a.hour - b.hour) AS DOUBLE)"""
+
+
+@query("silhouette_squared", f"WITH {_LABELLED}, {_ALL_PAIRS.format(distance=_SQUARE, digits=6)}")
+def silhouette_squared(spark, d):
+    """Squared distances over all rows, from sums per cluster."""
     return rounded(cu.silhouette(_labelled(spark, d), ["measure", "temp", "hour"], "cluster"), 6,
                    "silhouette")
+
+
+@query("silhouette_euclid", f"WITH {_LABELLED}, {_ALL_PAIRS.format(distance=f'sqrt({_SQUARE})', digits=4)}")
+def silhouette_euclid(spark, d):
+    """Plain distances over all rows, from cells."""
+    return rounded(sil.mean_distance_silhouette(
+        _labelled(spark, d), ["measure", "temp", "hour"], "cluster"), 4, "silhouette")

@@ -74,17 +74,33 @@ def stream_outages(spark, d):
     return out.where(_REAL.replace("hour_ts", "run_start"))
 
 
-@query("stream_drift")
+_STREAM_DRIFT = """dlong AS (UNPIVOT (SELECT ts >= TIMESTAMP '2024-01-20' AS cur, value, CAST(k AS DOUBLE) AS k,
+        CAST(hour(ts) AS DOUBLE) AS hour FROM obs) ON value, k, hour INTO NAME feature VALUE x),
+edges AS (SELECT feature, list_sort(list_distinct(quantile_cont(x,
+        [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0]))) AS e FROM dlong WHERE NOT cur GROUP BY 1),
+bins AS (SELECT feature, i, e[i] AS lo, e[i + 1] AS hi, i = len(e) - 1 AS is_last
+    FROM (SELECT feature, e, unnest(generate_series(1, len(e) - 1)) AS i FROM edges WHERE len(e) >= 3) z),
+tot AS (SELECT count(*) FILTER (WHERE NOT cur) AS rn, count(*) FILTER (WHERE cur) AS cn FROM dlong
+    WHERE feature = 'value'),
+share AS (SELECT b.feature, b.i, greatest(count(x) FILTER (WHERE NOT cur) / max(rn), 1e-6) AS r,
+    greatest(count(x) FILTER (WHERE cur) / max(cn), 1e-6) AS c FROM tot, bins b LEFT JOIN dlong d
+    ON b.feature = d.feature AND x >= lo AND (x < hi OR (is_last AND x = hi)) GROUP BY 1, 2),
+psi AS (SELECT e.feature, coalesce(sum((c - r) * ln(c / r)), 0) AS psi FROM edges e
+    LEFT JOIN share s ON e.feature = s.feature GROUP BY 1)"""
+
+
+@query("stream_drift", f"""WITH {_STREAM_DRIFT} SELECT feature, round(psi, 6) AS psi,
+    CASE WHEN psi >= 0.25 THEN 'ALERT' WHEN psi >= 0.1 THEN 'WARN' ELSE 'PASS' END AS status FROM psi""")
 def stream_drift(spark, d):
+    """The current period as a feed of small files; after the last one its drift is that of the batch."""
     features = ["value", "k", "hour"]
     ref, cur = rel.split_at(views.obs(spark, d).withColumn("hour", F.hour("ts")),
                             datetime(2024, 1, 20))
     stage = work_dir(spark, "drift-feed")
     cur.repartition(4, "hour_ts").write.parquet(stage)
     feed = jobs.file_stream(spark, stage, "*.parquet", cur.schema, files_per_trigger=2)
-    out = work_dir(spark, "drift-table")
-    jobs.drift_batches(feed, features, ref, dr.reference_edges(ref, features), out)
-    return spark.read.option("recursiveFileLookup", True).parquet(out)
+    state = jobs.DriftState(ref, features, dr.reference_edges(ref, features))
+    return jobs.drift_so_far(feed, state).withColumn("psi", F.round("psi", 6))
 
 
 @query("stream_score")

@@ -133,32 +133,56 @@ def outages(stream: DataFrame, gap: str = "1 hour", watermark: str = "1 hour",
                       F.col("last_ts").cast("timestamp_ntz").alias("run_last"), "n")
 
 
-def drift_batches(stream: DataFrame, features: Sequence[str], reference: DataFrame,
-                  edges: DataFrame, out: str) -> None:
-    """PSI of every micro-batch against stored reference counts.
+class DriftState:
+    """Counts per (feature, bin) of all rows a feed has brought, and the index against a stored reference.
 
-    Only the reference's binned counts (features x bins rows) are kept; a
-    micro-batch is binned once and appended to the drift table.
+    An epoch's counts are those of the epoch before it and of its own rows, written to one of two slots in turn.
+    An epoch that is run again starts from the slot the epoch before it left and overwrites its own, so
+    nothing counts twice.  What is kept does not grow with the feed: features x bins rows, twice.
     """
-    spark = stream.sparkSession
-    base = work_dir(spark, "stream-drift-reference")
-    edges.write.parquet(f"{base}/edges")
-    edges = spark.read.parquet(f"{base}/edges")
-    dr.psi_bins(reference, F.lit(False), features, edges).select(
-        "feature", "bin", "ref_n", "ref_total").write.parquet(f"{base}/bins")
-    ref = spark.read.parquet(f"{base}/bins")
-
-    def handle(batch: DataFrame, epoch: int) -> None:
-        cur = dr.psi_bins(batch, F.lit(True), features, edges).select(
-            "feature", "bin", "cur_n", "cur_total")
-        table = dr.psi_from_bins(ref.join(cur, ["feature", "bin"], "left")
-                                 .na.fill(0, ["cur_n", "cur_total"]))
-        (table.withColumn("batch_id", F.lit(epoch).cast("bigint"))
-         .withColumn("status", fc.status_band("psi", config.PSI_WARN, config.PSI_ALERT))
-         # one folder per batch: a retried batch overwrites itself
-         .write.mode("overwrite").parquet(f"{out}/batch={epoch}"))
-
-    run_batches(stream, "stream-drift", handle)
+
+    COUNTS = "feature string, bin int, n bigint, epoch bigint"
+
+    def __init__(self, reference: DataFrame, features: Sequence[str], edges: DataFrame):
+        self.spark, self.features = reference.sparkSession, list(features)
+        self.base = work_dir(self.spark, "stream-drift")
+        edges.write.parquet(f"{self.base}/edges")
+        self.edges = self.spark.read.parquet(f"{self.base}/edges")
+        dr.binned(dr.value_counts(reference, F.lit(False), self.features), self.edges).select(
+            "feature", "bin", "ref_n").write.parquet(f"{self.base}/reference")
+
+    def _slot(self, epoch: int) -> str:
+        return f"{self.base}/slot{epoch % 2}"
+
+    def merge(self, batch: DataFrame, epoch: int) -> None:
+        """Add the rows of one epoch (a foreachBatch handler)."""
+        own = dr.binned(dr.value_counts(batch, F.lit(True), self.features), self.edges).select(
+            "feature", "bin", F.col("cur_n").alias("n"))
+        if epoch > 0:
+            before = self.spark.read.schema(self.COUNTS).parquet(self._slot(epoch - 1))
+            expected = F.when(F.col("epoch") == epoch - 1, F.col("n")).otherwise(
+                F.raise_error(F.lit(f"counts before epoch {epoch} are missing")).cast("bigint"))
+            own = own.unionByName(before.select("feature", "bin", expected.alias("n")))
+        (own.groupBy("feature", "bin").agg(F.sum("n").alias("n"))
+         .withColumn("epoch", F.lit(epoch).cast("bigint")).write.mode("overwrite").parquet(self._slot(epoch)))
+        self.epoch = epoch
+
+    def table(self) -> DataFrame:
+        """``feature, psi, status`` of everything merged so far: what the batch operator gives for these rows."""
+        counts = self.spark.read.schema(self.COUNTS).parquet(self._slot(self.epoch)).select(
+            "feature", "bin", F.lit(0).cast("bigint").alias("ref_n"), F.col("n").alias("cur_n"))
+        known = self.spark.read.parquet(f"{self.base}/reference").select(
+            "feature", "bin", "ref_n", F.lit(0).cast("bigint").alias("cur_n"))
+        both = counts.unionByName(known).groupBy("feature", "bin").agg(
+            F.sum("ref_n").alias("ref_n"), F.sum("cur_n").alias("cur_n"))
+        return dr.psi_from_bins(dr.with_empty_bins(both, self.edges)).withColumn(
+            "status", fc.status_band("psi", config.PSI_WARN, config.PSI_ALERT))
+
+
+def drift_so_far(stream: DataFrame, state: DriftState) -> DataFrame:
+    """Drain the feed into ``state``; the drift of all its rows against the reference."""
+    run_batches(stream, "stream-drift-run", state.merge)
+    return state.table()
 
 
 def score(stream: DataFrame, model: PipelineModel, to_features: Callable[[DataFrame], DataFrame],
