@@ -44,11 +44,19 @@ class Stages:
 
     def drop(self, *tables: DataFrame) -> None:
         """Delete written tables that nothing reads any more."""
-        jvm = self.spark._jvm
-        conf = self.spark._jsc.hadoopConfiguration()
         for t in tables:
-            path = jvm.org.apache.hadoop.fs.Path(t._stage_path)
-            path.getFileSystem(conf).delete(path, True)
+            self._delete(t._stage_path)
+
+    def result(self, df: DataFrame) -> DataFrame:
+        """Write the run's last table beside its folder and remove all others."""
+        self.base, old = f"{self.base}-result", self.base
+        out = self.write(df)
+        self._delete(old)
+        return out
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def partitions(spark: SparkSession) -> int:

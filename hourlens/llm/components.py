@@ -24,7 +24,7 @@ def components(links: DataFrame, stages: Stages) -> DataFrame:
     while not edges.isEmpty():
         up = edges.groupBy("a").agg(F.min("b").alias("b")).select(
             F.col("a").alias("old"), F.least("a", "b").alias("up"))
-        up = stages.write(up)
+        first = up = stages.write(up)
         for _ in range(2):
             jump = up.select(F.col("old").alias("via"), F.col("up").alias("next"))
             up = up.join(jump, up["up"] == jump["via"], "left").select(
@@ -37,5 +37,8 @@ def components(links: DataFrame, stages: Stages) -> DataFrame:
                      .join(right, F.col("b") == F.col("old_b"))
                      .select(F.col("up_a").alias("a"), F.col("up_b").alias("b"))
                      .where("a <> b").distinct())
+        done = first, up, roots, edges
         roots, edges = stages.write(moved), stages.write(rewritten)
+        stages.drop(*done)
+    stages.drop(edges)
     return roots

@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ from hourlens.llm.components import components
 
 SKETCH_BITS = 22        # counters of the sketch; more of them tell rarer shingles apart
 BLOCK = 4096            # sets of a tile's home block, and of its guest block, that one task compares
+ROUNDS = 4              # parts in which prefix shingles are looked through
 QUOTA = 3               # pairs listed per set and foreign component before all are
 PAIRS = 1 << 20         # pairs looked at in one step of a task
 _A = np.uint64(0xA0761D6478BD642F)
@@ -68,7 +70,7 @@ def _digest(s: np.ndarray) -> bytes:
     return hashlib.blake2b(s.tobytes(), digest_size=16).digest()
 
 
-def sketch(docs: DataFrame, n: int, bits: int = SKETCH_BITS) -> np.ndarray:
+def sketch(docs: DataFrame, n: int, stages: Stages, bits: int = SKETCH_BITS) -> np.ndarray:
     """How often each hash slot's shingles occur over all documents.  Fixed size."""
     part = 1 << 14
 
@@ -96,9 +98,10 @@ def sketch(docs: DataFrame, n: int, bits: int = SKETCH_BITS) -> np.ndarray:
 
     kind = "part int, counts binary"
     out = np.zeros(((1 << bits) // part, part), np.int32)
-    for row in docs.select("text").mapInArrow(count, kind).repartition("part").mapInArrow(
-            add, kind).collect():                               # 2^bits counters in all
+    summed = stages.write(docs.select("text").mapInArrow(count, kind).repartition("part").mapInArrow(add, kind))
+    for row in summed.collect():                                # 2^bits counters in all
         out[row["part"]] = np.frombuffer(row["counts"], np.int32)
+    stages.drop(summed)
     return out.reshape(-1)
 
 
@@ -302,30 +305,52 @@ def _dealt(mixed: DataFrame) -> DataFrame:
         "block", F.col("h").cast("long") * F.col("gb") + F.col("g")).drop("h", "g", "hb", "gb")
 
 
+def shared_tokens(sets: DataFrame, ratio, stages: Stages) -> tuple[DataFrame, DataFrame]:
+    """Prefix shingles of two sets or more: what their members have in common, and their entries
+    (token, sid, size, place, reach).
+
+    Most shingles of a prefix are nobody else's.  They are dealt into ``ROUNDS`` by hash, and what a round
+    shuffles to find the others is gone before the next, so no more than a part of all prefixes is on disk at once."""
+    # reach: the largest set with which it can share enough if the token is the first they share
+    laid = sets.select("sid", "size", F.posexplode("prefix").alias("place", "token")).withColumn(
+        "reach", F.expr(f"(size - place) * {sum(ratio)} div {ratio[0]} - size"))
+    members, entries = [], []
+    for k in range(ROUNDS):
+        own = laid.where(F.pmod("token", F.lit(ROUNDS)) == k)
+        found = own.groupBy("token").agg(
+            F.count("*").alias("m"), F.sum(F.shiftright(F.xxhash64("sid"), 32)).alias("m1"),
+            F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("m2"),
+            F.min("size").alias("least"), F.max("size").alias("most"), F.min("place").alias("place"),
+            F.min(F.when(F.col("reach") >= F.col("size"), F.col("size"))).alias("short")).where("m > 1")
+        # two sets whose sizes are too far apart make no tile
+        members.append(stages.write(found.where(
+            (F.col("m") > 2) | (F.col("least") * ratio[1] >= F.col("most") * ratio[0]))))
+        entries.append(stages.write(own.join(members[-1].select("token"), "token", "left_semi")))
+    out = reduce(DataFrame.unionByName, members), reduce(DataFrame.unionByName, entries)
+    for table, parts in zip(out, (members, entries)):
+        table._parts = parts
+    return out
+
+
 def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 100),
                     sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """doc_id, n_shingles and component_id, the smallest doc_id a chain of links reaches."""
     spark = docs.sparkSession
     small_batches(spark)
     stages = Stages(spark, "ngram-join")
-    heat = spark.sparkContext.broadcast(sketch(docs, n, sketch_bits))
-    signed = stages.write(signatures(docs, n, ratio, heat))
+    heat = spark.sparkContext.broadcast(sketch(docs, n, stages, sketch_bits))
+    full = stages.write(signatures(docs, n, ratio, heat))
     heat.unpersist()
-    sets = stages.write(signed.where("size > 0 and doc_id is not null").groupBy("sid").agg(
+    wide = stages.write(full.where("size > 0 and doc_id is not null").groupBy("sid").agg(
         F.min("doc_id").alias("owner"), F.first("size").alias("size"),
         F.first("bitmap").alias("bitmap"), F.first("prefix").alias("prefix")))
+    signed = stages.write(full.select("doc_id", "sid", "size"))
+    stages.drop(full)
 
     # tiles: shingles of two sets or more, once for each distinct list of members
-    # reach: the largest set with which it can share enough if the token is the first they share
-    entries = stages.write(sets.select("sid", "size", F.posexplode("prefix").alias("place", "token")).withColumn(
-        "reach", F.expr(f"(size - place) * {sum(ratio)} div {ratio[0]} - size")))
-    members = entries.groupBy("token").agg(
-        F.count("*").alias("m"), F.sum(F.shiftright(F.xxhash64("sid"), 32)).alias("m1"),
-        F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("m2"),
-        F.min("size").alias("least"), F.max("size").alias("most"), F.min("place").alias("place"),
-        F.min(F.when(F.col("reach") >= F.col("size"), F.col("size"))).alias("short")).where("m > 1")
-    # two sets whose sizes are too far apart make no tile
-    members = members.where((F.col("m") > 2) | (F.col("least") * ratio[1] >= F.col("most") * ratio[0]))
+    members, entries = shared_tokens(wide, ratio, stages)
+    sets = stages.write(wide.drop("prefix"))
+    stages.drop(wide)
     # the first shingle of equal members: what pairs share before it would have the same members
     first = F.min(F.struct("place", "token", "short"))
     tiles = members.groupBy("m", "m1", "m2").agg(first.alias("t")).select("m", "t.token", "t.short")
@@ -334,7 +359,7 @@ def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 1
     # of a pair the smaller set reaches its own size; without one in reach a set has no partner here
     rows = stages.write(entries.join(tiles, "token").where(F.col("reach") >= F.col("short")).select(
         "token", "sid", "size", "reach", "m", band.alias("band")))
-    stages.drop(entries)
+    stages.drop(*entries._parts, *members._parts)
 
     # pivots: every set against the smallest member of its own band and of the one below
     pivots = rows.groupBy("token", "band").agg(F.min("sid").alias("pivot"))
@@ -376,7 +401,7 @@ def link_components(docs: DataFrame, n: int = 3, ratio: tuple[int, int] = (90, 1
         "sid", "owner", F.coalesce("root", "sid").alias("root"))
     lowest = owners.groupBy("root").agg(F.min("owner").alias("component_id"))
     placed = owners.join(lowest, "root").select("sid", "component_id")
-    return signed.join(placed, "sid", "left").select(
+    return stages.result(signed.join(placed, "sid", "left").select(
         "doc_id", F.col("size").alias("n_shingles"),
         F.when(F.col("size") == 0, F.col("doc_id")).when(F.col("doc_id").isNotNull(), F.col("component_id"))
-        .alias("component_id"))
+        .alias("component_id")))

@@ -4,7 +4,8 @@ One pass over the texts measures each document and hashes its normalised lines (
 lower-cased).  Then, for every host (the documents' source), a line's count is the number of
 distinct texts that hold it: exact copies of one text count once.  Lines above the host's limit are
 boilerplate and are removed; a document that loses most of its words to them is depleted and
-rejected.  The limit is a share of the host's distinct texts, so it means the same at every size.
+rejected.  The limit is a share of the host's distinct texts, at most ``LINE_MOST`` of them, so that on a hot host a
+line on thousands of pages goes as well.
 
 Defined results: a null or empty text has no words and fails the base rule; a null host is a host of its
 own; repeated rows get a row each; an empty table gives an empty result; extra columns are not read.
@@ -24,9 +25,11 @@ from hourlens.llm.common import Stages, small_batches
 MIN_WORDS = 50          # base rule: fewer words fail
 MAX_REPEAT = 50         # base rule: percent of words in repeated 3-word windows
 LINE_SHARE = 0.05       # a line in more than this share of a host's distinct texts is boilerplate
+LINE_MOST = 1000        # ... or in more than so many, on any host
 LINE_DOCS = 20          # ... if it is in more than so many
 DEPLETED = 50           # percent of words lost to boilerplate above which a document goes
 
+LETTER = bs.NOT_SPACE & ((np.arange(256) & 0xC0) != 0x80)    # first bytes of the code points in words
 SYMBOL = np.zeros(256, bool)
 SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -67,13 +70,19 @@ def _lines(part, own, starts, ends, offs):
     return d, at, to, np.maximum(edge[r] + 1, own[d]), np.minimum(edge[r + 1], own[d + 1])
 
 
+def _bytes_of(part: np.ndarray, own: np.ndarray, member: np.ndarray) -> np.ndarray:
+    """How many bytes of each document belong to a class; a long document is counted piece by piece."""
+    if len(part) > bs.PIECE:                    # one document
+        return np.array([sum(np.count_nonzero(member[part[a:a + bs.PIECE]]) for a in range(0, len(part), bs.PIECE))])
+    total = np.concatenate([[0], np.cumsum(member[part])])
+    return total[own[1:]] - total[own[:-1]]
+
+
 def _run(buf, bounds, i, j, h, offs, starts, ends):
     """Measures of documents i to j of a batch."""
     lo, hi = bounds[i], bounds[j]
     part, own = buf[lo:hi], bounds[i:j + 1] - lo
     starts, ends = starts - lo, ends - lo
-    letters = np.concatenate([[0], np.cumsum(bs.NOT_SPACE[part] & ((part & 0xC0) != 0x80))])
-    symbols = np.concatenate([[0], np.cumsum(SYMBOL[part])])
     doc, at, to, first, last = _lines(part, own, starts, ends, offs)
     if hi - lo <= bs.PIECE:
         whole = bs.hash_words(part, first, last)
@@ -90,8 +99,8 @@ def _run(buf, bounds, i, j, h, offs, starts, ends):
     begin = np.flatnonzero(np.append(True, (d[1:] != d[:-1]) | (k[1:] != k[:-1]))[:len(d)])
     total = np.add.reduceat(w, begin) if len(begin) else np.empty(0, np.int64)
     lines = np.bincount(d[begin], minlength=j - i)
-    return (np.diff(offs), letters[own[1:]] - letters[own[:-1]], symbols[own[1:]] - symbols[own[:-1]],
-            dup, _repeated_words(h, offs), lines, k[begin], total)
+    return (np.diff(offs), _bytes_of(part, own, LETTER), _bytes_of(part, own, SYMBOL), dup,
+            _repeated_words(h, offs), lines, k[begin], total)
 
 
 def line_hash(raw: np.ndarray) -> int:
@@ -127,20 +136,27 @@ def base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (n_repeat_words * 100 > n_words * MAX_REPEAT)
 
 
-def judge(docs: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS, depleted: int = DEPLETED
-          ) -> tuple[DataFrame, DataFrame]:
+def judge(docs: DataFrame, share: float = LINE_SHARE, least: int = LINE_DOCS, depleted: int = DEPLETED,
+          most: int = LINE_MOST, copies: bool = False) -> tuple[DataFrame, DataFrame]:
     """Verdicts (measures, text_hash, host, lost words, base_failed, kept), one per input row,
-    and the removed lines: text_hash, host, boilerplate (line hashes)."""
+    and the removed lines: text_hash, host, boilerplate (line hashes).
+
+    A line goes from a host if more than ``least`` of its documents hold it and more than ``share`` of them or more
+    than ``most``.  Exact copies of a text count once unless ``copies`` are documents of their own."""
     stages = Stages(docs.sparkSession, "quality")
     measured = stages.write(measure(docs))
     texts = measured.select("host", "text_hash", F.explode("lines").alias("l")).select(
         "host", "text_hash", "l.line", "l.words")
-    counts = texts.select("host", "line", "text_hash").distinct().groupBy("host", "line").agg(
+    # a row lists each of its lines once
+    counted = texts.select("host", "line", "text_hash")
+    counts = (counted if copies else counted.distinct()).groupBy("host", "line").agg(
         F.count("*").alias("n")).where(F.col("n") > least)
-    sizes = measured.select("host", "text_hash").distinct().groupBy("host").agg(
+    held = measured.select("host", "text_hash")
+    sizes = (held if copies else held.distinct()).groupBy("host").agg(
         F.count("*").alias("host_texts"))
     frequent = stages.write(counts.withColumnRenamed("host", "_h").join(
-        sizes, F.col("_h").eqNullSafe(F.col("host"))).where(F.col("n") > F.col("host_texts") * share)
+        sizes, F.col("_h").eqNullSafe(F.col("host"))).where(
+        F.col("n") > F.least(F.col("host_texts") * share, F.lit(float(most))))
         .select(F.col("host").alias("_host"), F.col("line").alias("_line")))
     lost = texts.join(frequent, F.col("host").eqNullSafe(F.col("_host")) & (F.col("line") == F.col("_line")))
     lost = stages.write(lost.groupBy("host", "text_hash", "line").agg(F.max("words").alias("words"))

@@ -133,8 +133,8 @@ k AS (SELECT r, source, th, line, len(regexp_extract_all(line, '[^ 	-
           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
 q AS (SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines FROM k WHERE words > 0 GROUP BY r),
 f AS (SELECT source, key FROM k WHERE words > 0 GROUP BY source, key
-      HAVING count(DISTINCT th) > 20 AND count(DISTINCT th) > 0.05::DOUBLE * (
-        SELECT count(DISTINCT d.th) FROM d WHERE d.source IS NOT DISTINCT FROM k.source)),
+      HAVING count(DISTINCT th) > 20 AND count(DISTINCT th) > least(1000::DOUBLE, 0.05::DOUBLE * (
+        SELECT count(DISTINCT d.th) FROM d WHERE d.source IS NOT DISTINCT FROM k.source))),
 x AS (SELECT r, sum(words) AS lost FROM k JOIN f ON k.key = f.key
       AND k.source IS NOT DISTINCT FROM f.source GROUP BY r)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,

@@ -66,7 +66,7 @@ def quality(rows):
 def test_stages(spark, sf_dir, monkeypatch):
     from hourlens.llm import quality_rules
 
-    monkeypatch.setattr(quality_rules.judge, "__defaults__", (0.05, 8, 50))
+    monkeypatch.setattr(quality_rules.judge, "__defaults__", (0.05, 8, 50, 1000, False))
     docs, rows = spark.read.parquet(f"{sf_dir}/documents.parquet"), corpus()[0]
     done = {}
     for name, stage in corpus_pipeline.STAGES[:-1]:
@@ -81,7 +81,7 @@ def test_stages(spark, sf_dir, monkeypatch):
     kept = done["quality rules"]
     roots = brute.jaccard_components([r[:2] for r in kept], 5, 80, 100)
     lead = {c for _, c in roots.values()}
-    want = [r for r in kept if r[0] is None or r[0] in lead]
+    want = list(dict.fromkeys(r for r in kept if r[0] is None or r[0] in lead))     # of equal rows one stays
     assert Counter(done["n-gram Jaccard join"]) == Counter(want) and len(want) < len(kept)
     items = corpus()[1]
     clean = [r for r in want if not hits(r[1], items, 10)[1]]
@@ -112,7 +112,7 @@ def test_copies_under_repeated_and_null_ids(spark):
     eight = [k for k in got if k[0] == 8]
     assert len(eight) == 1 and got[eight[0]] == 1       # the text hash decides which
     want = [(1, a, "s"), (5, b, "s"), (None, c, "s"), (None, "", "s"), (None, "", "s"), (None, None, "s"),
-            (9, d, "s"), (9, d, "s"), eight[0]]
+            (9, d, "s"), eight[0]]
     assert got == Counter(want)
 
 

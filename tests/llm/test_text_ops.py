@@ -256,6 +256,22 @@ def test_boilerplate_and_depleted(spark, docs_of):
     assert quality_rules.judge(docs.limit(0))[0].count() == 0
 
 
+def test_frequent_lines_of_a_hot_host(docs_of):
+    rng = random.Random(14)
+    line = "Subscribe to our letter " + words(rng, 9, 10**6)
+    rows = [(i, words(rng, 60, 10**6) + (f"\n{line}" if i < 30 else ""), "hot") for i in range(900)]
+    rows += [(1000 + i, f"copied {line}\n" + rows[0][1].split("\n")[0], "twice") for i in range(40)]
+    docs = docs_of(rows).withColumnRenamed("source", "host")
+
+    def losing(**limits):
+        return {r["doc_id"] for r in quality_rules.judge(docs, **limits)[0].where("lost_words > 0").collect()}
+
+    assert losing() == set()                        # 30 of 900 is under the share
+    assert losing(most=29) == set(range(30))        # but over an absolute limit
+    assert losing(most=30) == set()
+    assert losing(copies=True) == set(range(1000, 1040))
+
+
 # ---- decontamination
 
 def hits(text, items, n):
