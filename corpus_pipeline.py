@@ -7,7 +7,7 @@ last return the columns of ``documents``.  ``run`` applies them in turn, writing
 under the shared folder.
 
 Copies: of the documents one component of the Jaccard join holds, the one with the smallest doc_id stays;
-documents without an id are compared, too, and rows that repeat a doc_id and its text stay together.
+documents without an id are compared, too, and of rows that repeat a doc_id and its text one stays.
 Mixing emits a document once per copy it draws, so a doc_id may come twice after it.
 """
 
@@ -50,15 +50,21 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """One document of each component stays; documents without words all stay.
 
     A document is a doc_id and a text: the smallest id leads, then the smallest text hash, documents without
-    an id come last.  Rows that repeat a doc_id and its text share their fate; without an id one row stays."""
+    an id come last.  Of rows that repeat a doc_id (or none) and a text with words the smallest stays."""
     key = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("id"),
                    *[h.alias(f"h{k}") for k, h in enumerate(hash_pair(F.col("text")))])
     linked = ngram_join.link_components(docs.select(key.alias("doc_id"), "text"), NGRAM, RATIO)
-    lead = Stages(spark, "copies").write(linked.where("doc_id = component_id").select(
-        F.col("doc_id").alias("_key"), (F.col("n_shingles") > 0).alias("_words")).distinct())
-    rows = docs.select(*COLUMNS).join(lead.hint("shuffle_hash"), key == F.col("_key"))
-    alike = rows.where("doc_id is null and _words").groupBy("_key").agg(F.min(F.struct(*COLUMNS)).alias("row"))
-    return rows.where("doc_id is not null or not _words").select(*COLUMNS).unionByName(alike.select("row.*"))
+    lead = Stages(spark, "copies").write(linked.where("doc_id = component_id").groupBy(
+        F.col("doc_id").alias("_key")).agg(
+        ((F.max("n_shingles") > 0) & (F.count("*") > 1)).alias("_alike")))
+    rows = docs.select(*COLUMNS)
+    alone = rows.join(lead.where("not _alike").hint("shuffle_hash"), key == F.col("_key")).select(*COLUMNS)
+    repeated = lead.where("_alike")
+    if repeated.isEmpty():
+        return alone
+    alike = rows.join(repeated.hint("shuffle_hash"), key == F.col("_key")).groupBy("_key").agg(
+        F.min(F.struct(*COLUMNS)).alias("row"))
+    return alone.unionByName(alike.select("row.*"))
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
