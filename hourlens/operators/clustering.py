@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
+import numpy as np
+import pyarrow as pa
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +16,12 @@ from hourlens import config
 from hourlens.functions import columns as fc
 from hourlens.functions.quantiles import median
 from hourlens.operators.features import scaling_stats
+from hourlens.session import work_dir
+from hourlens.sources.sinks import write_stage
 
-MAX_ITER = 300
+MAX_ITER, TOL = 300, 1e-4
+START_ROWS = 4096       # rows that starting centres are drawn from
+ROWS = 2048             # rows by centres held at once
 
 
 def scaled_vector(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
@@ -31,34 +36,115 @@ def scaled_vector(df: DataFrame, features: Sequence[str], out: str = "features")
     return df.withColumn(out, array_to_vector(F.array(*cells)))
 
 
+class Centres:
+    """A fitted K-means model: its centres, the sum of squared distances to them, and assignment."""
+
+    def __init__(self, centres: np.ndarray, cost: float):
+        self.centres, self.cost = centres, cost
+
+    def transform(self, df: DataFrame, features: str = "features", out: str = "cluster") -> DataFrame:
+        """Add the number of the nearest centre, the first one on a tie."""
+        x = F.col("_x")
+        away = [F.struct(sum(((x[i] - float(v)) * (x[i] - float(v)) for i, v in enumerate(c)), F.lit(0.0)).alias("d"),
+                         F.lit(k).alias("k")) for k, c in enumerate(self.centres)]
+        return df.withColumn("_x", vector_to_array(features)).withColumn(
+            out, F.array_min(F.array(*away))["k"]).drop("_x")
+
+
 def kmeans(df: DataFrame, k: int, restarts: int = 10, seed: int = config.SEED,
-           parallelism: int = 8, max_iter: int = MAX_ITER) -> KMeansModel:
-    """Best of several starts, by training cost.  ``df`` has a features vector."""
-    return _best_models(df, [k], restarts, seed, parallelism, max_iter)[k]
-
-
-def _best_models(df: DataFrame, ks: Iterable[int], restarts: int, seed: int,
-                 parallelism: int, max_iter: int) -> dict[int, KMeansModel]:
-    """Fit all (k, start) pairs; a few fits run at once, as in cross-validation."""
-    data = df.select("features").persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        jobs = [(k, seed + r) for k in ks for r in range(restarts)]
-
-        def fit(job: tuple[int, int]) -> tuple[int, float, KMeansModel]:
-            k, s = job
-            model = KMeans(k=k, seed=s, featuresCol="features", predictionCol="cluster",
-                           maxIter=max_iter).fit(data)
-            return k, model.summary.trainingCost, model
-
-        with ThreadPool(parallelism) as pool:
-            done = pool.map(inheritable_thread_target(df.sparkSession)(fit), jobs)
-    finally:
-        data.unpersist()
-    best: dict[int, tuple[float, KMeansModel]] = {}
-    for k, cost, model in done:
-        if k not in best or cost < best[k][0]:
-            best[k] = (cost, model)
-    return {k: m for k, (_, m) in best.items()}
+           max_iter: int = MAX_ITER) -> Centres:
+    """Best of several starts, by cost.  ``df`` has a features vector."""
+    return _best_models(df, [k], restarts, seed, max_iter)[k]
+
+
+def starts(data: DataFrame, ks: Iterable[int], restarts: int, seed: int) -> dict[tuple[int, int], np.ndarray]:
+    """Starting centres of every (k, start): rows of a hashed sample drawn with chances by squared distance.
+
+    At most ``START_ROWS`` rows come to the driver; what is fitted are all rows."""
+    few = data.orderBy(F.xxhash64("x", F.lit(seed)), "x").limit(START_ROWS).collect()
+    sample, out = np.array([r["x"] for r in few], float), {}
+    for k in ks:
+        for r in range(restarts):
+            rng = np.random.default_rng((seed, k, r))
+            chosen = [sample[rng.integers(len(sample))]]
+            near = ((sample - chosen[0]) ** 2).sum(axis=1)
+            while len(chosen) < k:
+                total = near.sum()
+                at = rng.choice(len(sample), p=near / total) if total > 0 else rng.integers(len(sample))
+                chosen.append(sample[at])
+                near = np.minimum(near, ((sample - chosen[-1]) ** 2).sum(axis=1))
+            out[k, r] = np.array(chosen)
+    return out
+
+
+def fit_many(data: DataFrame, begun: dict, max_iter: int = MAX_ITER, tol: float = TOL) -> dict:
+    """Lloyd's rounds of many models side by side; ``data`` has rows of an array ``x``.
+
+    A pass over the rows assigns each to its centre in every unfinished model and sums rows, coordinates and
+    cost by (model, cluster) inside each task; what comes to the driver is one small row per task, model and
+    cluster.  A model is finished once its centres move, squared and summed, by no more than ``tol`` times the mean
+    variance of a coordinate; a cluster without rows keeps its centre."""
+    spark = data.sparkSession
+    centres, cost = {m: c.astype(float) for m, c in begun.items()}, {}
+    open_ = list(centres)
+    for step in range(max_iter + 1):
+        held = spark.sparkContext.broadcast([centres[m] for m in open_])
+
+        def add(batches, held=held):
+            models = held.value
+            laid = np.concatenate(models)
+            count, square, whole = 0, 0.0, np.zeros(laid.shape[1])
+            begin = np.cumsum([0, *map(len, models)])
+            rows, sums, away = np.zeros(len(laid)), np.zeros(laid.shape), np.zeros(len(laid))
+            for batch in batches:
+                flat = batch["x"].flatten().to_numpy(zero_copy_only=False)
+                x = flat.reshape(batch.num_rows, -1)
+                count, square, whole = count + len(x), square + float((x * x).sum()), whole + x.sum(axis=0)
+                for a in range(0, len(x), ROWS):
+                    part = x[a:a + ROWS]
+                    far = (part * part).sum(axis=1)[:, None] - 2 * part @ laid.T + (laid * laid).sum(axis=1)
+                    for lo, hi in zip(begin, begin[1:]):
+                        own = far[:, lo:hi].argmin(axis=1)
+                        hit = np.zeros((len(part), hi - lo))
+                        hit[np.arange(len(part)), own] = 1
+                        rows[lo:hi] += hit.sum(axis=0)
+                        sums[lo:hi] += hit.T @ part
+                        away[lo:hi] += hit.T @ np.maximum(far[np.arange(len(part)), lo + own], 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(len(laid) + 1)), pa.array(np.append(rows, count)),
+                 pa.array(np.append(away, square)), pa.array([*sums, whole])], ["at", "n", "cost", "total"])
+
+        found = data.select("x").mapInArrow(add, "at long, n double, cost double, total array<double>").collect()
+        held.destroy()
+        size = 1 + sum(len(centres[m]) for m in open_)      # the last one stands for all rows
+        n, spent, total = np.zeros(size), np.zeros(size), np.zeros((size, len(found[0]["total"])))
+        for r in found:                                     # tasks x clusters of unfinished models
+            n[r["at"]] += r["n"]
+            spent[r["at"]] += r["cost"]
+            total[r["at"]] += r["total"]
+        spread = (spent[-1] - (total[-1] ** 2).sum() / max(n[-1], 1)) / max(n[-1], 1) / total.shape[1]
+        at, left = 0, []
+        for m in open_:
+            own = slice(at, at + len(centres[m]))
+            at = own.stop
+            cost[m] = float(spent[own].sum())
+            new = np.where(n[own][:, None] > 0, total[own] / np.maximum(n[own], 1)[:, None], centres[m])
+            if ((new - centres[m]) ** 2).sum() > tol * spread and step < max_iter:
+                centres[m] = new
+                left.append(m)
+        open_ = left
+        if not open_:
+            break
+    return {m: Centres(centres[m], cost[m]) for m in centres}
+
+
+def _best_models(df: DataFrame, ks: Iterable[int], restarts: int, seed: int, max_iter: int) -> dict[int, Centres]:
+    """All (k, start) pairs in one loop over a written table of the vectors; the cheapest start of each k."""
+    spark, ks = df.sparkSession, list(ks)
+    data = spark.read.parquet(write_stage(
+        df.select(vector_to_array("features").alias("x")), work_dir(spark, "vectors")))
+    done = fit_many(data, starts(data, ks, restarts, seed), max_iter)
+    return {k: min((done[k, r] for r in range(restarts)), key=lambda c: c.cost) for k in ks}
 
 
 def _cluster_sums(points: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -109,11 +195,11 @@ def silhouette(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
 
 def select_k(df: DataFrame, features: Sequence[str], ks: Iterable[int] = range(2, 9),
              restarts: int = 10, seed: int = config.SEED, parallelism: int = 8,
-             max_iter: int = MAX_ITER) -> tuple[DataFrame, dict[int, KMeansModel]]:
+             max_iter: int = MAX_ITER) -> tuple[DataFrame, dict[int, Centres]]:
     """Silhouette per k and the fitted models, both over all rows."""
     ks = list(ks)
     vec = scaled_vector(df, features)
-    models = _best_models(vec, ks, restarts, seed, parallelism, max_iter)
+    models = _best_models(vec, ks, restarts, seed, max_iter)
     names = [f"_x{i}" for i in range(len(features))]
 
     def score(k: int) -> tuple[int, float, int]:

@@ -96,6 +96,17 @@ def propagate_tag(df: DataFrame, tag: str = "tag", ts: str = "ts",
                     F.col("_tag").isNotNull().cast("int").alias(f"is_{tag}")))
 
 
+def join_tagged_dates(stage: DataFrame, dim: DataFrame, day: str) -> DataFrame:
+    """Rows of a date-partitioned stage on tagged dates, with the tag.
+
+    ``dim`` (``tag_date, tag``) joins on the partition column itself, so the dates it holds reach the scan as a
+    pruning filter at run time and other dates' files are not opened.  At most one row per calendar day is
+    broadcast."""
+    # a comparison, not only IS NOT NULL: the optimizer prunes by dimensions it takes for selective
+    one = dim.where(F.col("tag") >= "").groupBy(F.col("tag_date").alias(day)).agg(F.max("tag").alias("tag"))
+    return stage.join(F.broadcast(one), day)
+
+
 def unknown_members(df: DataFrame, column: str, requested: Sequence[str]) -> DataFrame:
     """Requested values that never occur in the column."""
     wanted = df.sparkSession.createDataFrame([(v,) for v in requested], f"{column} string")

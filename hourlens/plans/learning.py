@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from hourlens.functions import columns as fc
+from hourlens.operators import attribution as sh
 from hourlens.operators import cleaning as cl
 from hourlens.operators import clustering as cu
 from hourlens.operators import drift as dr
@@ -447,11 +448,24 @@ def surrogate_gbt(spark, d):
 
 @query("feature_attribution")
 def feature_attribution(spark, d):
+    """Mean size of each feature's Shapley attribution over all test rows, beside two other measures."""
     model, test = _surrogate(spark, d)
+    shap = sh.mean_attribution(sh.explain(model, test, views.FEATURES), views.FEATURES)
     imp = md.permutation_importance(model, test, views.FEATURES, "measure", "event_id")
-    return imp.join(md.split_importance(model, views.FEATURES, spark)
-                    .withColumnRenamed("importance", "split_gain"), "feature") \
-        .orderBy(F.desc("importance"), "feature").limit(10)
+    return shap.join(imp, "feature").join(
+        md.split_importance(model, views.FEATURES, spark).withColumnRenamed("importance", "split_gain"), "feature") \
+        .orderBy(F.desc("mean_abs"), "feature").limit(10)
+
+
+@query("attribution_sums", """SELECT event_id, TRUE AS adds_up FROM obs WHERE ts >= (
+    SELECT ts FROM obs ORDER BY ts LIMIT 1 OFFSET (SELECT CAST(floor(0.8 * count(*)) AS BIGINT) FROM obs))""")
+def attribution_sums(spark, d):
+    """Do base value and attributions add up to the prediction, for every test row?"""
+    df = win.chrono_split(_features(spark, d), "ts").select("event_id", "measure", "is_train", *views.FEATURES)
+    model = md.fit_surrogate(df.where("is_train"), views.FEATURES, "measure", trees=10)
+    rows = sh.explain(model, df.where(~F.col("is_train")), views.FEATURES, ["event_id"])
+    total = F.col("base") + F.aggregate("attribution", F.lit(0.0), lambda s, x: s + x)
+    return rows.select("event_id", (F.abs(total - F.col("prediction")) < 1e-6).alias("adds_up"))
 
 
 _CLUSTER = ["hour", "severity", "measure", "temp_celsius", "is_weekend"]

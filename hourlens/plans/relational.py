@@ -14,7 +14,8 @@ from hourlens.operators import recommend as rc
 from hourlens.operators import relational as rel
 from hourlens.operators import rules as ru
 from hourlens.plans.registry import query
-from hourlens.sources import views
+from hourlens.session import work_dir
+from hourlens.sources import sinks, views
 
 
 # --- projections and filters ------------------------------------------------
@@ -142,6 +143,19 @@ def join_dim_back(spark, d):
         "o_orderkey", "ts", "volume", "tag", "tag_date", "year")
 
 
+@query("join_dim_pruned", """SELECT o.event_id, o.ts, o.value, t.tag, CAST(o.ts AS DATE) AS day
+    FROM obs o JOIN (SELECT CAST(ts AS DATE) AS day_, max(tag) AS tag FROM obs_parsed
+        WHERE tag IS NOT NULL GROUP BY 1) t ON CAST(o.ts AS DATE) = t.day_""")
+def join_dim_pruned(spark, d):
+    """Tagged dates of a stage that is partitioned by date."""
+    rows = views.obs(spark, d).select("event_id", "ts", "value", F.to_date("ts").alias("day"))
+    stage = spark.read.parquet(sinks.write_stage(rows.repartition("day"), work_dir(spark, "by-day"), ["day"]))
+    raw = views.obs_raw(spark, d).where("tag <> 'None'")
+    tags = cl.parse_drop(raw, "date_time").select(F.to_date("ts").alias("tag_date"), "tag").distinct()
+    dim = spark.read.parquet(sinks.write_stage(tags, work_dir(spark, "tag-dates")))
+    return rel.join_tagged_dates(stage, dim, "day")
+
+
 @query("propagate_sparse_tag", """SELECT d.o_orderkey, d.ts, t.tag,
     CAST(t.tag IS NOT NULL AS INTEGER) AS is_tag FROM daily d LEFT JOIN (
         SELECT CAST(ts AS DATE) AS day_, max(tag) AS tag FROM daily_tagged

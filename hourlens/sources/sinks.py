@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hourlens.session import work_dir
+
 LEDGER = "experiment string, run string, model string, kind string, name string, value double"
 
 
@@ -22,6 +24,19 @@ def write_stage(df: DataFrame, path: str, partition_by: Sequence[str] = (),
     return path
 
 
+def create_table(df: DataFrame, name: str, database: str = "hourlens") -> str:
+    """CREATE TABLE AS: a catalogue table with column statistics, replaced if it exists; its full name.
+
+    The database lives in the shared working folder, so a session never meets another one's files."""
+    spark = df.sparkSession
+    if not spark.catalog.databaseExists(database):
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{work_dir(spark, database)}'")
+    full = f"{database}.{name}"
+    df.write.mode("overwrite").format("parquet").saveAsTable(full)
+    spark.sql(f"ANALYZE TABLE {full} COMPUTE STATISTICS FOR ALL COLUMNS")
+    return full
+
+
 def write_top_csv(df: DataFrame, path: str, order: Sequence[Column], n: int = 25) -> str:
     df.orderBy(*order).limit(n).write.mode("overwrite").option("header", True).csv(path)
     return path
@@ -32,10 +47,14 @@ def write_json(df: DataFrame, path: str) -> str:
     return path
 
 
-def append_run(rows: DataFrame, path: str) -> str:
-    """Append (experiment, run, model, kind, name, value) rows to the ledger."""
+def record_run(rows: DataFrame, path: str) -> str:
+    """Put runs of (experiment, run, model, kind, name, value) rows into the ledger.
+
+    A run is a partition of its own and is written as a whole: recorded again, by a retried job or on
+    purpose, it replaces itself and no other run is touched."""
     cols = [c.split()[0] for c in LEDGER.split(", ")]
-    rows.select(*cols).write.mode("append").parquet(path)
+    (rows.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("experiment", "run").parquet(path))
     return path
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from hourlens.operators import clustering as cu
@@ -78,3 +79,40 @@ def test_forecast_learns_a_daily_cycle(spark):
     model = md.fit_forecast(seq.where("is_train"))
     out = md.score_regression(model, seq.where("not is_train"), ["target"])
     assert ev.regression_metrics(out, "target").first()["mae"] < 0.5
+
+
+def _lloyd(x, centres, tol=1e-4):
+    """One model at a time, from the same start."""
+    for _ in range(300):
+        own = ((x[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+        new = np.array([x[own == k].mean(0) if (own == k).any() else c for k, c in enumerate(centres)])
+        if ((new - centres) ** 2).sum() <= tol * x.var(axis=0).mean():
+            break
+        centres = new
+    own = ((x[:, None] - centres[None]) ** 2).sum(-1).argmin(1)
+    return own, ((x - centres[own]) ** 2).sum()
+
+
+def test_many_models_fit_like_single_ones(spark):
+    rng = np.random.default_rng(12)
+    x = np.concatenate([rng.normal(c, 0.6, (150, 3)) for c in (-3, 0, 1, 4)])
+    data = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>").repartition(5)
+    begun = cu.starts(data, [2, 3, 4, 6], 3, 1)
+    assert len(begun) == 12 and begun[3, 0].shape == (3, 3) and (begun[3, 0] != begun[3, 1]).any()
+    fitted = cu.fit_many(data, begun)
+    vec = data.select("x", array_to_vector("x").alias("features"))
+    for m, start in begun.items():
+        own, cost = _lloyd(x, start)
+        assert fitted[m].cost == pytest.approx(cost)
+        got = {tuple(r["x"]): r["cluster"] for r in fitted[m].transform(vec).collect()}
+        assert [got[tuple(r)] for r in x.tolist()] == own.tolist()
+    one = cu.fit_many(data, {(4, 1): begun[4, 1]})[4, 1]
+    assert np.allclose(one.centres, fitted[4, 1].centres)
+    best = cu.kmeans(vec, 4, restarts=3, seed=1)
+    assert best.cost == pytest.approx(min(fitted[4, r].cost for r in range(3)))
+
+
+def test_clusters_of_equal_rows(spark):
+    data = spark.createDataFrame([([1.0, 2.0],)] * 9, "x array<double>")
+    model = cu.fit_many(data, cu.starts(data, [3], 1, 5))[3, 0]
+    assert model.cost == 0 and set(map(tuple, model.centres)) == {(1.0, 2.0)}

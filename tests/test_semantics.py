@@ -442,10 +442,63 @@ def test_ledger_keeps_first_best_run(spark):
     path = work_dir(spark, "ledger")
     for run, value in (("run_1", 0.5), ("run_2", 0.9), ("run_3", 0.9)):
         m = spark.createDataFrame([("m", value)], "model string, auc double")
-        sinks.append_run(sinks.ledger_rows(m, "risk", run, "model", ["auc"]), path)
+        sinks.record_run(sinks.ledger_rows(m, "risk", run, "model", ["auc"]), path)
     assert one(sinks.best_run(sinks.read_ledger(spark, path), "auc"))["run"] == "run_2"
 
 
+def test_ledger_survives_a_retry(spark):
+    path = work_dir(spark, "ledger")
+
+    def record(run, value, experiment="a b/c=1"):
+        m = spark.createDataFrame([("m1", value), ("m2", 0.1)], "model string, auc double")
+        sinks.record_run(sinks.ledger_rows(m, experiment, run, "model", ["auc"]), path)
+
+    def held():
+        return {(r["experiment"], r["run"], r["model"]): r["value"] for r in sinks.read_ledger(spark, path).collect()}
+
+    record("1", 0.5)
+    record("2", 0.6)
+    record("1", 0.5)                # the same job again
+    assert sinks.read_ledger(spark, path).count() == 4
+    record("1", 0.7)                # a corrected run replaces its own rows only
+    record("1", 0.9, "other")
+    assert held() == {("a b/c=1", "1", "m1"): 0.7, ("a b/c=1", "1", "m2"): 0.1, ("a b/c=1", "2", "m1"): 0.6,
+                      ("a b/c=1", "2", "m2"): 0.1, ("other", "1", "m1"): 0.9, ("other", "1", "m2"): 0.1}
+
+
+def test_catalogue_table_is_replaced(spark):
+    name = sinks.create_table(spark.createDataFrame([(1, "a"), (2, None)], "n int, t string"), "replaced")
+    assert spark.table(name).count() == 2
+    again = sinks.create_table(spark.createDataFrame([(7.5,)], "n double"), "replaced")
+    assert again == name and spark.table(name).dtypes == [("n", "double")] and one(spark.table(name))["n"] == 7.5
+    shown = {r["info_name"]: r["info_value"] for r in spark.sql(f"DESCRIBE EXTENDED {name} n").collect()}
+    assert shown["max"] == "7.5" and shown["distinct_count"] == "1"
+
+
+def test_tag_dates_prune_the_partitions_read(spark):
+    rows = hours(spark, range(24 * 20)).withColumn("day", F.to_date("ts"))
+    stage = spark.read.parquet(sinks.write_stage(rows.repartition("day"), work_dir(spark, "days"), ["day"]))
+    days = sorted(r["day"] for r in rows.select("day").distinct().collect())
+    dim = spark.createDataFrame([(days[3], "a"), (days[3], "b"), (days[11], "c"), (days[5], None)],
+                                "tag_date date, tag string")
+    dim = spark.read.parquet(sinks.write_stage(dim, work_dir(spark, "tags")))
+    out = rel.join_tagged_dates(stage.drop("tag"), dim, "day")
+    got = out.collect()
+    assert {(r["day"], r["tag"]) for r in got} == {(days[3], "b"), (days[11], "c")} and len(got) == 48
+    plan = out._jdf.queryExecution().executedPlan()
+    assert "dynamicpruning" in plan.toString()
+    leaves = plan.executedPlan().collectLeaves() if plan.nodeName() == "AdaptiveSparkPlan" else plan.collectLeaves()
+    read, todo = [], [leaves.apply(i) for i in range(leaves.size())]
+    while todo:
+        node = todo.pop()
+        if "QueryStage" in node.nodeName():
+            more = node.plan().collectLeaves()
+            todo += [more.apply(i) for i in range(more.size())]
+        elif node.metrics().contains("numFiles"):
+            read.append((node.metrics().apply("numFiles").value(), "day" in node.toString() and "measure" in node.toString()))
+    assert [n for n, own in read if own] == [2]         # one file a day, two tagged days
+
+
 def test_work_dir_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert work_dir(spark, "x").startswith(base) and work_dir(spark, "x") != work_dir(spark, "x")
