@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from hourlens import config
@@ -142,56 +142,64 @@ def clean(df: DataFrame, cfg: CleanConfig | None = None, stage: str | None = Non
     return fill_missing(df, cfg.numeric, cfg.fill_text)
 
 
-def audit(raw: DataFrame, cfg: CleanConfig | None = None) -> DataFrame:
-    """``step, reason, rows_affected`` for a cleaning run.
+def clean_audited(raw: DataFrame, cfg: CleanConfig | None = None) -> tuple[DataFrame, DataFrame]:
+    """The cleaned rows and the audit, ``step, reason, rows_affected``, of the same run.
 
-    Row-level counts come from one aggregate over the standardised rows, the
-    duplicate counts from two grouped steps; nothing is collected.
+    The counts ride on the jobs that clean: what parsing, trimming and tagging change is observed while the
+    standardised rows are written, ranges, zeros and gaps while the de-duplicated ones are.  The raw input is read once
+    (and its tagged dates for the tag dimension); only repeats are counted on their own, from the written rows.
     """
     cfg = cfg or CleanConfig()
+    spark = raw.sparkSession
     text = cfg.timestamp_text or cfg.ts
     if cfg.tag_sentinel is not None:
         raw = raw.withColumn(cfg.tag, fc.sentinel_to_null(cfg.tag, cfg.tag_sentinel))
     parsed = raw.withColumn("_ts", parse_timestamp(F.col(text).cast("string")))
     good = F.col("_ts").isNotNull()
-
-    before = parsed.agg(
-        fc.count_rows(~good).alias("parse"),
-        *[fc.count_rows(good & (F.col(c) != fc.strip_text(c))).alias(f"trim_{c}")
-          for c in cfg.text],
+    seen, spread, kept = Observation(), Observation(), Observation()
+    watched = parsed.observe(
+        seen, fc.count_rows(~good).alias("parse"),
+        *[fc.count_rows(good & (F.col(c) != fc.strip_text(c))).alias(f"trim_{c}") for c in cfg.text],
         fc.count_rows(good & F.col(cfg.tag).isNotNull()).alias("tagged"))
-    kept = parsed.where(good).withColumn(cfg.ts, F.col("_ts")).drop("_ts")
-    if text != cfg.ts:
-        kept = kept.drop(text)
-    std = standardise(kept, cfg.text, cfg.tag, cfg.ts)
-    tagged = std.agg(F.count(cfg.tag).alias("spread"))
+    gone = {text, "_ts"} - {cfg.ts}
+
+    def rows_of(df: DataFrame) -> DataFrame:
+        return trim_columns(df.where(good).withColumn(cfg.ts, F.col("_ts")).drop(*gone), cfg.text)
+
+    tags = rows_of(parsed).where(F.col(cfg.tag).isNotNull()).select(F.to_date(cfg.ts).alias("tag_date"), cfg.tag)
+    std = propagate_tag(rows_of(watched), cfg.tag, cfg.ts, tags).observe(
+        spread, F.count(cfg.tag).alias("spread"))
+    std = spark.read.parquet(write_stage(std, work_dir(spark, "standardised")))
 
     distinct = std.groupBy(*std.columns).agg(F.count("*").alias("_c"))
     per_ts = distinct.groupBy(cfg.ts).agg(F.sum("_c").alias("_rows"), F.count("*").alias("_kinds"))
-    dups = per_ts.agg((F.sum("_rows") - F.sum("_kinds")).alias("exact"),
-                      (F.sum("_kinds") - F.count("*")).alias("repeated"))
+    dups = fc.fitted(per_ts.agg((F.sum("_rows") - F.sum("_kinds")).alias("exact"),
+                                (F.sum("_kinds") - F.count("*")).alias("repeated")))
 
-    best = keep_best(std, cfg.ts, fc.ordinal(cfg.category, cfg.severity, -1), cfg.tiebreak)
     checks = range_check(cfg.bounds)
-    after = best.agg(
+    best = keep_best(std, cfg.ts, fc.ordinal(cfg.category, cfg.severity, -1), cfg.tiebreak).observe(
+        kept, F.count("*").alias("rows_out"),
         *[fc.count_rows(bad).alias(f"range_{c}") for c, bad in checks.items()],
         *[fc.count_rows(F.col(c) == 0).alias(f"zero_{c}") for c in cfg.zero_kept],
-        *[fc.count_rows(F.col(c).isNull()).alias(f"null_{c}")
-          for c in [*cfg.numeric, *cfg.fill_text]],
-        F.count("*").alias("rows_out"))
+        *[fc.count_rows(F.col(c).isNull()).alias(f"null_{c}") for c in [*cfg.numeric, *cfg.fill_text]])
+    best = spark.read.parquet(write_stage(best, work_dir(spark, "deduplicated")))
 
-    b, t, d, a = (fc.scalar(x) for x in (before, tagged, dups, after))
+    b, t, a = seen.get, spread.get, kept.get
     lines = [("parse", "timestamp could not be parsed", b["parse"])]
     lines += [("standardise", f"blanks around {c}", b[f"trim_{c}"]) for c in cfg.text]
     lines += [("standardise", f"{cfg.tag} spread over tagged dates", t["spread"] - b["tagged"]),
-              ("dedup", "identical rows", d["exact"]),
-              ("dedup", "repeated timestamps", d["repeated"])]
+              ("dedup", "identical rows", dups["exact"]),
+              ("dedup", "repeated timestamps", dups["repeated"])]
     lines += [("impute", f"{c} out of range", a[f"range_{c}"]) for c in checks]
     lines += [("impute", f"{c} of zero retained", a[f"zero_{c}"]) for c in cfg.zero_kept]
     lines += [("fill", f"{c} missing", a[f"null_{c}"]) for c in [*cfg.numeric, *cfg.fill_text]]
     lines += [("output", "rows kept", a["rows_out"])]
-    spark = raw.sparkSession
-    one = spark.range(1)
-    return one.select(F.inline(F.array(*[
+    report = spark.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(s).alias("step"), F.lit(r).alias("reason"),
-                 n.cast("bigint").alias("rows_affected")) for s, r, n in lines])))
+                 (n if isinstance(n, Column) else F.lit(n)).cast("bigint").alias("rows_affected")) for s, r, n in lines])))
+    return fill_missing(impute_range(best, cfg.bounds, cfg.ts), cfg.numeric, cfg.fill_text), report
+
+
+def audit(raw: DataFrame, cfg: CleanConfig | None = None) -> DataFrame:
+    """The audit of a cleaning run."""
+    return clean_audited(raw, cfg)[1]

@@ -127,6 +127,16 @@ def test_audit_counts(spark):
     assert got[("output", "rows kept")] == 4
 
 
+def test_audited_run_cleans_alike_and_takes_nothing(spark):
+    rows, report = cl.clean_audited(raw(spark))
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(map(tuple, cl.clean(raw(spark)).collect()), key=str)
+    assert rows.columns == cl.clean(raw(spark)).columns and report.count() > 10
+    stage = spark.read.parquet(sinks.write_stage(raw(spark).limit(0), work_dir(spark, "nothing")))
+    rows, report = cl.clean_audited(stage)
+    assert rows.count() == 0
+    assert {r["reason"] for r in report.collect() if r["rows_affected"]} == set()
+
+
 def test_all_bad_month_falls_through_to_global_median(spark):
     df = spark.createDataFrame([(datetime(2024, 1, 1), 0.0), (datetime(2024, 2, 1), 280.0),
                                 (datetime(2024, 2, 2), 290.0)],
