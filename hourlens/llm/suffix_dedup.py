@@ -33,7 +33,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from hourlens.llm import bytescan as bs
 from hourlens.llm.common import Stages, small_batches
@@ -282,21 +281,26 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, gram: int = GRAM, crowd: i
     own = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     scanned = stages.write(scan(own, size, gram))
 
-    # one shuffle and one sort: by anchor, then content, then place
+    # counts per anchor and first places per content are reduced before they are shuffled, and joined back, so the
+    # stretches of one anchor never have to meet in one task
     place = [*ORDER, "start"]
-    around = Window.partitionBy("anchor").orderBy("content", *place)
-    every = around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = (scanned.where("not again")
-              .withColumn("lo", F.min("content").over(every)).withColumn("hi", F.max("content").over(every))
-              .withColumn("crowd", F.count("*").over(every))
-              .withColumn("rank", F.rank().over(Window.partitionBy("anchor", "content").orderBy(*place))))
-    settled = stages.write(ranked.where("rank > 1 or lo <> hi").select(
-        *place, "n", "anchor", "rank", "crowd"))
+    met = scanned.where("not again")
+    anchors = stages.write(met.groupBy("anchor").agg(
+        F.count("*").alias("crowd"), F.min("content").alias("lo"), F.max("content").alias("hi")).where("crowd > 1"))
+    around = stages.write(met.join(anchors, "anchor").select(
+        *place, "n", "anchor", "content", "crowd", (F.col("lo") != F.col("hi")).alias("mixed")))
+    me = F.struct(*place)
+    leads = stages.write(around.groupBy("anchor", "content").agg(F.min(me).alias("lead"), F.count("*").alias("alike"))
+                         .where("alike > 1").drop("alike"))
+    later = F.coalesce(me > F.col("lead"), F.lit(False))
+    settled = stages.write(around.join(leads, ["anchor", "content"], "left").withColumn("later", later).where(
+        "later or mixed").select(*place, "n", "anchor", "later", "crowd"))
+    stages.drop(anchors, around, leads)
     whole = (F.col("start") + F.col("n") - 1 + size).alias("end")
     spans = scanned.where("again").select("doc_id", "text_hash", "start", whole).unionByName(
-        settled.where("rank > 1").select("doc_id", "text_hash", "start", whole))
+        settled.where("later").select("doc_id", "text_hash", "start", whole))
 
-    asked = settled.where("rank = 1").groupBy(
+    asked = settled.where("not later").groupBy(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
         F.collect_set(F.struct("anchor", "start", "n", "crowd")).alias("asked"))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))

@@ -362,6 +362,22 @@ def test_suffix_dedup(docs_of, size, gram, crowd):
         assert all(a["end"] < b["start"] for a, b in zip(r["runs"], r["runs"][1:]))
 
 
+@pytest.mark.parametrize("crowd", [4096, 20])
+def test_one_passage_between_unique_ends(docs_of, crowd):
+    rng = random.Random(23)
+    short, long = words(rng, 40, 10**6)[:70], words(rng, 60, 10**6)[:130]
+    rows = [(i, words(rng, 9, 10**6) + (short if i % 3 else long) + words(rng, 9, 10**6)) for i in range(90)]
+    rows += [(200 + i, rows[i][1]) for i in range(5)]
+    got = suffix_dedup.dedup_bytes(docs_of(rows).repartition(6), crowd=crowd).collect()
+    want = brute.repeated_bytes(rows, 100)
+    for r in got:
+        gone = bytearray(r["n_bytes"])
+        for s in r["runs"]:
+            gone[s["start"]:s["end"]] = b"\1" * (s["end"] - s["start"])
+        assert gone == want[r["doc_id"]], r["doc_id"]
+    assert sum(map(any, want.values())) == 34
+
+
 def test_suffix_dedup_repeated_rows(docs_of):
     text = words(random.Random(1), 40, 10**5)
     rows = [(1, text), (1, text), (2, text), (None, text), (None, "tiny")]
