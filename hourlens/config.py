@@ -6,19 +6,6 @@ are and passed to the operators as default arguments.
 
 from __future__ import annotations
 
-# --- fixed values: raw observation columns, in file order -------------------
-RAW_COLUMNS = [
-    "holiday",
-    "temp",
-    "rain_1h",
-    "snow_1h",
-    "clouds_all",
-    "weather_main",
-    "weather_description",
-    "date_time",
-    "traffic_volume",
-]
-
 # --- fixed values: plausibility bounds --------------------------------------
 TEMP_BOUNDS_K = (200.0, 330.0)
 RAIN_MAX_MM = 9000.0
@@ -26,7 +13,6 @@ KELVIN_OFFSET = 273.15
 
 # --- fixed values: analysis thresholds --------------------------------------
 CONGESTION_THRESHOLD = 5500
-HIGH_TEMP_K = 292.0
 RARE_CATEGORY_MIN = 100
 SMALL_SAMPLE = 100
 FALLBACK_MIN_ROWS = 200

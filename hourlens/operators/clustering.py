@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
@@ -24,6 +24,12 @@ START_ROWS = 4096       # rows that starting centres are drawn from
 ROWS = 2048             # rows by centres held at once
 
 
+def with_severity(df: DataFrame, category: str = "weather_main",
+                  ranks: Mapping[str, int] = config.CLUSTER_SEVERITY) -> DataFrame:
+    """Add ``severity``, the category's rank as a clustering feature; others rank 0."""
+    return df.withColumn("severity", fc.ordinal(category, ranks, 0))
+
+
 def scaled_vector(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     """Standardise with the population deviation and pack into a vector.
 

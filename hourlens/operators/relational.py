@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourlens import config
 from hourlens.functions import columns as fc
 
 
@@ -45,7 +46,7 @@ def split_at(df: DataFrame, cutoff: datetime, ts: str = "ts") -> tuple[DataFrame
     return df.where(F.col(ts) < limit), df.where(F.col(ts) >= limit)
 
 
-def check_bounds(df: DataFrame, bounds: Mapping[str, tuple[float, float]],
+def check_bounds(df: DataFrame, bounds: Mapping[str, tuple[float, float]] = config.REQUEST_BOUNDS,
                  members: Mapping[str, Sequence[str]] | None = None) -> DataFrame:
     """Add ``reasons`` (failed columns, sorted) and ``is_valid``; nulls fail."""
     failed = []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -136,15 +137,26 @@ def longest_run(runs: DataFrame, key: Sequence[str] = ()) -> DataFrame:
     return runs.groupBy(*key).agg(best.alias("_r")).select(*key, "_r.*")
 
 
-def chrono_split(df: DataFrame, ts: str, fraction: float = 0.8) -> DataFrame:
+def chrono_split(df: DataFrame, ts: str, fraction: float = 0.8, key: str | None = None) -> DataFrame:
     """Add ``is_train``: the first ``floor(fraction * n)`` rows in time order.
 
-    Timestamps must be unique.  The cut is an exact order statistic, so no
-    task has to number the whole table.
+    Rows of one timestamp are told apart by ``key``, a unique whole number; without it they all go
+    to the test side where the cut falls among them.  The cut is an exact order statistic, so no task
+    has to number the whole table.
     """
-    axis = df.select(fc.epoch_micros(ts).cast("double").alias("_e"))
-    cut = fc.fitted(value_at_fraction(axis, "_e", fraction))
-    return df.withColumn("is_train", fc.epoch_micros(ts).cast("double") < cut["value"])
+    at = fc.epoch_micros(ts).cast("double")
+    cut = fc.fitted(value_at_fraction(df.select(at.alias("_e")), "_e", fraction))
+    if key is None:
+        return df.withColumn("is_train", at < cut["value"])
+    edge = df.select(at.alias("_e"), F.col(key).cast("double").alias("_k"))
+    sizes = edge.agg(F.count_if(F.col("_e") < cut["value"]).alias("before"),
+                     F.count_if(F.col("_e") == cut["value"]).alias("ties"), F.count("_e").alias("n")).first()
+    wanted = math.floor(fraction * sizes["n"]) - sizes["before"]        # of the rows at the cut
+    if wanted <= 0:
+        return df.withColumn("is_train", at < cut["value"])
+    last = fc.fitted(value_at_fraction(edge.where(F.col("_e") == cut["value"]), "_k", (wanted + 0.5) / sizes["ties"]))
+    return df.withColumn("is_train", (at < cut["value"]) | (
+        (at == cut["value"]) & (F.col(key).cast("double") < last["value"])))
 
 
 def enumerate_ranked(df: DataFrame, order: Sequence[Column]) -> DataFrame:

@@ -413,6 +413,16 @@ def _sequences(spark, d):
     return win.chrono_split(stage, "hour_ts")
 
 
+@query("forecast_test_rows", """SELECT hour_ts, target FROM (
+        SELECT hour_ts, target, row_number() OVER (ORDER BY hour_ts) <= floor(0.8 * count(*) OVER ()) AS train
+        FROM (SELECT hour_ts, value AS target, count(*) OVER (ORDER BY hour_ts RANGE BETWEEN
+            INTERVAL 24 HOUR PRECEDING AND INTERVAL 1 HOUR PRECEDING) AS held FROM hourly) h WHERE held = 24) z
+    WHERE NOT train""")
+def forecast_test_rows(spark, d):
+    """The hours that forecasts are tested on, and what they have to meet."""
+    return _sequences(spark, d).where(~F.col("is_train")).select("hour_ts", "target")
+
+
 @query("forecast_next_step")
 def forecast_next_step(spark, d):
     seq = _sequences(spark, d)
@@ -434,12 +444,27 @@ def pred_vs_actual(spark, d):
 
 
 def _surrogate(spark, d):
-    df = win.chrono_split(_features(spark, d), "ts")
+    df = win.chrono_split(_features(spark, d), "ts", key="event_id")
     keep = df.select("event_id", "measure", "is_train", *views.FEATURES)
     train, test = keep.where("is_train"), keep.where(~F.col("is_train"))
     return md.fit_surrogate(train, views.FEATURES, "measure"), test
 
 
+_TEST = """SELECT event_id, value FROM (SELECT event_id, value, row_number() OVER (ORDER BY ts, event_id)
+        <= floor(0.8 * count(*) OVER ()) AS train FROM obs) z WHERE {}"""
+
+
+@query("surrogate_baseline", f"""WITH te AS ({_TEST.format('NOT train')}), tr AS ({_TEST.format('train')})
+    SELECT (SELECT count(*) FROM tr) AS n_train, count(*) AS n_test,
+        round(avg(abs(value - (SELECT avg(value) FROM tr))), 6) AS mean_mae FROM te""")
+def surrogate_baseline(spark, d):
+    """Rows of the surrogate's split and the error of always guessing the training mean."""
+    df = win.chrono_split(_features(spark, d), "ts", key="event_id")
+    mean = fc.fitted(df.where("is_train").agg(F.avg("measure").alias("m")))["m"]
+    return df.agg(F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_test"),
+                  F.round(F.avg(F.when(~F.col("is_train"), F.abs(F.col("measure") - mean))), 6).alias("mean_mae"))
+
+
 @query("surrogate_gbt")
 def surrogate_gbt(spark, d):
     model, test = _surrogate(spark, d)
@@ -457,11 +482,11 @@ def feature_attribution(spark, d):
         .orderBy(F.desc("mean_abs"), "feature").limit(10)
 
 
-@query("attribution_sums", """SELECT event_id, TRUE AS adds_up FROM obs WHERE ts >= (
-    SELECT ts FROM obs ORDER BY ts LIMIT 1 OFFSET (SELECT CAST(floor(0.8 * count(*)) AS BIGINT) FROM obs))""")
+@query("attribution_sums", f"SELECT event_id, TRUE AS adds_up FROM ({_TEST.format('NOT train')}) t")
 def attribution_sums(spark, d):
     """Do base value and attributions add up to the prediction, for every test row?"""
-    df = win.chrono_split(_features(spark, d), "ts").select("event_id", "measure", "is_train", *views.FEATURES)
+    df = win.chrono_split(_features(spark, d), "ts", key="event_id").select(
+        "event_id", "measure", "is_train", *views.FEATURES)
     model = md.fit_surrogate(df.where("is_train"), views.FEATURES, "measure", trees=10)
     rows = sh.explain(model, df.where(~F.col("is_train")), views.FEATURES, ["event_id"])
     total = F.col("base") + F.aggregate("attribution", F.lit(0.0), lambda s, x: s + x)
@@ -473,7 +498,7 @@ _CLUSTER = ["hour", "severity", "measure", "temp_celsius", "is_weekend"]
 
 def _cluster_input(spark, d):
     f = fx.add_flags(fx.add_time(views.feature_input(spark, d)))
-    return f.withColumn("severity", fc.ordinal("category", views.SEVERITY, 0))
+    return cu.with_severity(f, "category", views.SEVERITY)
 
 
 @query("cluster_kmeans")

@@ -70,7 +70,7 @@ def stream_outages(spark, d):
     feed, closing = _closed_feed(spark, d)
     feed = feed.where(~((F.dayofmonth("ts") == 11)
                         | ((F.hour("ts") == 3) & F.dayofmonth("ts").isin(5, 17))))
-    out = jobs.run_to_table(jobs.outages(feed), "stream-outages", closing=closing)
+    out = jobs.run_to_table(jobs.outages(feed, F.lit("all")), "stream-outages", closing=closing)
     return out.where(_REAL.replace("hour_ts", "run_start"))
 
 
@@ -103,6 +103,23 @@ def stream_drift(spark, d):
     return jobs.drift_so_far(feed, state).withColumn("psi", F.round("psi", 6))
 
 
+_LIMITS = {"temp_celsius": (-25.0, 50.0), "rain_1h": (0.0, 100.0)}
+
+
+@query("stream_rejects", """SELECT event_id, CASE WHEN bad_rain AND bad_temp THEN 'rain_1h,temp_celsius'
+        WHEN bad_rain THEN 'rain_1h' ELSE 'temp_celsius' END AS reasons
+    FROM (SELECT event_id, NOT coalesce(rain_1h BETWEEN 0 AND 10, FALSE) AS bad_rain,
+        NOT coalesce(temp - 273.15 BETWEEN -25 AND 50, FALSE) AS bad_temp FROM finput) z WHERE bad_rain OR bad_temp""")
+def stream_rejects(spark, d):
+    """What a feed of conditions turns away, with the reasons."""
+    stage = work_dir(spark, "condition-feed")
+    _conditions(spark, d).write.parquet(stage)
+    feed = jobs.file_stream(spark, stage, "*.parquet", spark.read.parquet(stage).schema)
+    checked = rel.check_bounds(feed, _LIMITS | {"rain_1h": (0.0, 10.0)}, {"weather": views.LEVELS})
+    bad = checked.where(~F.col("is_valid")).select("event_id", F.array_join("reasons", ",").alias("reasons"))
+    return jobs.run_to_table(bad, "stream-rejects")
+
+
 @query("stream_score")
 def stream_score(spark, d):
     train, _ = _split(spark, d, "measure")
@@ -112,8 +129,7 @@ def stream_score(spark, d):
     conditions.write.parquet(stage)
     feed = jobs.file_stream(spark, stage, "*.parquet", spark.read.parquet(stage).schema)
     good, bad = jobs.score(feed, model, _condition_features, ["event_id"],
-                           {"temp_celsius": (-25.0, 50.0), "rain_1h": (0.0, 100.0)},
-                           {"weather": views.LEVELS})
+                           _LIMITS, {"weather": views.LEVELS})
     scored = jobs.run_to_table(good, "stream-scored")
     rejected = jobs.run_to_table(bad, "stream-rejected")
     return (scored.select("event_id", "prediction", F.lit(None).cast("string").alias("reasons"))

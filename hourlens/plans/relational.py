@@ -206,7 +206,8 @@ def nearest_time_lookup(spark, d):
     ends = views.obs(spark, d).agg(F.min("hour_ts").alias("lo"), F.max("hour_ts").alias("hi"))
     probes = ends.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 hour")))
                          .alias("probe_ts"))
-    return rel.nearest(views.hourly_gappy(spark, d), probes, "hour_ts")
+    hours = views.obs(spark, d).select("hour_ts").where(views.no_gap()).distinct()
+    return rel.nearest(hours, probes, "hour_ts")
 
 
 @query("nearest_time_one", """SELECT hour_ts, event_id, category, value,

@@ -6,7 +6,7 @@ per hour.  All views are lazy and read only the columns a query uses.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourlens.functions import columns as fc
@@ -66,10 +66,13 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keep_best(base.withColumn("sev", sev), "hour_ts", F.col("sev"), ["event_id"])
 
 
+def no_gap() -> Column:
+    """False for the hours that a gappy series lacks."""
+    return ~((F.dayofmonth("hour_ts") == 11) | ((F.hour("hour_ts") == 3) & F.dayofmonth("hour_ts").isin(5, 17)))
+
+
 def hourly_gappy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hourly(spark, sf_dir).where(
-        ~((F.dayofmonth("hour_ts") == 11)
-          | ((F.hour("hour_ts") == 3) & F.dayofmonth("hour_ts").isin(5, 17))))
+    return hourly(spark, sf_dir).where(no_gap())
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,16 +116,15 @@ def exact_dedup(stream: DataFrame, columns: Sequence[str], watermark: str = "1 h
             .dropDuplicatesWithinWatermark(list(columns)).drop("event_ts"))
 
 
-def outages(stream: DataFrame, gap: str = "1 hour", watermark: str = "1 hour",
-            key: Column | None = None) -> DataFrame:
+def outages(stream: DataFrame, key: Column, gap: str = "1 hour", watermark: str = "1 hour") -> DataFrame:
     """Unbroken coverage runs: a silence longer than the gap starts a new run.
 
     Events are merged into sessions inside each task before they are dealt out by series, so a
-    series that is the whole feed sends a few sessions per task, not its events.
+    series that is the whole feed sends a few sessions per task, not its events.  A series (``key``) has one
+    writer of its state, so a large feed names more than one.
     """
     stream.sparkSession.conf.set(
         "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
-    key = F.lit("all") if key is None else key
     agg = (event_time(stream).withColumn("series", key).withWatermark("event_ts", watermark)
            .groupBy("series", F.session_window("event_ts", gap).alias("s"))
            .agg(F.count("*").alias("n"), F.max("event_ts").alias("last_ts")))
