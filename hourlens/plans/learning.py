@@ -15,6 +15,7 @@ from hourlens.operators import evaluation as ev
 from hourlens.operators import features as fx
 from hourlens.operators import models as md
 from hourlens.operators import recommend as rc
+from hourlens.operators import recurrent as rn
 from hourlens.operators import windows as win
 from hourlens.plans.analytics import rounded
 from hourlens.plans.derived import CLEAN, predictions, scores
@@ -430,6 +431,14 @@ def forecast_next_step(spark, d):
     return md.score_regression(model, seq.where(~F.col("is_train")), ["hour_ts", "target"])
 
 
+@query("forecast_recurrent")
+def forecast_recurrent(spark, d):
+    """The same test hours by a recurrent network over the 24 hours before each."""
+    seq = _sequences(spark, d)
+    model = rn.fit(seq.where("is_train"), 1 + len(views.FEATURES), "hour_ts", epochs=8)
+    return model.transform(seq.where(~F.col("is_train"))).select("hour_ts", "target", "prediction")
+
+
 @query("error_history")
 def error_history(spark, d):
     seq = _sequences(spark, d)
