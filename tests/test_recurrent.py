@@ -46,7 +46,7 @@ def mae(df):
 
 def test_it_beats_the_line_and_reruns_agree(sequences):
     train, test = sequences
-    model = rn.fit(train, 2, "id", hidden=16, epochs=60, batches=2, rate=2e-2, decay=0.0)
+    model = rn.fit(train, 2, "id", hidden=16, epochs=40, batches=2, rate=2e-2, decay=0.0)
     got = model.transform(test)
     assert got.columns == ["id", "target", "prediction"] and got.count() == test.count()
     line = md.score_regression(md.fit_forecast(train), test, ["target"])
