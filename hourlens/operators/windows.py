@@ -154,6 +154,8 @@ def chrono_split(df: DataFrame, ts: str, fraction: float = 0.8, key: str | None
     wanted = math.floor(fraction * sizes["n"]) - sizes["before"]        # of the rows at the cut
     if wanted <= 0:
         return df.withColumn("is_train", at < cut["value"])
+    if wanted >= sizes["ties"]:
+        return df.withColumn("is_train", at <= cut["value"])
     last = fc.fitted(value_at_fraction(edge.where(F.col("_e") == cut["value"]), "_k", (wanted + 0.5) / sizes["ties"]))
     return df.withColumn("is_train", (at < cut["value"]) | (
         (at == cut["value"]) & (F.col(key).cast("double") < last["value"])))

@@ -232,6 +232,17 @@ def test_two_equal_runs_first_wins(spark):
     assert one(win.longest_run(runs)) == {"run_start": 1, "run_end": 2, "run_length": 2}
 
 
+@pytest.mark.parametrize("fraction", [0.0, 0.1, 0.5, 0.77, 0.8, 0.99, 1.0])
+def test_chrono_split_tells_ties_apart_by_key(spark, fraction):
+    times = [T0 + timedelta(hours=h) for h in [0, 1, 1, 1, 1, 1, 2, 2, 3]]
+    keys = [5, 9, 2, 7, 4, 8, 1, 6, 3]
+    df = spark.createDataFrame(list(zip(times, keys)), "ts timestamp_ntz, key long").repartition(3)
+    order = sorted(zip(times, keys))
+    want = set(order[:math.floor(fraction * len(order))])
+    got = win.chrono_split(df, "ts", fraction, key="key").collect()
+    assert {(r["ts"], r["key"]) for r in got if r["is_train"]} == want and len(got) == 9
+
+
 def test_chrono_split_floors(spark):
     got = win.chrono_split(hours(spark, range(7)), "ts")
     assert got.where("is_train").count() == 5          # floor(0.8 * 7)
