@@ -1,8 +1,9 @@
 """Numpy scanning of UTF-8 text: words and their hashes for many documents at once.
 
 Both word classes in use are decided by single bytes (every byte of a non-ASCII character is a
-word byte), so no text is decoded.  Work arrays cover at most ``PIECE`` bytes of text, or one
-word if a word is longer, whatever the length of a document.
+word byte), so no text is decoded.  Arrays per byte cover at most ``PIECE`` bytes of text, or one
+word if a word is longer, whatever the length of a document; what is kept per word (hash, start and end, 24
+bytes) grows with the document.
 """
 
 from __future__ import annotations
@@ -161,8 +162,11 @@ def word_numbers(column: pa.Array, spelling: np.ndarray | None = None) -> tuple[
 
     ``spelling``: what each byte is read as; what becomes white space ends words."""
     buf, bounds = buffers(column)
-    if spelling is not None:
-        buf = spelling[buf]
+    return split_words(buf if spelling is None else spelling[buf], bounds)
+
+
+def split_words(buf: np.ndarray, bounds: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """The same for texts that lie end to end in a buffer."""
     texts = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(buf))
     lists = pc.ascii_split_whitespace(texts)
     words, ends = lists.flatten(), lists.offsets.to_numpy().astype(np.int64)
