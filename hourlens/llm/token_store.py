@@ -7,10 +7,11 @@ one file, so files in name order are the corpus in document order.  A row holds
 ascending and delta coded.  Row groups and pages are small enough for the page index to skip most of a
 file: metadata reads touch no id page, reads by doc_id touch the pages of those documents.
 
-The tokenizers this store is meant for lower-case, drop white space and split letters from other signs, so
-a text's ids are those of its chunks between ASCII white space, one after the other.  A worker
-keeps the ids of chunks it has met, up to ``CACHE`` of them, from task to task.  Texts that may
-hold the string of a special token go to the library whole.
+With a tokenizer that lower-cases, drops white space and splits letters from other signs, a text's ids are
+those of its chunks between ASCII white space, one after the other.  Whether a model is of that kind is read from its
+normalizer, pre-tokenizer and post-processor (``by_chunks``).  A worker then keeps the ids of chunks it has met, up to
+``CACHE`` of them, from task to task, and texts that may hold the string of a special token go to the library whole.
+With any other model all texts go to the library whole.
 
 Defined results: a null or empty text has only the end id; repeated rows are each written, side by
 side; null ids come first; an empty table gives an empty store; extra columns are not written.
@@ -75,6 +76,22 @@ def set_apart(buf: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return np.insert(buf, at, 32), bounds + np.searchsorted(at, bounds)
 
 
+# fixed values: what a model of the known kind does to a text before its words are merged
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+PRE_TOKENIZERS = [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+     "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+
+
+def by_chunks(model: dict) -> bool:
+    """Are a text's ids those of its parts between white space?  True only for what is known to be so."""
+    return (model.get("normalizer") == {"type": "Sequence", "normalizers": NORMALIZERS}
+            and model.get("pre_tokenizer") == {"type": "Sequence", "pretokenizers": PRE_TOKENIZERS}
+            and model.get("post_processor") is None and model.get("truncation") is None
+            and model.get("padding") is None and not model["model"].get("dropout"))
+
+
 class Encoder:
     """Ids of many texts at once; chunks met before are looked up."""
 
@@ -83,6 +100,10 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_str(model)
+        self.chunked = by_chunks(json.loads(model))
+        if not self.chunked:
+            self.special = b""
+            return
         # what every special token starts with; texts that hold it go to the library as they are
         special = [t["content"].encode() for t in json.loads(model).get("added_tokens", [])]
         self.special = os.path.commonprefix(special)[:2] if special else b""
@@ -126,26 +147,39 @@ class Encoder:
         self.size = np.concatenate([self.size, size])
         self.used = end
 
+    def _with_special(self, buf: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+        """Texts that may hold the string of a special token."""
+        if not self.special or len(buf) < len(self.special):
+            return np.empty(0, np.int64)
+        hit = np.ones(len(buf) - len(self.special) + 1, bool)
+        for i, c in enumerate(self.special):
+            hit &= buf[i:len(hit) + i] == c
+        return np.unique(np.searchsorted(bounds, np.flatnonzero(hit), "right") - 1)
+
     def encode(self, buf: np.ndarray, bounds: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and where each text begins (one more than texts); ``end`` closes every text."""
+        if not self.chunked:
+            raw = [buf[a:b].tobytes().decode() for a, b in zip(bounds[:-1], bounds[1:])]
+            found = [e.ids for e in self.model.encode_batch_fast(raw, add_special_tokens=False)]
+            cut = np.concatenate([[0], np.cumsum([len(f) for f in found], dtype=np.int64)])
+            flat = np.array([i for f in found for i in f], np.int32)
+            return np.insert(flat, cut[1:], end).astype(np.int32), cut + np.arange(len(cut))
         if len(self.slots) > CACHE:
             self._forget()
         spaced, cut = set_apart(buf, bounds)
-        chunks: list[bytes] = []
-        counts, whole = np.zeros(len(bounds) - 1, np.int64), {}
-        for k in range(len(bounds) - 1):
-            text = spaced[cut[k]:cut[k + 1]].tobytes()
-            if self.special and self.special in text:
-                raw = buf[bounds[k]:bounds[k + 1]].tobytes().decode()
-                whole[k] = np.array(self.model.encode(raw, add_special_tokens=False).ids, np.int32)
-                continue
-            # the model lower-cases anyway; only before a combining mark does the order matter
-            if b"\xcc" not in text and b"\xcd" not in text:
-                text = text.lower()
-            parts = text.split()                        # ASCII white space
-            chunks += parts
-            counts[k] = len(parts)
-        slots = np.fromiter(map(self.slots.__getitem__, chunks), np.int64, len(chunks))
+        # the model lower-cases anyway; only before a combining mark does the order matter
+        small, whole = bs.LOWER[spaced], {}
+        marks = np.flatnonzero((spaced == 0xCC) | (spaced == 0xCD))
+        for k in np.unique(np.searchsorted(cut, marks, "right") - 1):
+            small[cut[k]:cut[k + 1]] = spaced[cut[k]:cut[k + 1]]
+        for k in self._with_special(spaced, cut):
+            raw = buf[bounds[k]:bounds[k + 1]].tobytes().decode()
+            whole[k] = np.array(self.model.encode(raw, add_special_tokens=False).ids, np.int32)
+            small[cut[k]:cut[k + 1]] = 32
+        names, words, offs = bs.split_words(small, cut)
+        names = names.cast(pa.large_binary()).to_pylist()
+        slots = np.fromiter(map(self.slots.__getitem__, names), np.int64, len(names))[words]
+        counts = np.diff(offs)
         self._learn()
         at, size = self.at[slots], self.size[slots]
         places = np.concatenate([[0], np.cumsum(size)])

@@ -1,5 +1,6 @@
 """Jaccard join, token store, quality rules, decontamination, suffix de-duplication."""
 
+import json
 import random
 import re
 import zlib
@@ -173,6 +174,22 @@ def test_encoder_forgets_and_goes_on(monkeypatch, model):
         assert ids.tolist() == plain.encode(f"one{k} two{k} three{k} four", add_special_tokens=False).ids + [1]
 
 
+def test_another_tokenizer_is_not_guessed(docs_of, spark, tmp_path):
+    other = tokenizer_json("byte_bpe_50k.json")
+    changed = json.loads(tokenizer_json())
+    changed["normalizer"]["normalizers"] = changed["normalizer"]["normalizers"][:2]         # keeps capitals
+    assert token_store.by_chunks(json.loads(tokenizer_json()))
+    texts = ["Two  Words\n and<|endoftext|> more", "", " lead", "É é don't  STOP!!", "x" * 500, None]
+    for name, text in (("bytes", other), ("capitals", json.dumps(changed))):
+        assert not token_store.by_chunks(json.loads(text))
+        plain, path = Tokenizer.from_str(text), f"{tmp_path}/{name}"
+        token_store.write_tokens(docs_of(list(enumerate(texts))).repartition(3), path, text)
+        got = {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in token_store.checksums(spark, path).collect()}
+        for d, t in enumerate(texts):
+            ids = plain.encode(t or "", add_special_tokens=False).ids + [1]
+            assert got[d] == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), (name, d)
+
+
 def test_token_round_trip(spark, documents, docs_of, model, tmp_path):
     plain = Tokenizer.from_str(model)
     docs = documents.select("doc_id", "text").unionByName(
