@@ -125,4 +125,4 @@ def test_pipeline_on_nothing(spark, sf_dir):
 
 def test_every_operator_is_registered():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {n.split("_")[0] for n in names} and "pipeline" in names
+    assert {f"op{n}" for n in range(1, 14)} <= {n.split("_")[0] for n in names} and "pipeline" in names
