@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hourlens import config
@@ -145,9 +145,9 @@ def clean(df: DataFrame, cfg: CleanConfig | None = None, stage: str | None = Non
 def clean_audited(raw: DataFrame, cfg: CleanConfig | None = None) -> tuple[DataFrame, DataFrame]:
     """The cleaned rows and the audit, ``step, reason, rows_affected``, of the same run.
 
-    The counts ride on the jobs that clean: what parsing, trimming and tagging change is observed while the
-    standardised rows are written, ranges, zeros and gaps while the de-duplicated ones are.  The raw input is read once
-    (and its tagged dates for the tag dimension); only repeats are counted on their own, from the written rows.
+    The raw input is read once (and its tagged dates for the tag dimension).  What parsing, trimming and tagging
+    change is noted row by row in flags of the standardised stage, so the counts read a few narrow columns of the two
+    tables that the run writes anyway.
     """
     cfg = cfg or CleanConfig()
     spark = raw.sparkSession
@@ -155,39 +155,38 @@ def clean_audited(raw: DataFrame, cfg: CleanConfig | None = None) -> tuple[DataF
     if cfg.tag_sentinel is not None:
         raw = raw.withColumn(cfg.tag, fc.sentinel_to_null(cfg.tag, cfg.tag_sentinel))
     parsed = raw.withColumn("_ts", parse_timestamp(F.col(text).cast("string")))
-    good = F.col("_ts").isNotNull()
-    seen, spread, kept = Observation(), Observation(), Observation()
-    watched = parsed.observe(
-        seen, fc.count_rows(~good).alias("parse"),
-        *[fc.count_rows(good & (F.col(c) != fc.strip_text(c))).alias(f"trim_{c}") for c in cfg.text],
-        fc.count_rows(good & F.col(cfg.tag).isNotNull()).alias("tagged"))
+    parsed = parsed.withColumns({"_ok": F.col("_ts").isNotNull(), "_tagged": F.col(cfg.tag).isNotNull(), **{
+        f"_trim_{c}": F.coalesce(F.col(c) != fc.strip_text(c), F.lit(False)) for c in cfg.text}})
     gone = {text, "_ts"} - {cfg.ts}
-
-    def rows_of(df: DataFrame) -> DataFrame:
-        return trim_columns(df.where(good).withColumn(cfg.ts, F.col("_ts")).drop(*gone), cfg.text)
-
-    tags = rows_of(parsed).where(F.col(cfg.tag).isNotNull()).select(F.to_date(cfg.ts).alias("tag_date"), cfg.tag)
-    std = propagate_tag(rows_of(watched), cfg.tag, cfg.ts, tags).observe(
-        spread, F.count(cfg.tag).alias("spread"))
-    std = spark.read.parquet(write_stage(std, work_dir(spark, "standardised")))
+    rows = trim_columns(parsed.withColumn(cfg.ts, F.col("_ts")).drop(*gone), cfg.text)
+    tags = rows.where(F.col("_ok") & F.col(cfg.tag).isNotNull()).select(
+        F.to_date(cfg.ts).alias("tag_date"), cfg.tag)
+    noted = spark.read.parquet(write_stage(
+        propagate_tag(rows, cfg.tag, cfg.ts, tags), work_dir(spark, "standardised")))
+    good = F.col("_ok")
+    b = fc.fitted(noted.agg(
+        F.count_if(~good).alias("parse"), *[F.count_if(good & F.col(f"_trim_{c}")).alias(f"trim_{c}") for c in cfg.text],
+        F.count_if(good & F.col("_tagged")).alias("tagged"),
+        F.count_if(good & F.col(cfg.tag).isNotNull()).alias("spread")))
+    std = noted.where("_ok").drop("_ok", "_tagged", *[f"_trim_{c}" for c in cfg.text])
 
     distinct = std.groupBy(*std.columns).agg(F.count("*").alias("_c"))
     per_ts = distinct.groupBy(cfg.ts).agg(F.sum("_c").alias("_rows"), F.count("*").alias("_kinds"))
-    dups = fc.fitted(per_ts.agg((F.sum("_rows") - F.sum("_kinds")).alias("exact"),
-                                (F.sum("_kinds") - F.count("*")).alias("repeated")))
+    dups = fc.fitted(per_ts.agg(F.coalesce(F.sum("_rows") - F.sum("_kinds"), F.lit(0)).alias("exact"),
+                                F.coalesce(F.sum("_kinds") - F.count("*"), F.lit(0)).alias("repeated")))
 
     checks = range_check(cfg.bounds)
-    best = keep_best(std, cfg.ts, fc.ordinal(cfg.category, cfg.severity, -1), cfg.tiebreak).observe(
-        kept, F.count("*").alias("rows_out"),
+    best = keep_best(std, cfg.ts, fc.ordinal(cfg.category, cfg.severity, -1), cfg.tiebreak)
+    best = spark.read.parquet(write_stage(best, work_dir(spark, "deduplicated")))
+    a = fc.fitted(best.agg(
+        F.count("*").alias("rows_out"),
         *[fc.count_rows(bad).alias(f"range_{c}") for c, bad in checks.items()],
         *[fc.count_rows(F.col(c) == 0).alias(f"zero_{c}") for c in cfg.zero_kept],
-        *[fc.count_rows(F.col(c).isNull()).alias(f"null_{c}") for c in [*cfg.numeric, *cfg.fill_text]])
-    best = spark.read.parquet(write_stage(best, work_dir(spark, "deduplicated")))
+        *[fc.count_rows(F.col(c).isNull()).alias(f"null_{c}") for c in [*cfg.numeric, *cfg.fill_text]]))
 
-    b, t, a = seen.get, spread.get, kept.get
     lines = [("parse", "timestamp could not be parsed", b["parse"])]
     lines += [("standardise", f"blanks around {c}", b[f"trim_{c}"]) for c in cfg.text]
-    lines += [("standardise", f"{cfg.tag} spread over tagged dates", t["spread"] - b["tagged"]),
+    lines += [("standardise", f"{cfg.tag} spread over tagged dates", b["spread"] - b["tagged"]),
               ("dedup", "identical rows", dups["exact"]),
               ("dedup", "repeated timestamps", dups["repeated"])]
     lines += [("impute", f"{c} out of range", a[f"range_{c}"]) for c in checks]
@@ -196,7 +195,7 @@ def clean_audited(raw: DataFrame, cfg: CleanConfig | None = None) -> tuple[DataF
     lines += [("output", "rows kept", a["rows_out"])]
     report = spark.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(s).alias("step"), F.lit(r).alias("reason"),
-                 (n if isinstance(n, Column) else F.lit(n)).cast("bigint").alias("rows_affected")) for s, r, n in lines])))
+                 n.cast("bigint").alias("rows_affected")) for s, r, n in lines])))
     return fill_missing(impute_range(best, cfg.bounds, cfg.ts), cfg.numeric, cfg.fill_text), report
 
 
