@@ -33,6 +33,8 @@ from hourlens.functions import columns as fc
 from hourlens.session import work_dir
 
 LEVELS, LEAF, BLOCK, FAR = 12, 64, 2048, 8.0
+TILE = 128          # targets by 1024 sources held at once
+TASKS = 2000        # tasks that blocks are dealt to, at most
 
 
 def _written(df: DataFrame, base: str, name: str) -> DataFrame:
@@ -104,7 +106,38 @@ def _coarsest(cells: DataFrame, keys: Sequence[str], most: int, depth: int) -> D
         *keys, (F.col("level") + 1).alias("level"), F.col("key").alias("parent"))
     fit = cells.where((F.col("points") <= most) | (F.col("level") == depth))
     return fit.where("level = 0").unionByName(
-        fit.where("level > 0").join(upper, [*keys, "level", "parent"], "left_semi"))
+        fit.where("level > 0").join(upper.hint("merge"), [*keys, "level", "parent"], "left_semi"))
+
+
+def _add_distances(x: np.ndarray, met: pa.Table, to: np.ndarray, names: Sequence[str], total: np.ndarray) -> None:
+    """Add to ``total`` (targets by clusters) the distances to the rows of every source."""
+    dims = range(len(names))
+    c, n = [met[f"c{i}"].to_numpy() for i in dims], met["n"].to_numpy()
+    s = {(i, j): met[f"s{i}_{j}"].to_numpy() for i, j in _pairs(len(names))}
+    trace = sum(s[i, i] for i in dims)
+    # only few sources have scatter: the others are done with the plain distance
+    for spread, at in ((False, np.flatnonzero(~(trace > 0))), (True, np.flatnonzero(trace > 0))):
+        for a in range(0, len(at), 1024):
+            cut = at[a:a + 1024]
+            centre, own = [v[cut] for v in c], np.zeros((len(cut), total.shape[1]))
+            own[np.arange(len(cut)), to[cut]] = 1.0
+            scatter = {k: v[cut] for k, v in s.items()} if spread else {}
+            for b in range(0, len(x), TILE):
+                delta = [x[b:b + TILE, i, None] - centre[i] for i in dims]
+                square = sum(v * v for v in delta)
+                away = np.sqrt(square)
+                part = away * n[cut]
+                if spread:
+                    bend = sum((1 if i == j else 2) * delta[i] * delta[j] * v for (i, j), v in scatter.items())
+                    with np.errstate(divide="ignore", invalid="ignore"):
+                        part += np.nan_to_num((trace[cut] - bend / square) / (2 * away))
+                total[b:b + TILE] += part @ own
+
+
+def _tasks(blocks: DataFrame) -> int:
+    """What a block costs does not show in its bytes, so blocks are dealt to a fixed number of tasks."""
+    least = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, min(blocks.count(), TASKS))
 
 
 def mean_distance_points(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
@@ -141,7 +174,7 @@ def mean_distance_points(df: DataFrame, features: Sequence[str], label: str) ->
     # every block starts at the one top cell of each cluster
     front, on, listed = blocks.select(*about, F.lit(0).cast("long").alias("parent")), ["parent"], []
     for level in range(depth + 1):
-        met = front.join(cells.where(F.col("level") == level), on).withColumn("kind", kind)
+        met = front.hint("merge").join(cells.where(F.col("level") == level), on).withColumn("kind", kind)
         met = _written(met.select(*about, "label", "level", "key", "n", *centre, *scatter, "kind"), base, f"walk{level}")
         listed.append(met.where("kind <> 'split'"))
         front, on = met.where("kind = 'split'").select(*about, "label", F.col("key").alias("parent")), ["label", "parent"]
@@ -153,14 +186,15 @@ def mean_distance_points(df: DataFrame, features: Sequence[str], label: str) ->
     summed = listed.where("kind <> 'leaf'").select(
         "block", "label", "n", *centre, *[F.when(F.col("kind") == "far", s).otherwise(zero).alias(f"s{i}_{j}")
                                          for s, (i, j) in zip(scatter, _pairs(d))])
-    of_leaf = rows.join(leaves.select("label", "level", "key"), ["label", "level", "key"])
-    near = listed.where("kind = 'leaf'").select("block", "label", "level", "key").join(
+    # every side grows with the data: a small file may hold many rows, so no side is broadcast
+    of_leaf = rows.hint("merge").join(leaves.select("label", "level", "key"), ["label", "level", "key"])
+    near = listed.where("kind = 'leaf'").select("block", "label", "level", "key").hint("merge").join(
         of_leaf, ["label", "level", "key"]).select(
         "block", "label", F.col("w").alias("n"), *[F.col(n).alias(f"c{i}") for i, n in enumerate(names)],
         *[zero.alias(f"s{i}_{j}") for i, j in _pairs(d)])
     sources = summed.unionByName(near)
     spot = F.pmod(F.xxhash64(*names), F.col("cuts"))
-    targets = rows.join(blocks.select("block", "blevel", "bkey", "cuts", "cut"), (F.col("level") == F.col("blevel"))
+    targets = rows.hint("merge").join(blocks.select("block", "blevel", "bkey", "cuts", "cut"), (F.col("level") == F.col("blevel"))
                         & (F.col("key") == F.col("bkey")) & (F.col("cut") == spot)).select("block", "label", "w", *names)
 
     sizes = {r["label"]: r["n"] for r in cells.where("level = 0").select("label", "n").collect()}   # one row per cluster
@@ -170,21 +204,8 @@ def mean_distance_points(df: DataFrame, features: Sequence[str], label: str) ->
     def score(own: pa.Table, met: pa.Table) -> pa.Table:
         x = np.column_stack([own[n].to_numpy() for n in names]) if len(own) else np.empty((0, d))
         to = np.array([order[v] for v in met["label"].to_pylist()], np.int64)
-        c, n = np.column_stack([met[f"c{i}"].to_numpy() for i in dims]), met["n"].to_numpy()
-        s = {(i, j): met[f"s{i}_{j}"].to_numpy() for i, j in _pairs(d)}
-        trace = sum(s[i, i] for i in dims)
         total = np.zeros((len(x), len(many)))
-        for a in range(0, len(n), 1024):
-            cut = slice(a, a + 1024)
-            delta = [x[:, i, None] - c[None, cut, i] for i in dims]
-            square = sum(v * v for v in delta)
-            away = np.sqrt(square)
-            bend = sum((1 if i == j else 2) * delta[i] * delta[j] * s[i, j][cut] for i, j in _pairs(d))
-            with np.errstate(divide="ignore", invalid="ignore"):
-                extra = np.where(trace[cut] > 0, (trace[cut] - bend / square) / (2 * away), 0.0)
-            part = n[cut] * away + np.nan_to_num(extra)
-            for k in np.unique(to[cut]):
-                total[:, k] += part[:, to[cut] == k].sum(axis=1)
+        _add_distances(x, met, to, names, total)
         mine = np.array([order[v] for v in own["label"].to_pylist()], np.int64)
         at = np.arange(len(x))
         alone = many[mine] < 2
@@ -197,7 +218,9 @@ def mean_distance_points(df: DataFrame, features: Sequence[str], label: str) ->
         return pa.table({"label": own["label"], "w": own["w"], "silhouette": np.nan_to_num(value)})
 
     kind_of = dict(points.dtypes)["label"]
-    return targets.groupBy("block").cogroup(sources.groupBy("block")).applyInArrow(
+    tasks = _tasks(blocks)
+    return targets.repartition(tasks, "block").groupBy("block").cogroup(
+        sources.repartition(tasks, "block").groupBy("block")).applyInArrow(
         score, f"label {kind_of}, w double, silhouette double")
 
 

@@ -66,3 +66,11 @@ def test_few_rows(spark):
     assert tuple(sil.mean_distance_silhouette(same, ["f0"], "label").first()) == (0.0, 4)
     none = sil.mean_distance_silhouette(one.limit(0), ["f0"], "label").first()
     assert (none["silhouette"], none["n"]) == (None, 0)
+
+
+def test_nothing_that_grows_is_broadcast(spark):
+    rng = np.random.default_rng(3)
+    x = rng.random((900, 2))
+    out = sil.mean_distance_points(frame(spark, x, rng.integers(0, 2, 900)), ["f0", "f1"], "label")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
