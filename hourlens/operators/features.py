@@ -196,7 +196,8 @@ def split_stratified(df: DataFrame, key: str, label: str, test: float = 0.2) ->
     cut = (plan.where((F.col("_before") < F.col("_q"))
                       & (F.col("_before") + F.col("_n") >= F.col("_q")))
            .select("_label", "_cut", (F.col("_q") - F.col("_before")).alias("_take")))
-    joined = tagged.join(cut, tagged[label].eqNullSafe(cut["_label"]), "left")
+    # broadcast, as joining on the label would send each class to one task
+    joined = tagged.join(F.broadcast(cut), tagged[label].eqNullSafe(cut["_label"]), "left")
     at_cut = F.coalesce(F.col("_s") == F.col("_cut"), F.lit(False))
     clear = joined.where(~at_cut).withColumn(
         "is_test", F.coalesce(F.col("_s") < F.col("_cut"), F.lit(False)))

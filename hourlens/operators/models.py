@@ -38,6 +38,18 @@ def feature_gaps(df: DataFrame, features: Sequence[str]) -> list[str]:
     return missing
 
 
+ROWS = 200_000          # training rows of a task
+
+
+def dealt(rows: DataFrame) -> DataFrame:
+    """Training rows in tasks of about ``ROWS``.
+
+    Fits read them many times in the partitions they come in, and those follow compressed bytes: a file of
+    millions of rows may be one partition."""
+    least = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(max(least, math.ceil(rows.count() / ROWS)))
+
+
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str,
                  max_iter: int = 1000) -> PipelineModel:
     """Scaled logistic regression with balanced classes and unit L2 strength.
@@ -53,7 +65,7 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str,
         StandardScaler(inputCol="raw", outputCol="features", withMean=True, withStd=True),
         LogisticRegression(labelCol=label, weightCol="weight", maxIter=max_iter,
                            regParam=1.0 / max(n, 1), elasticNetParam=0.0, tol=1e-4,
-                           standardization=False)]).fit(weighted)
+                           standardization=False)]).fit(dealt(weighted))
 
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str, trees: int = 200,
@@ -66,7 +78,7 @@ def fit_forest(train: DataFrame, features: Sequence[str], label: str, trees: int
         assemble(features),
         RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees,
                                maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed,
-                               maxMemoryInMB=1024, cacheNodeIds=True)]).fit(weighted)
+                               maxMemoryInMB=1024, cacheNodeIds=True)]).fit(dealt(weighted))
 
 
 def fit_linear(train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:

@@ -116,3 +116,17 @@ def test_clusters_of_equal_rows(spark):
     data = spark.createDataFrame([([1.0, 2.0],)] * 9, "x array<double>")
     model = cu.fit_many(data, cu.starts(data, [3], 1, 5))[3, 0]
     assert model.cost == 0 and set(map(tuple, model.centres)) == {(1.0, 2.0)}
+
+
+def test_classifiers_deal_training_rows_evenly(spark, data, monkeypatch):
+    monkeypatch.setattr(md, "ROWS", 50)
+    one = data.coalesce(1)
+    assert one.rdd.getNumPartitions() == 1
+    sizes = md.dealt(one).rdd.glom().map(len).collect()
+    assert len(sizes) == 12 and max(sizes) <= 100 and sum(sizes) == 600
+    log = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("dealt", "")
+    md.fit_logistic(one, X, "risk", max_iter=3)
+    stages = [log.getStageInfo(i) for j in log.getJobIdsForGroup("dealt") for i in log.getJobInfo(j).stageIds]
+    spark.sparkContext.setJobGroup("", "")
+    assert max(s.numTasks for s in stages if s and "treeAggregate" in s.name) == 12
