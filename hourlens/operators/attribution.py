@@ -17,11 +17,13 @@ to the prediction.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +36,7 @@ def leaf_paths(model: PipelineModel) -> dict[str, np.ndarray]:
     """Every leaf of the model's trees: value, and per path feature its number (-1: none), the
     interval (low, high] that leads here, and the training share z."""
     trees, spark = model.stages[-1], SparkSession.active()
+    cut_at = next((s.getSplitsArray() for s in model.stages if isinstance(s, Bucketizer)), None)
     folder = work_dir(spark, "forest")
     trees.write().save(folder)
     nodes: dict[int, dict[int, tuple]] = {}
@@ -43,8 +46,10 @@ def leaf_paths(model: PipelineModel) -> dict[str, np.ndarray]:
         if r["leftChild"] >= 0 and split["numCategories"] != -1:
             raise ValueError("attribution knows numeric splits only")
         cut = split["leftCategoriesOrThreshold"][0] if r["leftChild"] >= 0 else None
+        if cut is not None and cut_at:                      # of buckets: back to the feature's values
+            cut = math.nextafter(cut_at[split["featureIndex"]][math.floor(cut) + 1], -math.inf)
         nodes.setdefault(r["treeID"], {})[r["id"]] = (
-            r["leftChild"], r["rightChild"], split["featureIndex"], cut, r["rawCount"], r["prediction"])
+            r["leftChild"], r["rightChild"], split["featureIndex"], cut, r["impurityStats"][0], r["prediction"])
     leaves = []
     for tree, weight in enumerate(trees.treeWeights):
         held = nodes[tree]
@@ -119,9 +124,17 @@ def explain(model: PipelineModel, df: DataFrame, features: Sequence[str], keep:
     return scored.mapInArrow(run, f"{kinds}base double, attribution array<double>, prediction double")
 
 
-def mean_attribution(explained: DataFrame, features: Sequence[str]) -> DataFrame:
-    """``feature, mean_abs``: the mean size of each feature's attribution over all rows."""
+def grouped(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """One row, with their number ``n``, for the rows that lie in the same buckets: their attributions are the same."""
+    cut = next(s for s in model.stages if isinstance(s, Bucketizer))
+    return cut.transform(df.select(*features)).groupBy(*cut.getOutputCols()).agg(
+        F.count("*").alias("n"), *[F.min(f).alias(f) for f in features]).select(*features, "n")
+
+
+def mean_attribution(explained: DataFrame, features: Sequence[str], n: str | None = None) -> DataFrame:
+    """``feature, mean_abs``: the mean size of each feature's attribution over all rows; ``n`` is a column of row counts."""
+    rows = F.col(n) if n else F.lit(1)
     names = F.array(*[F.lit(f) for f in features])
-    return explained.select(F.explode(F.arrays_zip(names.alias("feature"), F.col("attribution").alias("phi")))
-                            .alias("a")).select(F.col("a.feature"), F.col("a.phi")).groupBy("feature").agg(
-        F.avg(F.abs("phi")).alias("mean_abs"))
+    return explained.select(rows.alias("n"), F.explode(F.arrays_zip(
+        names.alias("feature"), F.col("attribution").alias("phi"))).alias("a")).groupBy("a.feature").agg(
+        (F.sum(F.abs("a.phi") * F.col("n")) / F.sum("n")).alias("mean_abs"))

@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import Bucketizer, StandardScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -19,6 +19,7 @@ from hourlens.functions import columns as fc
 from hourlens.operators.features import with_class_weight
 from hourlens.operators.relational import hash_order
 from hourlens.session import work_dir
+from hourlens.sources.sinks import write_stage
 
 
 def ensure_checkpoint(spark: SparkSession) -> None:
@@ -39,6 +40,8 @@ def feature_gaps(df: DataFrame, features: Sequence[str]) -> list[str]:
 
 
 ROWS = 200_000          # training rows of a task
+VALUES = 4096           # counted values of a feature that the driver takes
+UNITS = 10              # parts of a bucket's rows that are drawn on their own
 
 
 def dealt(rows: DataFrame) -> DataFrame:
@@ -89,15 +92,66 @@ def fit_linear(train: DataFrame, features: Sequence[str], label: str) -> Pipelin
         LinearRegression(labelCol=label, solver="normal")]).fit(train)
 
 
+def _cuts(values: Sequence[tuple[float, int]], bins: int) -> list[float]:
+    """Where trees may cut a feature, from its counted values: between all of them, or after about equal shares."""
+    if len(values) <= bins:
+        return [(a + b) / 2 for (a, _), (b, _) in zip(values, values[1:])]
+    stride = sum(n for _, n in values) / bins
+    out, seen, goal = [], values[0][1], stride
+    for (a, _), (b, n) in zip(values, values[1:]):
+        if abs(seen - goal) < abs(seen + n - goal):
+            out.append((a + b) / 2)
+            goal += stride
+        seen += n
+    return out
+
+
+def bucketizer(train: DataFrame, features: Sequence[str], bins: int = 32) -> Bucketizer:
+    """Buckets ``_b_<feature>`` between the places where trees of ``bins`` bins may cut.
+
+    Features of at most ``VALUES`` values are cut by the counts of all of them, others at quantiles of all rows."""
+    named = train.select(F.explode(F.array(*[
+        F.struct(F.lit(f).alias("f"), F.col(f).cast("double").alias("v")) for f in features])).alias("p")).select("p.*")
+    counts = named.groupBy("f", "v").agg(F.count("*").alias("n")).persist()
+    sizes = {r["f"]: r["count"] for r in counts.groupBy("f").count().collect()}
+    few = [f for f in features if sizes.get(f, 0) <= VALUES]
+    held: dict[str, list] = {f: [] for f in features}
+    for r in counts.where(F.col("f").isin(few)).collect():      # at most features x VALUES rows
+        if r["v"] is not None:
+            held[r["f"]].append((r["v"], r["n"]))
+    counts.unpersist()
+    many = [f for f in features if f not in few]
+    steps = [i / bins for i in range(1, bins)]
+    marks = train.agg(*[F.percentile_approx(F.col(f).cast("double"), steps, 10_000).alias(f) for f in many]).first() \
+        if many else {}
+    ends = [_cuts(sorted(held[f]), bins) if f in few else sorted(set(marks[f])) for f in features]
+    # a cut belongs to the left in trees, to the right in buckets
+    splits = [[-math.inf, *[math.nextafter(v, math.inf) for v in e or [0.0]], math.inf] for e in ends]
+    return Bucketizer(inputCols=list(features), outputCols=[f"_b_{f}" for f in features], splitsArray=splits)
+
+
 def fit_gbt(train: DataFrame, features: Sequence[str], label: str, trees: int = 300,
             depth: int = 5, rate: float = 0.1, subsample: float = 0.9,
             seed: int = config.SEED) -> PipelineModel:
+    """Boosting of squared errors.
+
+    Trees see rows through the buckets of their features only, so rows of the same buckets count as one with their mean
+    and number: sums of squares inside such a group are the same on both sides of every split, and the trees are those of the
+    single rows.  With ``subsample``, a group is ``UNITS`` parts drawn on their own.  What is boosted is bounded by the
+    buckets that occur, however many rows there are."""
     feature_gaps(train, features)
     ensure_checkpoint(train.sparkSession)
-    return Pipeline(stages=[
-        assemble(features),
-        GBTRegressor(labelCol=label, maxIter=trees, maxDepth=depth, stepSize=rate,
-                     subsamplingRate=subsample, seed=seed, maxMemoryInMB=1024)]).fit(train)
+    cut = bucketizer(train, features)
+    names = cut.getOutputCols()
+    unit = F.pmod(F.xxhash64(F.lit(seed), F.col(label), *features), F.lit(UNITS)) if subsample < 1 else F.lit(0)
+    # adding 0 drops the mark of a category: buckets stay in order
+    units = cut.transform(train.select(label, *features)).groupBy(
+        *[(F.col(n) + 0.0).alias(n) for n in names], unit.alias("_unit")).agg(F.avg(F.col(label).cast("double")).alias("_y"), F.count("*").cast("double").alias("_n"))
+    stage = train.sparkSession.read.parquet(write_stage(units, work_dir(train.sparkSession, "units")))
+    boosted = Pipeline(stages=[assemble(names), GBTRegressor(
+        labelCol="_y", weightCol="_n", maxIter=trees, maxDepth=depth, stepSize=rate, subsamplingRate=subsample,
+        seed=seed, maxMemoryInMB=1024)]).fit(dealt(stage))
+    return PipelineModel(stages=[cut, *boosted.stages])
 
 
 def fit_surrogate(train: DataFrame, features: Sequence[str], label: str,

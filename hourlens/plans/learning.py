@@ -484,7 +484,8 @@ def surrogate_gbt(spark, d):
 def feature_attribution(spark, d):
     """Mean size of each feature's Shapley attribution over all test rows, beside two other measures."""
     model, test = _surrogate(spark, d)
-    shap = sh.mean_attribution(sh.explain(model, test, views.FEATURES), views.FEATURES)
+    shap = sh.mean_attribution(sh.explain(model, sh.grouped(model, test, views.FEATURES), views.FEATURES, ["n"]),
+                               views.FEATURES, "n")
     imp = md.permutation_importance(model, test, views.FEATURES, "measure", "event_id")
     return shap.join(imp, "feature").join(
         md.split_importance(model, views.FEATURES, spark).withColumnRenamed("importance", "split_gain"), "feature") \

@@ -73,3 +73,13 @@ def test_rows_in_small_chunks(fitted, monkeypatch):
     monkeypatch.setattr(at, "CHUNK", 1)
     assert np.allclose(at.attributions(x, paths), whole)
     assert at.attributions(x[:0], paths).shape == (0, 4)
+
+
+def test_rows_of_the_same_buckets_are_explained_once(fitted):
+    model, df, _ = fitted
+    many = df.unionByName(df)
+    once = at.grouped(model, many, FEATURES)
+    assert once.count() <= 400 and once.agg({"n": "sum"}).first()[0] == 800
+    got = {r["feature"]: r["mean_abs"] for r in at.mean_attribution(at.explain(model, once, FEATURES, ["n"]), FEATURES, "n").collect()}
+    want = {r["feature"]: r["mean_abs"] for r in at.mean_attribution(at.explain(model, many, FEATURES), FEATURES).collect()}
+    assert got == pytest.approx(want)

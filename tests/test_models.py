@@ -130,3 +130,21 @@ def test_classifiers_deal_training_rows_evenly(spark, data, monkeypatch):
     stages = [log.getStageInfo(i) for j in log.getJobIdsForGroup("dealt") for i in log.getJobInfo(j).stageIds]
     spark.sparkContext.setJobGroup("", "")
     assert max(s.numTasks for s in stages if s and "treeAggregate" in s.name) == 12
+
+
+def test_boosting_counts_rows_of_the_same_buckets(spark, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import GBTRegressor
+
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(500, 3)).round(1)
+    rows = [(*map(float, r), float(2 * r[0] + r[1] ** 2 + e)) for r, e in zip(x, rng.normal(0, 0.3, 500))] * 3
+    df = spark.createDataFrame(rows, "a double, b double, c double, y double")
+    seen = []
+    monkeypatch.setattr(md, "dealt", lambda d: seen.append(d.count()) or d)
+    model = md.fit_gbt(df, X, "y", trees=8, subsample=1.0)
+    assert len(seen) == 1 and seen[0] <= 500
+    md.ensure_checkpoint(spark)
+    plain = Pipeline(stages=[md.assemble(X), GBTRegressor(labelCol="y", maxIter=8, maxDepth=5, seed=7)]).fit(df)
+    both = zip(model.transform(df).collect(), plain.transform(df).collect())
+    assert max(abs(a["prediction"] - b["prediction"]) for a, b in both) < 1e-9
