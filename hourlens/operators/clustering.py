@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Mapping, Sequence
 from multiprocessing.pool import ThreadPool
 
@@ -22,6 +23,7 @@ from hourlens.sources.sinks import write_stage
 MAX_ITER, TOL = 300, 1e-4
 START_ROWS = 4096       # rows that starting centres are drawn from
 ROWS = 2048             # rows by centres held at once
+TASK_ROWS = 200_000     # distinct vectors of a task
 
 
 def with_severity(df: DataFrame, category: str = "weather_main",
@@ -84,13 +86,15 @@ def starts(data: DataFrame, ks: Iterable[int], restarts: int, seed: int) -> dict
 
 
 def fit_many(data: DataFrame, begun: dict, max_iter: int = MAX_ITER, tol: float = TOL) -> dict:
-    """Lloyd's rounds of many models side by side; ``data`` has rows of an array ``x``.
+    """Lloyd's rounds of many models side by side; ``data`` has rows of an array ``x`` and, if equal rows
+    are counted, their number ``w``.
 
     A pass over the rows assigns each to its centre in every unfinished model and sums rows, coordinates and
     cost by (model, cluster) inside each task; what comes to the driver is one small row per task, model and
     cluster.  A model is finished once its centres move, squared and summed, by no more than ``tol`` times the mean
     variance of a coordinate; a cluster without rows keeps its centre."""
     spark = data.sparkSession
+    weighted = data.select("x", (F.col("w") if "w" in data.columns else F.lit(1)).cast("double").alias("w"))
     centres, cost = {m: c.astype(float) for m, c in begun.items()}, {}
     open_ = list(centres)
     for step in range(max_iter + 1):
@@ -105,22 +109,23 @@ def fit_many(data: DataFrame, begun: dict, max_iter: int = MAX_ITER, tol: float
             for batch in batches:
                 flat = batch["x"].flatten().to_numpy(zero_copy_only=False)
                 x = flat.reshape(batch.num_rows, -1)
-                count, square, whole = count + len(x), square + float((x * x).sum()), whole + x.sum(axis=0)
+                w = batch["w"].to_numpy()
+                count, square, whole = count + w.sum(), square + float((w @ (x * x)).sum()), whole + w @ x
                 for a in range(0, len(x), ROWS):
                     part = x[a:a + ROWS]
                     far = (part * part).sum(axis=1)[:, None] - 2 * part @ laid.T + (laid * laid).sum(axis=1)
+                    hit = np.zeros((len(part), len(laid)))
+                    line, n = np.arange(len(part)), w[a:a + ROWS]
                     for lo, hi in zip(begin, begin[1:]):
-                        own = far[:, lo:hi].argmin(axis=1)
-                        hit = np.zeros((len(part), hi - lo))
-                        hit[np.arange(len(part)), own] = 1
-                        rows[lo:hi] += hit.sum(axis=0)
-                        sums[lo:hi] += hit.T @ part
-                        away[lo:hi] += hit.T @ np.maximum(far[np.arange(len(part)), lo + own], 0)
+                        hit[line, lo + far[:, lo:hi].argmin(axis=1)] = n
+                    rows += hit.sum(axis=0)
+                    sums += hit.T @ part
+                    away += np.einsum("ij,ij->j", hit, np.maximum(far, 0, out=far))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.arange(len(laid) + 1)), pa.array(np.append(rows, count)),
                  pa.array(np.append(away, square)), pa.array([*sums, whole])], ["at", "n", "cost", "total"])
 
-        found = data.select("x").mapInArrow(add, "at long, n double, cost double, total array<double>").collect()
+        found = weighted.mapInArrow(add, "at long, n double, cost double, total array<double>").collect()
         held.destroy()
         size = 1 + sum(len(centres[m]) for m in open_)      # the last one stands for all rows
         n, spent, total = np.zeros(size), np.zeros(size), np.zeros((size, len(found[0]["total"])))
@@ -147,9 +152,15 @@ def fit_many(data: DataFrame, begun: dict, max_iter: int = MAX_ITER, tol: float
 def _best_models(df: DataFrame, ks: Iterable[int], restarts: int, seed: int, max_iter: int) -> dict[int, Centres]:
     """All (k, start) pairs in one loop over a written table of the vectors; the cheapest start of each k."""
     spark, ks = df.sparkSession, list(ks)
-    data = spark.read.parquet(write_stage(
-        df.select(vector_to_array("features").alias("x")), work_dir(spark, "vectors")))
-    done = fit_many(data, starts(data, ks, restarts, seed), max_iter)
+    # equal vectors are one with their number; dealt by rows, as a file of few bytes may hold many of them
+    vectors = df.select(vector_to_array("features").alias("x")).groupBy("x").agg(F.count("*").alias("w"))
+    stage = spark.read.parquet(write_stage(vectors, work_dir(spark, "vectors")))
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(stage.count() / TASK_ROWS))
+    data = stage.repartition(tasks).persist()
+    # starting centres are drawn from rows, so that equal ones keep their chances
+    done = fit_many(data, starts(data.select(F.explode(F.array_repeat("x", F.least("w", F.lit(START_ROWS)).cast("int")))
+                                             .alias("x")), ks, restarts, seed), max_iter)
+    data.unpersist()
     return {k: min((done[k, r] for r in range(restarts)), key=lambda c: c.cost) for k in ks}
 
 

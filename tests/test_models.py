@@ -148,3 +148,17 @@ def test_boosting_counts_rows_of_the_same_buckets(spark, monkeypatch):
     plain = Pipeline(stages=[md.assemble(X), GBTRegressor(labelCol="y", maxIter=8, maxDepth=5, seed=7)]).fit(df)
     both = zip(model.transform(df).collect(), plain.transform(df).collect())
     assert max(abs(a["prediction"] - b["prediction"]) for a, b in both) < 1e-9
+
+
+def test_clusters_count_equal_rows(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = np.repeat(rng.normal(size=(60, 2)), rng.integers(1, 9, 60), axis=0)
+    each = spark.createDataFrame([(r.tolist(),) for r in x], "x array<double>")
+    begun = cu.starts(each, [2, 4], 2, 3)
+    counted = each.groupBy("x").agg(F.count("*").alias("w"))
+    a, b = cu.fit_many(each, begun), cu.fit_many(counted, begun)
+    assert all(np.allclose(a[m].centres, b[m].centres) and a[m].cost == pytest.approx(b[m].cost) for m in begun)
+    sizes, fit = [], cu.fit_many
+    monkeypatch.setattr(cu, "fit_many", lambda d, *args: sizes.append(d.count()) or fit(d, *args))
+    cu.kmeans(each.select(array_to_vector("x").alias("features")), 2, restarts=1)
+    assert sizes == [60]
