@@ -23,6 +23,9 @@ def add_time(df: DataFrame, ts: str = "ts") -> DataFrame:
                            "dow_sin": dow_sin, "dow_cos": dow_cos})
 
 
+NAMES = 4096            # rare categories that the driver takes
+
+
 def rare_categories(df: DataFrame, column: str, min_n: int = config.RARE_CATEGORY_MIN) -> DataFrame:
     return (df.where(F.col(column).isNotNull()).groupBy(column)
             .agg(F.count("*").alias("n")).where(F.col("n") < min_n))
@@ -32,10 +35,14 @@ def rare_to_other(df: DataFrame, column: str, min_n: int = config.RARE_CATEGORY_
                   out: str = "category_grouped", other: str = "Other") -> DataFrame:
     """Fold categories with fewer than ``min_n`` rows into one.
 
-    One plan for any number of rare names: the counted rare side is joined.  AQE broadcasts it when
-    its measured size allows, and splits the rows of a common category otherwise.
+    The rare names are counted now, and up to ``NAMES`` of them are tested row by row.  Joined, they would send all
+    rows of a category to one task: AQE splits those only where the rare side has rows.  More names than that are
+    joined; AQE broadcasts them when their measured size allows, and splits the rows of a common category otherwise.
     """
     rare = rare_categories(df, column, min_n).select(F.col(column).alias("_rare"))
+    names = [r["_rare"] for r in rare.limit(NAMES + 1).collect()]
+    if len(names) <= NAMES:
+        return df.withColumn(out, F.when(F.col(column).isin(names), F.lit(other)).otherwise(F.col(column)))
     return (df.join(rare, df[column] == rare["_rare"], "left")
             .withColumn(out, F.when(F.col("_rare").isNotNull(), F.lit(other))
                         .otherwise(F.col(column)))

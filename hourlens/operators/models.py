@@ -44,13 +44,17 @@ VALUES = 4096           # counted values of a feature that the driver takes
 UNITS = 10              # parts of a bucket's rows that are drawn on their own
 
 
+def tasks(rows: DataFrame) -> int:
+    """Tasks of about ``ROWS`` rows, one per core at least."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(rows.count() / ROWS))
+
+
 def dealt(rows: DataFrame) -> DataFrame:
     """Training rows in tasks of about ``ROWS``.
 
     Fits read them many times in the partitions they come in, and those follow compressed bytes: a file of
     millions of rows may be one partition."""
-    least = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(max(least, math.ceil(rows.count() / ROWS)))
+    return rows.repartition(tasks(rows))
 
 
 def fit_logistic(train: DataFrame, features: Sequence[str], label: str,

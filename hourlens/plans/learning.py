@@ -353,7 +353,8 @@ def forecast_naive(spark, d):
 # --- models -----------------------------------------------------------------
 def _features(spark, d):
     """The feature stage table: fits read it many times, its shuffles run once."""
-    rows = views.feat(spark, d).repartition(spark.sparkContext.defaultParallelism, "event_id")
+    parts = md.tasks(views.table(spark, d, "events"))       # a footer count: features are one row an event
+    rows = views.feat(spark, d).repartition(parts, "event_id")
     return spark.read.parquet(write_stage(rows, work_dir(spark, "features")))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from hourlens.operators import clustering as cu
 from hourlens.operators import evaluation as ev
 from hourlens.operators import models as md
+from hourlens.plans import learning
 from hourlens.session import work_dir
 
 X = ["a", "b", "c"]
@@ -132,6 +133,17 @@ def test_classifiers_deal_training_rows_evenly(spark, data, monkeypatch):
     assert max(s.numTasks for s in stages if s and "treeAggregate" in s.name) == 12
 
 
+def test_feature_stage_has_tasks_by_rows(spark, monkeypatch, tmp_path):
+    spark.range(1200).select(
+        F.col("id").alias("event_id"), F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, id)").alias("ts"),
+        F.lit(1).alias("user_id"), F.lit("view").alias("event_type"), (F.col("id") % 100).cast("double").alias("value"),
+        F.lit('{"k": 7}').alias("props")).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(md, "ROWS", 50)
+    stage = learning._features(spark, str(tmp_path))
+    sizes = [r["count"] for r in stage.groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 1200 and len(sizes) == 24 and max(sizes) <= 100
+
+
 def test_boosting_counts_rows_of_the_same_buckets(spark, monkeypatch):
     from pyspark.ml import Pipeline
     from pyspark.ml.regression import GBTRegressor

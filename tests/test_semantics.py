@@ -178,6 +178,22 @@ def test_rare_threshold_is_strict(spark):
                                                                 "a", "a", "a"]
 
 
+def test_a_common_category_does_not_meet_in_one_task(spark, monkeypatch):
+    df = spark.range(0, 4000, 1, 8).selectExpr("id", "CASE WHEN id < 3 THEN 'b' WHEN id = 3 THEN NULL ELSE 'a' END AS category")
+    # as with large tables: only the measured size tells that the rare side is small
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "10m")
+    try:
+        for rows in (df, df.where("id > 2")):               # also where no category is rare
+            assert max(map(len, fx.rare_to_other(rows, "category", 4).rdd.glom().collect())) <= 500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    got = {tuple(r) for r in fx.rare_to_other(df, "category", 4).collect()}
+    monkeypatch.setattr(fx, "NAMES", 0)                     # names that are joined give the same
+    assert got == {tuple(r) for r in fx.rare_to_other(df, "category", 4).collect()} and len(got) == 4000
+
+
 def test_feature_table_is_42_wide(spark):
     clean = cl.clean(raw(spark)).withColumnRenamed("ts", "date_time")
     out = fx.build(clean, ts="date_time", category="weather_main", measure="traffic_volume")
