@@ -3,24 +3,27 @@
 The mean distance from a row to a cluster has no closed form, and all pairs are out of the question.  Distances
 are summed over cells instead, as gravity is:
 
-1. Equal points of a cluster are counted into one.  Every cluster is laid out in cells, halved ``LEVELS`` times at
-   most; a cell knows its rows, their centre and the scatter around it.  Cells of at most ``LEAF`` points are leaves.
-2. Target points are dealt into blocks, the coarsest cells of at most ``BLOCK`` points.
-3. Each block walks down each cluster's cells, one level per join.  A cell of radius r whose centre is at least
-   ``FAR`` times r away from every place of the block is summed by its centre and scatter (second order); other cells are
-   replaced by their children, a leaf by its points.  So a block meets few cells far away and points only nearby.
-
-Error: the third derivative of |x| is at most 3 / |x|^2, so a summed cell at distance D is off by no more than
-r^3 / (2 (D - r)^2) a row, at most 1 / (2 FAR (FAR - 1)^2) = 0.13 % of D.  Hence every mean distance is exact to 0.13 %
-and a silhouette to 0.26 %; offsets on both sides of the centres cancel, so what is measured is some hundred times less.
-A cell at the last level with more than ``LEAF`` points counts by its centre: an error of less than its width,
-2^-LEVELS of the widest feature.
+1. Equal points of a cluster are counted into one and dealt along a space-filling order into chunks of about ``CHUNK``.
+2. A chunk halves its points of each cluster into a tree of cells, down to ``LEAF`` points.  A cell knows its rows, their
+   centre, the scatter around it and how far its rows lie from it.
+3. Every chunk tells every other one the coarsest cells that are exact enough for all of its places: single points next
+   to it, a few cells far away.  Only these are shuffled, no list of cells by target is ever written.
+4. A chunk halves its own points and what it was told into trees again, deals its places into blocks of at most
+   ``BLOCK``, and every block walks down the trees in memory: cells that are exact enough are summed by centre and
+   scatter (second order), others are replaced by their halves, the smallest by their points.
+
+Error: the third derivative of |x| along a line is at most 2 / (sqrt(3) |x|^2), so a cell of radius r whose rows have the
+mean cubed distance t from its centre is off by no more than t / (3 sqrt(3) (D - r)^2) a row at distance D.  A cell is summed
+where that is at most ``EXACT`` times the greater of D and a lower bound of the block's mean distance to the cluster.
+Neither exceeds the mean distance, so every mean distance is exact to 2 ``EXACT`` = 0.13 % and a silhouette to 0.26 %;
+offsets on both sides of the centres cancel, so what is measured is some hundred times less.
 
 A row alone in its cluster, and rows of a single cluster, have silhouette 0; rows with a null feature are an error.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -32,9 +35,12 @@ from pyspark.sql import functions as F
 from hourlens.functions import columns as fc
 from hourlens.session import work_dir
 
-LEVELS, LEAF, BLOCK, FAR = 12, 64, 2048, 8.0
-TILE = 128          # targets by 1024 sources held at once
-TASKS = 2000        # tasks that blocks are dealt to, at most
+LEVELS, LEAF, BLOCK, EXACT = 12, 16, 256, 0.00065
+CHUNK = 50_000      # points of a chunk
+BOXES = 16          # boxes that a chunk's places are told by
+HEADS = 4096        # cells that mean distances are bounded by, about
+TILE = 1024         # sources held at once
+PAIRS = 50_000      # blocks by cells held at once
 
 
 def _written(df: DataFrame, base: str, name: str) -> DataFrame:
@@ -56,171 +62,277 @@ def _unit_points(df: DataFrame, features: Sequence[str], label: str, names: Sequ
         F.count("*").cast("double").alias("w"))
 
 
-def _key(names: Sequence[str], level: Column, depth: int) -> Column:
-    """Number of a point's cell at a level."""
+def _place(names: Sequence[str], depth: int) -> Column:
+    """Place along a space-filling order: the bits of all coordinates in turn."""
     def part(i: int, n: str) -> Column:
         spot = F.least(F.floor(F.col(n) * (1 << depth)), F.lit((1 << depth) - 1)).cast("long")
-        spot = F.call_function("shiftright", spot, F.lit(depth) - level)
-        return F.call_function("shiftleft", spot, level * i)
+        return reduce(lambda a, b: a + b, [
+            F.shiftleft(F.shiftright(spot, b).bitwiseAND(F.lit(1).cast("long")), b * len(names) + i) for b in range(depth)])
     return reduce(lambda a, b: a + b, [part(i, n) for i, n in enumerate(names)])
 
 
-def _at_levels(points: DataFrame, names: Sequence[str], depth: int) -> DataFrame:
-    """Every point once per level, with the cell it lies in and that cell's parent."""
-    rows = points.withColumn("level", F.explode(F.sequence(F.lit(0), F.lit(depth))))
-    return rows.withColumn("key", _key(names, F.col("level"), depth)).withColumn(
-        "parent", _key(names, F.greatest(F.col("level") - 1, F.lit(0)), depth))
-
-
 def _pairs(d: int) -> list[tuple[int, int]]:
     return [(i, j) for i in range(d) for j in range(i, d)]
 
 
-def _cells(rows: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Per cluster, level and cell: points, rows, centre (c0...) and scatter about it (s0_0...)."""
-    grouped = rows.groupBy("label", "level", "key", "parent").agg(
-        F.count("*").alias("points"), F.sum("w").alias("n"),
-        *[F.sum(F.col("w") * F.col(n)).alias(f"t{i}") for i, n in enumerate(names)],
-        *[F.sum(F.col("w") * F.col(names[i]) * F.col(names[j])).alias(f"q{i}_{j}") for i, j in _pairs(len(names))])
-    return grouped.select(
-        "label", "level", "key", "parent", "points", "n",
-        *[(F.col(f"t{i}") / F.col("n")).alias(f"c{i}") for i in range(len(names))],
-        *[(F.col(f"q{i}_{j}") - F.col(f"t{i}") * F.col(f"t{j}") / F.col("n")).alias(f"s{i}_{j}")
-          for i, j in _pairs(len(names))])
-
-
-def _middle(key: Column, level: Column, i: int) -> Column:
-    """Coordinate of a cell's middle."""
-    spot = F.call_function("shiftright", key, level * i).bitwiseAND(
-        F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1)
-    return (spot.cast("double") + 0.5) / F.pow(F.lit(2.0), level)
-
-
-def _away(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    return F.sqrt(reduce(lambda x, y: x + y, [(p - q) * (p - q) for p, q in zip(a, b)]))
-
-
-def _coarsest(cells: DataFrame, keys: Sequence[str], most: int, depth: int) -> DataFrame:
-    """Cells of at most ``most`` points (or of the last level) below one that has more."""
-    upper = cells.where(F.col("points") > most).select(
-        *keys, (F.col("level") + 1).alias("level"), F.col("key").alias("parent"))
-    fit = cells.where((F.col("points") <= most) | (F.col("level") == depth))
-    return fit.where("level = 0").unionByName(
-        fit.where("level > 0").join(upper.hint("merge"), [*keys, "level", "parent"], "left_semi"))
-
-
-def _add_distances(x: np.ndarray, met: pa.Table, to: np.ndarray, names: Sequence[str], total: np.ndarray) -> None:
-    """Add to ``total`` (targets by clusters) the distances to the rows of every source."""
-    dims = range(len(names))
-    c, n = [met[f"c{i}"].to_numpy() for i in dims], met["n"].to_numpy()
-    s = {(i, j): met[f"s{i}_{j}"].to_numpy() for i, j in _pairs(len(names))}
-    trace = sum(s[i, i] for i in dims)
-    # only few sources have scatter: the others are done with the plain distance
-    for spread, at in ((False, np.flatnonzero(~(trace > 0))), (True, np.flatnonzero(trace > 0))):
-        for a in range(0, len(at), 1024):
-            cut = at[a:a + 1024]
-            centre, own = [v[cut] for v in c], np.zeros((len(cut), total.shape[1]))
-            own[np.arange(len(cut)), to[cut]] = 1.0
-            scatter = {k: v[cut] for k, v in s.items()} if spread else {}
-            for b in range(0, len(x), TILE):
-                delta = [x[b:b + TILE, i, None] - centre[i] for i in dims]
-                square = sum(v * v for v in delta)
-                away = np.sqrt(square)
-                part = away * n[cut]
-                if spread:
-                    bend = sum((1 if i == j else 2) * delta[i] * delta[j] * v for (i, j), v in scatter.items())
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        part += np.nan_to_num((trace[cut] - bend / square) / (2 * away))
-                total[b:b + TILE] += part @ own
-
-
-def _tasks(blocks: DataFrame) -> int:
-    """What a block costs does not show in its bytes, so blocks are dealt to a fixed number of tasks."""
-    least = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(blocks.count(), TASKS))
+class Tree:
+    """Sources halved at the middle of their widest feature, each label apart, down to ``leaf`` sources.
+
+    A source is a point or a cell: label, rows ``n``, centre ``c``, ``scatter`` (summed over its rows) and radius ``r``."""
+
+    def __init__(self, label: np.ndarray, n: np.ndarray, c: np.ndarray, scatter: np.ndarray, r: np.ndarray, leaf: int):
+        self.source = label, n, c, scatter, r
+        pairs, parts, leaves, base, seen = _pairs(c.shape[1]), [], [np.empty(0, np.int64)], 0, 0
+        order = np.argsort(label, kind="stable")
+        start = np.flatnonzero(np.diff(label[order], prepend=-1))
+        self.roots = np.arange(len(start))
+        while len(start):
+            many = np.diff(np.append(start, len(order)))
+            of, x, w = np.repeat(np.arange(len(start)), many), c[order], n[order]
+            rows = np.add.reduceat(w, start)
+            centre = np.add.reduceat(w[:, None] * x, start) / rows[:, None]
+            off = x - centre[of]
+            spread = np.add.reduceat(scatter[order] + np.column_stack([w * off[:, i] * off[:, j] for i, j in pairs]), start)
+            away = np.sqrt((off * off).sum(axis=1)) + r[order]
+            low, high = np.minimum.reduceat(x, start), np.maximum.reduceat(x, start)
+            split = many > leaf
+            # halves come right after this level; a leaf's sources are a run of ``self.leaves``
+            child = np.where(split, base + len(start) + 2 * (np.cumsum(split) - 1), -1)
+            held = np.where(split, 0, many)
+            parts.append((label[order[start]], rows, centre, spread, np.maximum.reduceat(away, start),
+                          np.add.reduceat(w * away ** 3, start) / rows, child, seen + np.cumsum(held) - held, held, low, high))
+            leaves.append(order[~split[of]])
+            seen, base, go = seen + held.sum(), base + len(start), split[of]
+            along = x[np.arange(len(x)), np.argmax(high - low, axis=1)[of]]
+            order = order[go][np.lexsort((along[go], of[go]))]
+            half = np.column_stack([many[split] // 2, many[split] - many[split] // 2]).ravel()
+            start = np.cumsum(half) - half
+        self.leaves = np.concatenate(leaves)
+        if parts:
+            (self.label, self.n, self.c, self.scatter, self.r, self.cubed, self.child, self.at, self.many, self.low,
+             self.high) = map(np.concatenate, zip(*parts))
+
+    def down(self, levels: int) -> np.ndarray:
+        """The cells so many levels down, or the leaves above."""
+        at = self.roots
+        for _ in range(levels):
+            deep = self.child[at] >= 0
+            at = np.concatenate([at[~deep], self.child[at[deep]], self.child[at[deep]] + 1])
+        return at
+
+    def walk(self, low: np.ndarray, high: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What every target needs: (target, cell) pairs to sum and (target, source) pairs of the leaves too near.
+
+        Targets are boxes ``low, high`` (targets, boxes, features); ``least`` (targets, labels) bounds mean distances."""
+        target = np.repeat(np.arange(len(low)), len(self.roots))
+        cell = np.tile(self.roots, len(low))
+        far, near = [], []
+        while len(cell):
+            ok = np.empty(len(cell), bool)
+            for a in range(0, len(cell), PAIRS):
+                t, k = target[a:a + PAIRS], cell[a:a + PAIRS]
+                gap = _gap(low[t], high[t], self.c[k])
+                bound = EXACT * np.maximum(gap, least[t, self.label[k]]) * (gap - self.r[k]) ** 2
+                ok[a:a + PAIRS] = (gap > 2 * self.r[k]) & (self.cubed[k] / (3 * 3 ** 0.5) <= bound)
+            far.append((target[ok], cell[ok]))
+            target, cell = target[~ok], cell[~ok]
+            leaf = self.child[cell] < 0
+            near.append((target[leaf], cell[leaf]))
+            target, half = np.repeat(target[~leaf], 2), self.child[cell[~leaf]]
+            cell = np.column_stack([half, half + 1]).ravel()
+        target, cell = (np.concatenate(v) for v in zip(*far)) if far else (target, cell)
+        to, leaf = (np.concatenate(v) for v in zip(*near)) if near else (target, cell)
+        held = self.many[leaf] if len(leaf) else leaf
+        run = np.arange(held.sum()) - np.repeat(np.cumsum(held) - held, held)
+        return target, cell, np.repeat(to, held), self.leaves[np.repeat(self.at[leaf], held) + run] if len(leaf) else leaf
+
+
+def _gap(low: np.ndarray, high: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Distance of places ``c`` (n, d) from the nearest of their boxes (n, boxes, d)."""
+    c = c[:, None]
+    return np.sqrt((np.maximum(np.maximum(low - c, c - high), 0) ** 2).sum(axis=2).min(axis=1))
+
+
+def _boxes(x: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Boxes ``low, high`` around places: the longest is cut in the middle, since a stretch of the order leaps."""
+    parts = [x]
+    while len(parts) < most:
+        sides = [p.max(axis=0) - p.min(axis=0) for p in parts]
+        k = int(np.argmax([v.max() for v in sides]))
+        i = int(np.argmax(sides[k]))
+        upper = parts[k][:, i] > parts[k][:, i].min() + sides[k][i] / 2
+        if upper.all() or not upper.any():
+            break
+        parts[k:k + 1] = [parts[k][~upper], parts[k][upper]]
+    return np.array([p.min(axis=0) for p in parts]), np.array([p.max(axis=0) for p in parts])
+
+
+def _least(low: np.ndarray, high: np.ndarray, heads: tuple[np.ndarray, ...], many: np.ndarray) -> np.ndarray:
+    """Lower bound of the mean distance from any place of each target to each label: that to the cells' centres."""
+    label, n, c = heads
+    out = np.zeros((len(low), len(many)))
+    for i in range(len(low)):
+        away = _gap(low[i][None], high[i][None], c)
+        out[i] = np.bincount(label, n * away, len(many)) / many
+    return out
+
+
+def _add_points(x: np.ndarray, label: np.ndarray, n: np.ndarray, c: np.ndarray, total: np.ndarray) -> None:
+    """Add to ``total`` (targets by labels) the distances to the rows of every point."""
+    for k in np.unique(label):
+        own = np.flatnonzero(label == k)
+        for a in range(0, len(own), TILE):
+            at = own[a:a + TILE]
+            square = sum((x[:, i, None] - c[at, i]) ** 2 for i in range(x.shape[1]))
+            total[:, k] += np.sqrt(square) @ n[at]
+
+
+def _add_cells(x: np.ndarray, label: np.ndarray, n: np.ndarray, c: np.ndarray, scatter: np.ndarray, total: np.ndarray) -> None:
+    """The same for cells, by centre and scatter.  Cells are far from all of ``x``."""
+    d = x.shape[1]
+    middle = x.mean(axis=0)
+    x, c = x - middle, c - middle
+    own_square = (x * x).sum(axis=1)
+    powers = np.column_stack([*[x[:, i] * x[:, j] for i, j in _pairs(d)], x, np.ones(len(x))])
+    full = np.zeros((len(c), d, d))
+    for k, (i, j) in enumerate(_pairs(d)):
+        full[:, i, j] = full[:, j, i] = scatter[:, k]
+    turned = np.einsum("nij,nj->ni", full, c)
+    # (x - c)' S (x - c) as a polynomial in x
+    bend = np.column_stack([*[(1 if i == j else 2) * full[:, i, j] for i, j in _pairs(d)], -2 * turned,
+                            (turned * c).sum(axis=1)])
+    trace, square = np.einsum("nii->n", full), (c * c).sum(axis=1)
+    for k in np.unique(label):
+        own = np.flatnonzero(label == k)
+        for a in range(0, len(own), TILE):
+            at = own[a:a + TILE]
+            apart = x @ (-2 * c[at].T)
+            apart += square[at]
+            apart += own_square[:, None]
+            away = np.sqrt(apart)
+            total[:, k] += away @ n[at]
+            part = powers @ bend[at].T
+            part /= apart
+            np.subtract(trace[at], part, out=part)
+            part /= away
+            total[:, k] += 0.5 * part.sum(axis=1)
 
 
 def mean_distance_points(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Silhouette of every distinct point: ``label, w`` (rows at the point) and ``silhouette``."""
     spark, d = df.sparkSession, len(features)
-    depth = min(LEVELS, 60 // d)
-    names, dims = [f"x{i}" for i in range(d)], range(d)
+    names, pairs = [f"x{i}" for i in range(d)], _pairs(d)
     base = work_dir(spark, "silhouette")
     points = _written(_unit_points(df, features, label, names), base, "points")
-    rows = _at_levels(points, names, depth)
-    cells = _written(_cells(rows, names), base, "cells")
-    whole = cells.groupBy("level", "key", "parent").agg(F.sum("points").alias("points"))
-    # a cell of the last level is cut by hash if it is still too full
-    parts = F.explode(F.sequence(F.lit(0), F.ceil(F.col("points") / BLOCK).cast("int") - 1))
-    blocks = _coarsest(whole, [], BLOCK, depth).select(
-        F.col("level").alias("blevel"), F.col("key").alias("bkey"), F.ceil(F.col("points") / BLOCK).alias("cuts"),
-        parts.alias("cut"))
-    blocks = _written(blocks.select(
-        F.concat_ws(":", "blevel", "bkey", "cut").alias("block"), "blevel", "bkey", "cuts", "cut",
-        *[_middle(F.col("bkey"), F.col("blevel"), i).alias(f"b{i}") for i in dims],
-        (F.pow(F.lit(2.0), -F.col("blevel")) * (0.5 * d ** 0.5)).alias("reach")), base, "blocks")
-    leaves = _coarsest(cells, ["label"], LEAF, depth)
-
-    # walk down: cells of one level against the blocks that still need them
-    centre = [F.col(f"c{i}") for i in dims]
-    half = F.pow(F.lit(2.0), -F.col("level")) * (0.5 * d ** 0.5)
-    radius = half + _away(centre, [_middle(F.col("key"), F.col("level"), i) for i in dims])
-    gap = _away(centre, [F.col(f"b{i}") for i in dims]) - F.col("reach")
-    # a cell of one place has no radius: only its rows' common distance counts
-    scatter = [F.col(f"s{i}_{j}") for i, j in _pairs(d)]
-    kind = (F.when((gap > 0) & (gap >= FAR * radius), "far").when(F.col("points") <= LEAF, "leaf")
-            .when(F.col("level") == depth, "dense").otherwise("split"))
-    about = ["block", *[f"b{i}" for i in dims], "reach"]
-    # every block starts at the one top cell of each cluster
-    front, on, listed = blocks.select(*about, F.lit(0).cast("long").alias("parent")), ["parent"], []
-    for level in range(depth + 1):
-        met = front.hint("merge").join(cells.where(F.col("level") == level), on).withColumn("kind", kind)
-        met = _written(met.select(*about, "label", "level", "key", "n", *centre, *scatter, "kind"), base, f"walk{level}")
-        listed.append(met.where("kind <> 'split'"))
-        front, on = met.where("kind = 'split'").select(*about, "label", F.col("key").alias("parent")), ["label", "parent"]
-        if front.isEmpty():
-            break
-    listed = reduce(DataFrame.unionByName, listed)
-
-    zero = F.lit(0.0)
-    summed = listed.where("kind <> 'leaf'").select(
-        "block", "label", "n", *centre, *[F.when(F.col("kind") == "far", s).otherwise(zero).alias(f"s{i}_{j}")
-                                         for s, (i, j) in zip(scatter, _pairs(d))])
-    # every side grows with the data: a small file may hold many rows, so no side is broadcast
-    of_leaf = rows.hint("merge").join(leaves.select("label", "level", "key"), ["label", "level", "key"])
-    near = listed.where("kind = 'leaf'").select("block", "label", "level", "key").hint("merge").join(
-        of_leaf, ["label", "level", "key"]).select(
-        "block", "label", F.col("w").alias("n"), *[F.col(n).alias(f"c{i}") for i, n in enumerate(names)],
-        *[zero.alias(f"s{i}_{j}") for i, j in _pairs(d)])
-    sources = summed.unionByName(near)
-    spot = F.pmod(F.xxhash64(*names), F.col("cuts"))
-    targets = rows.hint("merge").join(blocks.select("block", "blevel", "bkey", "cuts", "cut"), (F.col("level") == F.col("blevel"))
-                        & (F.col("key") == F.col("bkey")) & (F.col("cut") == spot)).select("block", "label", "w", *names)
-
-    sizes = {r["label"]: r["n"] for r in cells.where("level = 0").select("label", "n").collect()}   # one row per cluster
+    found = points.count()
+    chunks = max(1, min(math.ceil(found / (8 * BLOCK)),
+                        max(2 * spark.sparkContext.defaultParallelism, math.ceil(found / CHUNK))))
+    dealt = _written(points.repartitionByRange(chunks, _place(names, min(LEVELS, 60 // d)), *names).withColumn(
+        "chunk", F.spark_partition_id()), base, "dealt")
+    sizes = {r["label"]: r["n"] for r in points.groupBy("label").agg(F.sum("w").alias("n")).collect()}   # one row per cluster
     order = {v: i for i, v in enumerate(sizes)}
     many = np.array(list(sizes.values()))
+    parts = 4 * chunks              # few chunks meet in one task
+    by_chunk = dealt.repartition(parts, "chunk")
+    held = dealt.groupBy("chunk").agg(F.count("*").alias("held")).repartition(parts, "chunk")
+    levels = max(0, int(math.log2(max(1, HEADS / (chunks * max(1, len(many)))))))
+
+    def places(own: pa.Table) -> tuple[np.ndarray, ...]:
+        return (np.array([order[v] for v in own["label"].to_pylist()], np.int64), own["w"].to_numpy(),
+                np.column_stack([own[n].to_numpy() for n in names]))
+
+    def tree_of(where: np.ndarray, n: np.ndarray, x: np.ndarray, leaf: int) -> Tree:
+        return Tree(where, n, x, np.zeros((len(x), len(pairs))), np.zeros(len(x)), leaf)
+
+    def blocks_of(x: np.ndarray, most: int) -> Tree:
+        return tree_of(np.zeros(len(x), np.int64), np.ones(len(x)), x, most)
+
+    def outline(own: pa.Table) -> pa.Table:
+        """A chunk's boxes, and the cells that mean distances are bounded by."""
+        where, n, x = places(own)
+        tree, (low, high) = tree_of(where, n, x, LEAF), _boxes(x, BOXES)
+        head = tree.down(levels)
+        return pa.table({
+            "chunk": pa.array([own["chunk"][0].as_py()] * (len(low) + len(head)), pa.int32()),
+            "label": pa.array([-1] * len(low) + tree.label[head].tolist(), pa.int32()),
+            "n": np.concatenate([np.zeros(len(low)), tree.n[head]]),
+            "low": pa.array([*low.tolist(), *tree.c[head].tolist()], pa.list_(pa.float64())),
+            "high": pa.array([*high.tolist(), *tree.c[head].tolist()], pa.list_(pa.float64()))})
+
+    outlines = _written(by_chunk.groupBy("chunk").applyInArrow(
+        outline, "chunk int, label int, n double, low array<double>, high array<double>"), base, "outlines")
+    rows = outlines.collect()       # per chunk, its boxes and at most ``HEADS`` / chunks cells or one a label
+    low = np.full((chunks, BOXES, d), np.inf)
+    high = np.full((chunks, BOXES, d), np.inf)
+    filled = np.zeros(chunks, np.int64)
+    for r in rows:
+        if r["label"] < 0:
+            low[r["chunk"], filled[r["chunk"]]], high[r["chunk"], filled[r["chunk"]]] = r["low"], r["high"]
+            filled[r["chunk"]] += 1
+    heads = (np.array([r["label"] for r in rows if r["label"] >= 0], np.int64),
+             np.array([r["n"] for r in rows if r["label"] >= 0]),
+             np.array([r["low"] for r in rows if r["label"] >= 0]).reshape(-1, d))
+    least = _least(low, high, heads, many) if rows else np.zeros((chunks, 0))
+    cell = [f"c{i}" for i in range(d)] + [f"s{i}_{j}" for i, j in pairs]
+
+    def tell(own: pa.Table) -> pa.Table:
+        """What the other chunks need to know of a chunk."""
+        where, n, x = places(own)
+        tree = tree_of(where, n, x, LEAF)
+        others = np.flatnonzero((np.arange(chunks) != own["chunk"][0].as_py()) & (filled > 0))
+        to, cells, near, at = tree.walk(low[others], high[others], least[others])
+        told = np.column_stack([np.concatenate([tree.c[cells], x[at]]),
+                                np.concatenate([tree.scatter[cells], np.zeros((len(at), len(pairs)))])])
+        return pa.table({"chunk": pa.array(others[np.concatenate([to, near])], pa.int32()),
+                         "label": pa.array(np.concatenate([tree.label[cells], where[at]]), pa.int32()),
+                         "n": np.concatenate([tree.n[cells], n[at]]),
+                         "r": np.concatenate([tree.r[cells], np.zeros(len(at))]),
+                         **{k: told[:, i] for i, k in enumerate(cell)}})
+
+    told = by_chunk.groupBy("chunk").applyInArrow(
+        tell, "chunk int, label int, n double, r double, " + ", ".join(f"{k} double" for k in cell))
 
     def score(own: pa.Table, met: pa.Table) -> pa.Table:
-        x = np.column_stack([own[n].to_numpy() for n in names]) if len(own) else np.empty((0, d))
-        to = np.array([order[v] for v in met["label"].to_pylist()], np.int64)
+        where, n, x = places(own)
+        if own["held"].to_pylist()[:1] not in ([], [len(x)]):
+            raise ValueError("points of a chunk are missing")       # every sum over its cells would lack them
         total = np.zeros((len(x), len(many)))
-        _add_distances(x, met, to, names, total)
-        mine = np.array([order[v] for v in own["label"].to_pylist()], np.int64)
+        got = np.column_stack([met[k].to_numpy() for k in cell]) if len(met) else np.empty((0, len(cell)))
+        tree = Tree(np.concatenate([where, met["label"].to_numpy().astype(np.int64)]),
+                    np.concatenate([n, met["n"].to_numpy()]), np.concatenate([x, got[:, :d]]),
+                    np.concatenate([np.zeros((len(x), len(pairs))), got[:, d:]]),
+                    np.concatenate([np.zeros(len(x)), met["r"].to_numpy()]), LEAF)
+        blocks = blocks_of(x, BLOCK)
+        all_blocks = np.flatnonzero(blocks.child < 0) if len(x) else np.empty(0, np.int64)
+        s_label, s_n, s_c, s_scatter, s_r = tree.source
+        for a in range(0, len(all_blocks), 16):
+            some = all_blocks[a:a + 16]
+            lo, hi = blocks.low[some][:, None], blocks.high[some][:, None]
+            to, cells, near, at = tree.walk(lo, hi, _least(lo, hi, heads, many))
+            for b, block in enumerate(some):
+                mine = blocks.leaves[blocks.at[block]:blocks.at[block] + blocks.many[block]]
+                summed, own_total = cells[to == b], np.zeros((len(mine), len(many)))
+                source = at[near == b]
+                wide = s_r[source] > 0      # a told cell is exact enough for all of the chunk
+                point, source = source[~wide], source[wide]
+                _add_cells(x[mine], np.concatenate([tree.label[summed], s_label[source]]),
+                           np.concatenate([tree.n[summed], s_n[source]]), np.concatenate([tree.c[summed], s_c[source]]),
+                           np.concatenate([tree.scatter[summed], s_scatter[source]]), own_total)
+                _add_points(x[mine], s_label[point], s_n[point], s_c[point], own_total)
+                total[mine] = own_total
         at = np.arange(len(x))
-        alone = many[mine] < 2
-        a = total[at, mine] / np.where(alone, 1, many[mine] - 1)
+        alone = many[where] < 2
+        a = total[at, where] / np.where(alone, 1, many[where] - 1)
         others = total / many
-        others[at, mine] = np.inf
+        others[at, where] = np.inf
         b = others.min(axis=1, initial=np.inf)
         top = np.maximum(a, b)
         value = np.where(alone | ~np.isfinite(b) | (top <= 0), 0.0, (b - a) / np.where(top > 0, top, 1))
         return pa.table({"label": own["label"], "w": own["w"], "silhouette": np.nan_to_num(value)})
 
     kind_of = dict(points.dtypes)["label"]
-    tasks = _tasks(blocks)
-    return targets.repartition(tasks, "block").groupBy("block").cogroup(
-        sources.repartition(tasks, "block").groupBy("block")).applyInArrow(
+    whole = by_chunk.hint("merge").join(held, "chunk")      # chunks grow in number: no side is broadcast
+    return whole.groupBy("chunk").cogroup(told.repartition(parts, "chunk").groupBy("chunk")).applyInArrow(
         score, f"label {kind_of}, w double, silhouette double")
 
 

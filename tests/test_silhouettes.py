@@ -74,3 +74,27 @@ def test_nothing_that_grows_is_broadcast(spark):
     out = sil.mean_distance_points(frame(spark, x, rng.integers(0, 2, 900)), ["f0", "f1"], "label")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_written_rows_stay_near_the_number_of_points(spark, monkeypatch):
+    written, rows = sil._written, {}
+
+    def counted(df, base, name):
+        out = written(df, base, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(sil, "_written", counted)
+    rng = np.random.default_rng(12)
+    x = rng.random((4000, 3))
+    label = rng.integers(0, 2, 4000)
+    got = sil.mean_distance_silhouette(frame(spark, x, label), ["f0", "f1", "f2"], "label").first()
+    assert got["silhouette"] == pytest.approx(all_pairs(x, label).mean(), abs=2e-5)
+    assert sum(rows.values()) < 3 * 4000        # points twice and outlines, no list of cells by target
+
+
+def test_chunk_boxes_part_where_the_order_leaps():
+    x = np.concatenate([np.random.default_rng(1).random((900, 2)) * 0.1, [[0.9, 0.9], [1.0, 1.0]]])
+    low, high = sil._boxes(x, 8)
+    assert len(low) == 8 and (high - low).max() < 0.2
+    assert all(((p >= low) & (p <= high)).all(axis=1).any() for p in x)
