@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from hourlens import config
 from hourlens.functions import columns as fc
+from hourlens.operators import forest
 from hourlens.operators.features import with_class_weight
 from hourlens.operators.relational import hash_order
 from hourlens.session import work_dir
@@ -41,6 +42,7 @@ def feature_gaps(df: DataFrame, features: Sequence[str]) -> list[str]:
 
 ROWS = 200_000          # training rows of a task
 VALUES = 4096           # counted values of a feature that the driver takes
+GROUPS = 2_000_000      # groups of equal buckets that a task holds
 UNITS = 10              # parts of a bucket's rows that are drawn on their own
 
 
@@ -77,15 +79,36 @@ def fit_logistic(train: DataFrame, features: Sequence[str], label: str,
 
 def fit_forest(train: DataFrame, features: Sequence[str], label: str, trees: int = 200,
                depth: int = 18, min_leaf: int = 5, seed: int = config.SEED) -> PipelineModel:
+    """Random forest with balanced classes.
+
+    Spark's own fit keeps, for every row, its draws and its node in every tree (1,600 bytes a row with 200 trees, and the
+    nodes again in checkpoints).  So rows are grouped by buckets, and tasks grow whole trees from the groups
+    (``operators/forest.py``).  Only beyond ``GROUPS`` groups, more than a task should hold, Spark fits row by row."""
     feature_gaps(train, features)
-    ensure_checkpoint(train.sparkSession)
+    spark = train.sparkSession
     weighted = with_class_weight(train, label)
-    # deep trees: remembering each row's node spares walking every tree per level
-    return Pipeline(stages=[
-        assemble(features),
-        RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees,
-                               maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed,
-                               maxMemoryInMB=1024, cacheNodeIds=True)]).fit(dealt(weighted))
+    learner = RandomForestClassifier(labelCol=label, weightCol="weight", numTrees=trees,
+                                     maxDepth=depth, minInstancesPerNode=min_leaf, seed=seed,
+                                     maxMemoryInMB=1024, cacheNodeIds=True)
+    cut = bucketizer(train, features)
+    y = F.when(F.col(label).isin(0, 1), F.col(label).cast("int")).otherwise(
+        F.raise_error(F.lit(f"{label} is not 0 or 1")).cast("int"))
+    groups = cut.transform(weighted.select(label, "weight", *features)).groupBy(
+        forest.code(cut.getOutputCols()).alias("code"), y.alias("y"), "weight").agg(F.count("*").alias("n"))
+    stage = spark.read.parquet(write_stage(groups, work_dir(spark, "groups")))
+    held = stage.count()
+    if held > GROUPS:
+        ensure_checkpoint(spark)
+        # deep trees: remembering each row's node spares walking every tree per level
+        return Pipeline(stages=[assemble(features), learner]).fit(dealt(weighted))
+    if not held:
+        raise ValueError("no training rows")
+    # two rows, one a class, give a model of the right shape and settings
+    two = spark.createDataFrame([(*[float(i)] * len(features), i, 1.0) for i in (0, 1)],
+                                ", ".join([*(f"`{f}` double" for f in features), f"`{label}` int", "weight double"]))
+    shell = Pipeline(stages=[assemble(features), learner]).fit(two)
+    found = forest.nodes(stage, cut.getSplitsArray(), trees, depth, min_leaf, seed)
+    return PipelineModel(stages=[shell.stages[0], forest.as_model(shell.stages[1], found)])
 
 
 def fit_linear(train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:

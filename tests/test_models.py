@@ -5,7 +5,8 @@ from datetime import datetime, timedelta
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
@@ -174,3 +175,48 @@ def test_clusters_count_equal_rows(spark, monkeypatch):
     monkeypatch.setattr(cu, "fit_many", lambda d, *args: sizes.append(d.count()) or fit(d, *args))
     cu.kmeans(each.select(array_to_vector("x").alias("features")), 2, restarts=1)
     assert sizes == [60]
+
+
+def test_forest_counts_every_row_of_a_group(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    a, b = rng.integers(0, 4, 3000), rng.integers(0, 50, 3000)
+    y = (rng.random(3000) < np.where(b < 20, 0.1, 0.8) * (a > 0)).astype(int)
+    df = spark.createDataFrame(pd.DataFrame({"a": a.astype(float), "b": b.astype(float), "y": y}))
+    model = md.fit_forest(df, ["a", "b"], "y", trees=30, depth=6)
+    forest = model.stages[-1]
+    assert isinstance(forest, RandomForestClassificationModel) and forest.getNumTrees == 30 and forest.getMaxDepth() == 6
+    # all 3,000 rows are drawn from, once on average, and no leaf has fewer than five
+    nodes = forest.write().overwrite().save(str(tmp_path / "m")) or spark.read.parquet(str(tmp_path / "m" / "data"))
+    roots = [r["n"] for r in nodes.where("nodeData.id = 0").select(F.col("nodeData.rawCount").alias("n")).collect()]
+    assert len(set(roots)) > 1 and abs(np.mean(roots) - 3000) < 60
+    assert nodes.agg(F.min("nodeData.rawCount")).first()[0] >= 5
+    ours = md.score_risk(model, df, ["y"])
+    was = md.score_risk(Pipeline(stages=[md.assemble(["a", "b"]), RandomForestClassifier(
+        labelCol="y", weightCol="weight", numTrees=30, maxDepth=6, minInstancesPerNode=5, seed=1)]).fit(
+        md.with_class_weight(df, "y")), df, ["y"])
+    one, two = (ev.roc_auc(s, "y", "score").first()["roc_auc"] for s in (ours, was))
+    assert one == pytest.approx(two, abs=0.01)
+    mean = [s.agg(F.avg("score")).first()[0] for s in (ours, was)]
+    assert mean[0] == pytest.approx(mean[1], abs=0.02)
+
+
+def test_forest_keeps_nothing_by_row_and_tree(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("rows by trees")
+
+    monkeypatch.setattr(md, "dealt", refused)
+    df = spark.range(2000).selectExpr("cast(id % 10 as double) a", "cast(id % 7 as double) b", "cast(id % 10 > 6 as int) y")
+    out = md.score_risk(md.fit_forest(df, ["a", "b"], "y", trees=5, depth=4), df, ["y"])
+    assert out.where("label <> y").count() == 0 and out.count() == 2000
+
+
+def test_forest_of_many_groups_is_fitted_row_by_row(spark, data, monkeypatch):
+    monkeypatch.setattr(md, "GROUPS", 10)
+    out = md.score_risk(md.fit_forest(data, X, "risk", trees=10, depth=5), data, ["risk"])
+    assert ev.roc_auc(out, "risk", "score").first()["roc_auc"] > 0.9
+
+
+def test_forest_refuses_nulls(spark):
+    df = spark.createDataFrame([(1.0, 0), (None, 1), (2.0, 1)], "a double, y int")
+    with pytest.raises(Exception, match="null in feature"):
+        md.fit_forest(df, ["a"], "y", trees=2, depth=2)
